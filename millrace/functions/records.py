@@ -23,7 +23,7 @@ def default_key(value: Column, default: str) -> Column:
 def required_key(value: Column, message: str) -> Column:
     """The value itself; a row without it (NULL or empty) fails the job."""
     missing = value.isNull() | (value.cast("string") == "")
-    return F.when(missing, F.raise_error(F.lit(message)).cast("string")).otherwise(value)
+    return F.when(missing, F.raise_error(F.lit(message))).otherwise(value)
 
 
 def decode_text(value: Column) -> Column:
