@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.functions.numbers import to_double, to_int
 from millrace.functions.text import field, strip
 from millrace.operators.clean import split_valid
 
@@ -18,15 +19,14 @@ def parse_readings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     body = lines.filter(~F.contains("value", F.lit(HEADER_MARK)))
     line = F.col("value")
-    used = strip(field(line, 2))
     parsed = body.select(
         "value",
         F.lower(strip(field(line, 0))).alias("id_meter"),
         strip(field(line, 1)).alias("timestamp"),
-        used.try_cast("double").alias("consumption_kwh"),
-        strip(field(line, 3)).try_cast("int").alias("voltage"),
+        to_double(strip(field(line, 2))).alias("consumption_kwh"),
+        to_int(strip(field(line, 3))).alias("voltage"),
         strip(field(line, 4)).alias("status"))
-    complete = ((F.col("timestamp") != "") & F.col("consumption_kwh").isNotNull()
+    complete = ((field(line, 1) != "") & F.col("consumption_kwh").isNotNull()
                 & F.col("voltage").isNotNull() & F.col("status").isNotNull())
     valid, rejected = split_valid(parsed, complete)
     return valid.drop("value"), rejected.select("value")

@@ -48,7 +48,10 @@ def with_bounds(grouped: DataFrame, keys: list[str], *values: str) -> DataFrame:
 
 
 def low_mean_alerts(means: DataFrame, key: str, below: float, mean: str = "mean") -> DataFrame:
-    """Windows whose mean is under the bound, with a readable message."""
-    text = F.concat(F.lit("ALERT ["), clock(F.col("window_start")), F.lit(" - "), clock(F.col("window_end")),
-                    F.lit("] "), F.col(key), F.lit(": mean "), fixed_text(F.col(mean), 1))
+    """Windows whose mean is under the bound, with the alert text for the crew."""
+    text = F.concat(
+        F.lit("\U0001f6a8 [TECHNICAL ALERT] | Window: "), clock(F.col("window_start")),
+        F.lit(" - "), clock(F.col("window_end")), F.lit(" | Transformer: "), F.col(key),
+        F.lit(" | Average Voltage: "), fixed_text(F.col(mean), 1),
+        F.lit("V | ACTION: Dispatch crew immediately."))
     return means.filter(F.col(mean) < below).withColumn("message", text)
