@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.operators.running import running_totals
 
 
-def place_in_chunks(df: DataFrame, keys: list[str], order_by: list[str], bucket: Column | None = None,
+def place_in_chunks(df: DataFrame, keys: list[str], order_by: list, bucket: Column | None = None,
                     chunk_rows: int = 100_000) -> DataFrame:
     """Add the ``_position`` of a row among its key's rows, and the ``chunk`` that position is in."""
     placed = running_totals(df, keys, order_by, bucket, count="_position")
@@ -26,7 +26,7 @@ def collect_entries(entries: DataFrame, keys: list[str], lists: list[str]) -> Da
         *keys, "chunk", *[F.transform(name, lambda entry: entry["item"]).alias(name) for name in lists])
 
 
-def collect_chunks(df: DataFrame, keys: list[str], order_by: list[str], items: list[str], into: str,
+def collect_chunks(df: DataFrame, keys: list[str], order_by: list, items: list[str], into: str,
                    bucket: Column | None = None, chunk_rows: int = 100_000) -> DataFrame:
     """Per key the rows sorted by ``order_by`` as a list of structs of ``items``.
 

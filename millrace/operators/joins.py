@@ -54,10 +54,13 @@ def expand_keys(facts: DataFrame, dim: DataFrame, keys: list[str], on: list[str]
     return facts.select(*keys).distinct().join(dim, on, "inner")
 
 
-def co_group(sides: dict[str, DataFrame], keys: list[str], order_by: dict[str, list[str]],
-             bucket: dict[str, Column] | None = None, chunk_rows: int = 100_000) -> DataFrame:
+def co_group(sides: dict[str, DataFrame], keys: list[str], order_by: dict[str, list],
+             bucket: dict[str, Column] | None = None, chunk_rows: int = 100_000,
+             items: dict[str, list[str]] | None = None) -> DataFrame:
     """All sides grouped by key, each as a sorted list of its rows: a full outer join.
 
+    ``items`` names the columns a list entry holds, by default the whole row.
+
     Every side is cut into chunks of ``chunk_rows`` first, so the lists have a
     bounded length whatever a key holds: a key with more rows continues on the next
     ``chunk`` row, and nothing is dropped. A side without rows gets an empty list.
@@ -65,7 +68,7 @@ def co_group(sides: dict[str, DataFrame], keys: list[str], order_by: dict[str, l
     """
     parts = []
     for name, side in sides.items():
-        items = [column for column in side.columns if column not in keys]
+        entry = chunk_entry((items or {}).get(name, side.columns)).alias(name)
         placed = place_in_chunks(side, keys, order_by[name], (bucket or {}).get(name), chunk_rows)
-        parts.append(placed.select(*keys, "chunk", chunk_entry(items).alias(name)))
+        parts.append(placed.select(*keys, "chunk", entry))
     return collect_entries(concat_rows(*parts), keys, list(sides))

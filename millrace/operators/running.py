@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def running_totals(df: DataFrame, keys: list[str], order_by: list[str], bucket: Column | None = None,
+def running_totals(df: DataFrame, keys: list[str], order_by: list, bucket: Column | None = None,
                    count: str | None = "running_count", sums: dict[str, str] | None = None) -> DataFrame:
     """Running row count and running sums per key, in ``order_by`` order.
 

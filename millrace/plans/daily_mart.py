@@ -38,7 +38,7 @@ def stage_readings(seed: DataFrame) -> DataFrame:
         parse_timestamp(F.col("recorded_at")).alias("registration_date"))
 
 
-def daily_monitoring(readings: DataFrame, meters: DataFrame) -> DataFrame:
+def daily_monitoring(readings: DataFrame, meters: DataFrame, low_voltage: float = LOW_VOLTAGE) -> DataFrame:
     """Average voltage, total consumption and a low-voltage flag per place, meter and day.
 
     Readings are reduced to one row per meter and day before they meet the meters:
@@ -48,7 +48,7 @@ def daily_monitoring(readings: DataFrame, meters: DataFrame) -> DataFrame:
     per_meter = readings.groupBy("meter_id", day_of(F.col("registration_date")).alias("day")).agg(
         mean_of(F.col("voltage"), 6).alias("voltage_average"),
         total_of(F.col("consumption"), 6).alias("consumption_total"),
-        any_flag(F.col("voltage") < LOW_VOLTAGE).alias("there_was_a_voltage_drop"))
+        any_flag(F.col("voltage") < low_voltage).alias("there_was_a_voltage_drop"))
     return per_meter.join(meters.select("meter_id", "location_name"), "meter_id").select(
         "location_name", "meter_id", "day", "voltage_average", "consumption_total", "there_was_a_voltage_drop")
 

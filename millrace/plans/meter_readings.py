@@ -21,11 +21,11 @@ SOURCE, COMPANY = "SmartGrid-V1", "My-Company"
 def branch_lines(readings: DataFrame, limit: float = 10.0) -> DataFrame:
     """``branch, line``: a reading appears once for every branch it belongs to."""
     branched = fan_out(readings, {
-        "alerts": F.col("consumption_kwh") > limit,
-        "anomalies": F.col("consumption_kwh") == 0.0,
+        "alerts": F.col("kwh") > limit,
+        "anomalies": F.col("kwh") == 0.0,
         "history": F.lit(True)})
     silver = csv_line(*[F.col(name) for name in readings.columns], F.lit(SOURCE), F.lit(COMPANY))
-    line = (F.when(F.col("branch") == "alerts", over_limit_message(F.col("id_meter"), F.col("consumption_kwh"), limit))
+    line = (F.when(F.col("branch") == "alerts", over_limit_message(F.col("id"), F.col("kwh"), limit))
             .when(F.col("branch") == "anomalies", row_json(readings.columns))
             .otherwise(silver))
     return branched.select("branch", line.alias("value"))

@@ -26,11 +26,15 @@ def events_with_team(events: DataFrame, teams: DataFrame) -> tuple[DataFrame, Da
     return lookup_struct(known, teams, "HelicopterID", "TeamInfo", UNKNOWN_TEAM), skipped
 
 
-def keyed(records: DataFrame) -> DataFrame:
-    """Complete the key. A record without a helicopter fails the job."""
+def keyed(records: DataFrame, moment: str) -> DataFrame:
+    """The key, the time to sort by (0 where it is missing) and the whole record.
+
+    A record without a helicopter fails the job.
+    """
     race = default_key(F.col("RaceID"), UNKNOWN_RACE) if "RaceID" in records.columns else F.lit(UNKNOWN_RACE)
-    return records.withColumns({
-        "RaceID": race, "HelicopterID": required_key(F.col("HelicopterID"), "record without HelicopterID")})
+    return records.select(
+        race.alias("RaceID"), required_key(F.col("HelicopterID"), "record without HelicopterID").alias("HelicopterID"),
+        F.coalesce(F.col(moment).cast("double"), F.lit(0.0)).alias("at"), F.struct(*records.columns).alias("record"))
 
 
 def race_histories(telemetry: DataFrame, events: DataFrame, teams: DataFrame, team_scope: str = "all",
@@ -43,21 +47,16 @@ def race_histories(telemetry: DataFrame, events: DataFrame, teams: DataFrame, te
     """
     if team_scope not in ("all", "telemetry"):
         raise ValueError(f"unknown team scope: {team_scope}")
-    telemetry, events = keyed(telemetry), keyed(events)
-
-    def moment(column: str):
-        return F.coalesce(F.col(column).cast("double"), F.lit(0.0))
-
-    sides = {"TelemetryHistory": telemetry.withColumn("_at", moment("Time_s")),
-             "RaceEvents": events.withColumn("_at", moment("Timestamp_s"))}
-    order = {name: ["_at", F.xxhash64(*side.columns)] for name, side in sides.items()}
-    bucket = F.floor(F.col("_at") / F.lit(bucket_s))
-    nested = co_group(sides, KEYS, order, {name: bucket for name in sides}, chunk_rows)
-    nested = nested.withColumns({name: F.transform(name, lambda row: row.dropFields("_at")) for name in sides})
+    sides = {"TelemetryHistory": keyed(telemetry, "Time_s"), "RaceEvents": keyed(events, "Timestamp_s")}
+    nested = co_group(
+        sides, KEYS, {name: ["at", F.xxhash64("record")] for name in sides},
+        {name: F.floor(F.col("at") / F.lit(bucket_s)) for name in sides}, chunk_rows,
+        {name: ["record"] for name in sides})
+    nested = nested.withColumns({name: F.transform(name, lambda row: row["record"]) for name in sides})
     if team_scope == "all":
         return lookup_struct(nested, teams, "HelicopterID", "TeamInfo", UNKNOWN_TEAM)
     info = [name for name in teams.columns if name != "HelicopterID"]
-    scoped = expand_keys(telemetry, teams, KEYS, ["HelicopterID"]).select(*KEYS, F.struct(*info).alias("TeamInfo"))
+    scoped = expand_keys(sides["TelemetryHistory"], teams, KEYS, ["HelicopterID"]).select(*KEYS, F.struct(*info).alias("TeamInfo"))
     missing = F.struct(*[F.lit(UNKNOWN_TEAM.get(f)).cast(teams.schema[f].dataType).alias(f) for f in info])
     return nested.join(scoped, KEYS, "left").withColumn("TeamInfo", F.coalesce("TeamInfo", missing))
 

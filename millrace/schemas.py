@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+TYPES = {
+    "STRING": T.StringType(), "INT": T.IntegerType(), "BIGINT": T.LongType(), "FLOAT": T.FloatType(),
+    "DOUBLE": T.DoubleType(), "BOOLEAN": T.BooleanType(), "TIMESTAMP": T.TimestampType(),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A flat layout from ``name TYPE`` pairs, without needing a session."""
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in (pair.split() for pair in text.split(","))])
 
 
 CUSTOMER_PEOPLE = _schema("id INT, name STRING, age INT")
 USERS = _schema("id INT, name STRING, email STRING, active BOOLEAN")
 MONITORING = _schema("id STRING, v INT, ts STRING")
 
-METER_READING = _schema(
-    "id_meter STRING, timestamp STRING, consumption_kwh DOUBLE, voltage INT, status STRING")
+METER_READING = _schema("id STRING, ts STRING, kwh DOUBLE, v INT, status STRING")
 
 METERS_SEED = _schema("id_meter STRING, location STRING, customer_type STRING, installation_date STRING")
 READINGS_SEED = _schema(
@@ -55,11 +61,13 @@ TELEMETRY_TABLE = {
 }
 
 CITIES = _schema("city_name STRING, country_code STRING, lat DOUBLE, lon DOUBLE")
-FORECAST_RESPONSE = _schema(
-    "list ARRAY<STRUCT<dt_txt: STRING, "
-    "main: STRUCT<temp: DOUBLE, temp_min: DOUBLE, temp_max: DOUBLE, humidity: DOUBLE>, "
-    "weather: ARRAY<STRUCT<main: STRING, description: STRING>>, "
-    "wind: STRUCT<speed: DOUBLE>, pop: DOUBLE>>")
+FORECAST_RESPONSE = T.StructType().add("list", T.ArrayType(
+    T.StructType()
+    .add("dt_txt", T.StringType())
+    .add("main", _schema("temp DOUBLE, temp_min DOUBLE, temp_max DOUBLE, humidity DOUBLE"))
+    .add("weather", T.ArrayType(_schema("main STRING, description STRING")))
+    .add("wind", _schema("speed DOUBLE"))
+    .add("pop", T.DoubleType())))
 
 SALES_PRODUCTS = _schema(
     "ID_Producto STRING, Nombre_Producto STRING, Categoria STRING, Costo_Adquisicion STRING, "

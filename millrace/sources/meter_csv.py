@@ -21,12 +21,12 @@ def parse_readings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     line = F.col("value")
     parsed = body.select(
         "value",
-        F.lower(strip(field(line, 0))).alias("id_meter"),
-        strip(field(line, 1)).alias("timestamp"),
-        to_double(strip(field(line, 2))).alias("consumption_kwh"),
-        to_int(strip(field(line, 3))).alias("voltage"),
+        F.lower(strip(field(line, 0))).alias("id"),
+        strip(field(line, 1)).alias("ts"),
+        to_double(strip(field(line, 2))).alias("kwh"),
+        to_int(strip(field(line, 3))).alias("v"),
         strip(field(line, 4)).alias("status"))
-    complete = ((field(line, 1) != "") & F.col("consumption_kwh").isNotNull()
-                & F.col("voltage").isNotNull() & F.col("status").isNotNull())
+    complete = ((field(line, 1) != "") & F.col("kwh").isNotNull()
+                & F.col("v").isNotNull() & F.col("status").isNotNull())
     valid, rejected = split_valid(parsed, complete)
     return valid.drop("value"), rejected.select("value")
