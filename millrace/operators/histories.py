@@ -4,22 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.running import running_totals
+from millrace.operators.running import HOT_ROWS, running_totals
+from millrace.operators.skew import heavy_keys, split_by_keys
+
+CHUNK_ROWS = 100_000
 
 
 def place_in_chunks(df: DataFrame, keys: list[str], order_by: list, bucket: Column | None = None,
-                    chunk_rows: int = 100_000) -> DataFrame:
-    """Add the ``_position`` of a row among its key's rows, and the ``chunk`` that position is in."""
-    placed = running_totals(df, keys, order_by, bucket, count="_position")
-    return placed.withColumn("chunk", F.floor((F.col("_position") - 1) / F.lit(chunk_rows)).cast("bigint"))
+                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add the ``chunk`` of a row: its position among its key's rows, cut every ``chunk_rows``.
+
+    Only the keys that need more than one chunk have their positions computed.
+    """
+    counted = heavy_keys(df, keys, chunk_rows)
+    if counted.isEmpty():
+        return df.withColumn("chunk", F.lit(0).cast("bigint"))
+    large, rest = split_by_keys(df, keys, counted)
+    placed = running_totals(large, keys, order_by, bucket, count="_position", hot_rows=max(chunk_rows, HOT_ROWS),
+                            counted=counted)
+    chunk = F.floor((F.col("_position") - 1) / F.lit(chunk_rows)).cast("bigint")
+    return placed.withColumn("chunk", chunk).drop("_position").unionByName(
+        rest.withColumn("chunk", F.lit(0).cast("bigint")))
 
 
-def chunk_entry(items: list[str]) -> Column:
-    return F.struct("_position", F.struct(*items).alias("item"))
+def chunk_entry(order_by: list, items: list[str]) -> Column:
+    return F.struct(F.struct(*order_by).alias("at"), F.struct(*items).alias("item"))
 
 
 def collect_entries(entries: DataFrame, keys: list[str], lists: list[str]) -> DataFrame:
-    """Gather the entries of every list column per key and chunk, in position order."""
+    """Gather the entries of every list column per key and chunk, in order."""
     gathered = entries.groupBy(*keys, "chunk").agg(
         *[F.array_sort(F.collect_list(name)).alias(name) for name in lists])
     return gathered.select(
@@ -27,13 +40,13 @@ def collect_entries(entries: DataFrame, keys: list[str], lists: list[str]) -> Da
 
 
 def collect_chunks(df: DataFrame, keys: list[str], order_by: list, items: list[str], into: str,
-                   bucket: Column | None = None, chunk_rows: int = 100_000) -> DataFrame:
+                   bucket: Column | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per key the rows sorted by ``order_by`` as a list of structs of ``items``.
 
     A key with up to ``chunk_rows`` rows gives one row with ``chunk`` 0. A larger
     key gives several, numbered in order, so no list and no task ever holds more
-    than ``chunk_rows`` rows of one key while all rows are kept. The position of a
-    row comes from bucketed running counts, see ``running_totals``.
+    than ``chunk_rows`` rows of one key while all rows are kept. ``bucket`` is
+    explained at ``running_totals``.
     """
     placed = place_in_chunks(df, keys, order_by, bucket, chunk_rows)
-    return collect_entries(placed.select(*keys, "chunk", chunk_entry(items).alias(into)), keys, [into])
+    return collect_entries(placed.select(*keys, "chunk", chunk_entry(order_by, items).alias(into)), keys, [into])

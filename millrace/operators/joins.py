@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.clean import concat_rows, first_per_key
-from millrace.operators.histories import chunk_entry, collect_entries, place_in_chunks
+from millrace.operators.histories import CHUNK_ROWS, chunk_entry, collect_entries, place_in_chunks
 
 
 def _salted(fact: DataFrame, dim: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
@@ -55,7 +55,7 @@ def expand_keys(facts: DataFrame, dim: DataFrame, keys: list[str], on: list[str]
 
 
 def co_group(sides: dict[str, DataFrame], keys: list[str], order_by: dict[str, list],
-             bucket: dict[str, Column] | None = None, chunk_rows: int = 100_000,
+             bucket: dict[str, Column] | None = None, chunk_rows: int = CHUNK_ROWS,
              items: dict[str, list[str]] | None = None) -> DataFrame:
     """All sides grouped by key, each as a sorted list of its rows: a full outer join.
 
@@ -68,7 +68,7 @@ def co_group(sides: dict[str, DataFrame], keys: list[str], order_by: dict[str, l
     """
     parts = []
     for name, side in sides.items():
-        entry = chunk_entry((items or {}).get(name, side.columns)).alias(name)
+        entry = chunk_entry(order_by[name], (items or {}).get(name, side.columns)).alias(name)
         placed = place_in_chunks(side, keys, order_by[name], (bucket or {}).get(name), chunk_rows)
         parts.append(placed.select(*keys, "chunk", entry))
     return collect_entries(concat_rows(*parts), keys, list(sides))
