@@ -13,7 +13,7 @@ SEGMENTS = ["Automobile", "Building", "Furniture", "HouseHold"]
 
 
 @query("""
-SELECT c_custkey, upper(lower(c_name)) AS shouted, 'HRL' || lpad(c_nationkey::VARCHAR, 3, '0') AS padded,
+SELECT c_custkey, upper(lower(c_name)) AS shouted, 'HEL' || lpad(c_nationkey::VARCHAR, 3, '0') AS padded,
        c_acctbal AS balance, substr(c_name, 10) AS number,
        CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Automobile' WHEN 'BUILDING' THEN 'Building'
          WHEN 'FURNITURE' THEN 'Furniture' WHEN 'HOUSEHOLD' THEN 'HouseHold' ELSE c_mktsegment END AS label
@@ -22,7 +22,7 @@ FROM customer
 def scalar_strings(spark, sf_dir):
     """Upper case, padded ids, comma decimals, prefix removal, repaired labels."""
     return table(spark, sf_dir, "customer").select(
-        "c_custkey", F.upper(F.lower("c_name")).alias("shouted"), padded_id("HRL", F.col("c_nationkey")).alias("padded"),
+        "c_custkey", F.upper(F.lower("c_name")).alias("shouted"), padded_id("HEL", F.col("c_nationkey")).alias("padded"),
         comma_decimal(F.replace(F.col("c_acctbal").cast("string"), F.lit("."), F.lit(","))).alias("balance"),
         without_prefix(F.col("c_name"), "Customer#").alias("number"),
         canonical_label(F.col("c_mktsegment"), SEGMENTS).alias("label"))
