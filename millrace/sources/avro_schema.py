@@ -25,7 +25,7 @@ LOGICAL = {
 
 def load_avro_schema(spark: SparkSession, path: str) -> dict:
     """The schema file, from any file system Spark can read."""
-    text = spark.read.option("wholetext", True).text(path).first()
+    text = spark.read.text(path, wholetext=True).first()
     return parse_avro_schema(text["value"] if text else "")
 
 
