@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 
 def keep_present(df: DataFrame, *columns: str) -> DataFrame:
@@ -60,3 +60,14 @@ def split_valid(df: DataFrame, rule: Column) -> tuple[DataFrame, DataFrame]:
     """Rows that pass and rows that do not (an unknown verdict counts as a failure)."""
     verdict = F.coalesce(rule, F.lit(False))
     return df.filter(verdict), df.filter(~verdict)
+
+
+def keep_counting(df: DataFrame, rule: Column, name: str = "rejects") -> tuple[DataFrame, Observation]:
+    """The rows that pass, and a count of the others taken while they are read.
+
+    ``observation.get["rejected"]`` has the number once an action has run; the
+    input is not scanned a second time for it.
+    """
+    verdict = F.coalesce(rule, F.lit(False))
+    seen = Observation(name)
+    return df.observe(seen, F.count_if(~verdict).alias("rejected")).filter(verdict), seen

@@ -11,11 +11,14 @@ CHUNK_ROWS = 100_000
 
 
 def place_in_chunks(df: DataFrame, keys: list[str], order_by: list, bucket: Column | None = None,
-                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                    chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
     """Add the ``chunk`` of a row: its position among its key's rows, cut every ``chunk_rows``.
 
-    Only the keys that need more than one chunk have their positions computed.
+    Only the keys that need more than one chunk have their positions computed. None
+    puts each key into one chunk, for data whose keys are known to be small.
     """
+    if chunk_rows is None:
+        return df.withColumn("chunk", F.lit(0).cast("bigint"))
     counted = heavy_keys(df, keys, chunk_rows)
     if counted.isEmpty():
         return df.withColumn("chunk", F.lit(0).cast("bigint"))
@@ -40,7 +43,7 @@ def collect_entries(entries: DataFrame, keys: list[str], lists: list[str]) -> Da
 
 
 def collect_chunks(df: DataFrame, keys: list[str], order_by: list, items: list[str], into: str,
-                   bucket: Column | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                   bucket: Column | None = None, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
     """Per key the rows sorted by ``order_by`` as a list of structs of ``items``.
 
     A key with up to ``chunk_rows`` rows gives one row with ``chunk`` 0. A larger

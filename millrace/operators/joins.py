@@ -55,7 +55,7 @@ def expand_keys(facts: DataFrame, dim: DataFrame, keys: list[str], on: list[str]
 
 
 def co_group(sides: dict[str, DataFrame], keys: list[str], order_by: dict[str, list],
-             bucket: dict[str, Column] | None = None, chunk_rows: int = CHUNK_ROWS,
+             bucket: dict[str, Column] | None = None, chunk_rows: int | None = CHUNK_ROWS,
              items: dict[str, list[str]] | None = None) -> DataFrame:
     """All sides grouped by key, each as a sorted list of its rows: a full outer join.
 

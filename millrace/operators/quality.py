@@ -57,25 +57,28 @@ def offending(df: DataFrame, check: Check) -> DataFrame:
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """One report row per check: ``check, column, failures``.
 
-    All row rules share a single scan and one pre-aggregated pass. Checks on
-    distinct values aggregate by that value, counted per task before the shuffle.
+    All checks share one scan and one aggregation. A row sends an entry only for a
+    rule it breaks, and its value for a uniqueness check; the entries are counted
+    per task before the shuffle, so neither a frequent value nor a rule that every
+    row breaks makes a large group.
     """
-    by_row = [c for c in checks if not c.grouped]
-    parts = []
-    if by_row:
-        counts = df.agg(*[F.count_if(c.rule).alias(f"c{i}") for i, c in enumerate(by_row)])
-        entries = F.array(*[
-            F.struct(F.lit(c.name).alias("check"), F.lit(c.column).alias("column"),
-                     F.col(f"c{i}").alias("failures")) for i, c in enumerate(by_row)])
-        parts.append(counts.select(F.inline(entries)))
-    for check in checks:
-        if check.grouped:
-            parts.append(offending(df, check).agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(check.name).alias("check"), F.lit(check.column).alias("column"), "failures"))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    def entry(position: int, check: Check) -> Column:
+        value = F.col(check.column).cast("string") if check.grouped else F.lit(None).cast("string")
+        counts = F.col(check.column).isNotNull() if check.repeated else check.rule
+        return F.when(counts, F.struct(F.lit(position).alias("position"), value.alias("value")))
+
+    def failures(position: int, check: Check) -> Column:
+        mine = F.col("position") == position
+        if check.repeated:
+            return F.count_if(mine & (F.col("n") > 1))
+        return F.count_if(mine) if check.grouped else F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
+
+    entries = F.array_compact(F.array(*[entry(i, check) for i, check in enumerate(checks)]))
+    counted = df.select(F.inline(entries)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.agg(*[failures(i, check).alias(f"c{i}") for i, check in enumerate(checks)])
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(check.name).alias("check"), F.lit(check.column).alias("column"), F.col(f"c{i}").alias("failures"))
+        for i, check in enumerate(checks)])))
 
 
 # The two routes of the quality decision.

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.operators.skew import heavy_keys, split_by_keys
-from millrace.session import checkpointed
+from millrace.session import stored
 
 HOT_ROWS = 1_000_000
 
 
 def running_totals(df: DataFrame, keys: list[str], order_by: list, bucket: Column | None = None,
                    count: str | None = "running_count", sums: dict[str, str] | None = None,
-                   hot_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
+                   hot_rows: int | None = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Running row count and running sums per key, in ``order_by`` order.
 
     Keys with up to ``hot_rows`` rows take a plain window: one shuffle. Larger keys
-    are cut along the order into cells, and only a cell has to fit a task. Sum
-    decimals or integers, not floats, to be independent of the row order.
+    are cut along the order into cells, and only a cell has to fit a task. Finding
+    them costs one count over the key columns, which ``hot_rows=None`` leaves out.
+    Sum decimals or integers, not floats, to be independent of the row order.
 
     ``bucket`` says how to cut: any value that never decreases along ``order_by``,
     such as the day of the first order column. Without it, hot rows are range
@@ -25,6 +26,9 @@ def running_totals(df: DataFrame, keys: list[str], order_by: list, bucket: Colum
     ``counted`` is a list from ``heavy_keys``, if the caller has one already.
     """
     sums = sums or {}
+    if hot_rows is None:
+        result = _plain(df, keys, order_by, count or "_count", sums)
+        return result if count else result.drop("_count")
     hot = (heavy_keys(df, keys, hot_rows) if counted is None else counted).filter(F.col("n") > hot_rows)
     name = count or "_count"
     if hot.isEmpty():
@@ -52,7 +56,7 @@ def _by_cells(df: DataFrame, keys: list[str], order_by: list, bucket: Column | N
     columns = df.columns
     if bucket is None:
         ranged = df.repartitionByRange(*keys, *order_by).withColumn("_bucket", F.spark_partition_id())
-        rows = checkpointed(ranged).withColumn("_cell", F.struct(*keys, "_bucket"))
+        rows = stored(ranged, "ranges").withColumn("_cell", F.struct(*keys, "_bucket"))
     else:
         rows = df.withColumn("_cell", F.struct(*keys, bucket.alias("_bucket")))
 

@@ -4,26 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.session import checkpointed
-
-# Above this many hot keys their list is joined by a shuffle instead of a broadcast.
-MAX_BROADCAST_KEYS = 100_000
-
+from millrace.session import stored
 
 def heavy_keys(df: DataFrame, keys: list[str], more_than: int) -> DataFrame:
     """``_key, n`` of the keys with more than ``more_than`` rows.
 
     Reads the key columns only and counts before the shuffle. There are at most
-    rows / ``more_than`` such keys; the list is kept, because the plan depends on it.
+    rows / ``more_than`` such keys; the list is written, because the plan depends on it.
     """
     counts = df.groupBy(F.struct(*keys).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
-    return checkpointed(counts.filter(F.col("n") > more_than))
+    return stored(counts.filter(F.col("n") > more_than), "heavy-keys")
 
 
 def split_by_keys(df: DataFrame, keys: list[str], chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of the chosen keys, and all other rows. NULL is a key like any other."""
+    """The rows of the chosen keys, and all other rows. NULL is a key like any other.
+
+    The list is a stored table of known size: Spark broadcasts it below its
+    threshold and shuffles it above.
+    """
     listed = chosen.select("_key")
-    if listed.count() <= MAX_BROADCAST_KEYS:
-        listed = F.broadcast(listed)
     keyed = df.withColumn("_key", F.struct(*keys))
     return keyed.join(listed, "_key", "left_semi").drop("_key"), keyed.join(listed, "_key", "left_anti").drop("_key")

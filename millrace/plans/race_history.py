@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.records import default_key, required_key
 from millrace.operators.clean import split_valid
+from millrace.operators.histories import CHUNK_ROWS
 from millrace.operators.joins import co_group, expand_keys, lookup_struct
 from millrace.schemas import RACE_EVENT, TEAM, TELEMETRY_V2
 from millrace.session import build_session
@@ -38,7 +39,7 @@ def keyed(records: DataFrame, moment: str) -> DataFrame:
 
 
 def race_histories(telemetry: DataFrame, events: DataFrame, teams: DataFrame, team_scope: str = "all",
-                   chunk_rows: int = 100_000, bucket_s: int = 60) -> DataFrame:
+                   chunk_rows: int | None = CHUNK_ROWS, bucket_s: int = 60) -> DataFrame:
     """One row per race and helicopter with its sorted telemetry and events, and its team.
 
     ``team_scope='telemetry'`` gives a team only to keys that occur in the

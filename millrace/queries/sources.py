@@ -33,7 +33,7 @@ FROM events JOIN limits USING (event_type) GROUP BY event_type
 """)
 def src_inline_rows(spark, sf_dir):
     """Inline rows, as a small dimension of the events."""
-    limits = inline_rows(spark, EVENT_LIMITS, "event_type string, high double")
+    limits = inline_rows(spark, EVENT_LIMITS, T.StructType.fromDDL("event_type STRING, high DOUBLE"))
     joined = lookup_join(table(spark, sf_dir, "events"), limits, ["event_type"], "inner")
     return joined.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") > F.col("high")).alias("n_high"))
@@ -86,7 +86,8 @@ def _meter_lines(spark, sf_dir):
     used = F.when(F.col("event_type") == "signup", F.lit("NULL")).otherwise(F.col("value").cast("string"))
     whole = csv_line(meter, when, used, F.get_json_object("props", "$.k"), F.col("event_type"))
     lines = events.select(F.when(F.col("value") < 1, csv_line(meter, when)).otherwise(whole).alias("value"))
-    header = inline_rows(spark, [("id_meter,timestamp,consumption_kwh,voltage,status",)], "value string")
+    header = inline_rows(spark, [("id_meter,timestamp,consumption_kwh,voltage,status",)],
+                         T.StructType.fromDDL("value STRING"))
     path = scratch_path(spark, "meter-lines")
     write_lines(header.union(lines), F.col("value"), path)
     return read_lines(spark, path)

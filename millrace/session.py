@@ -62,7 +62,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder, so that every later use sees the same ones."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    Every later use sees the same rows whatever is recomputed, the lineage ends
+    here, and the planner knows the size of what it reads.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

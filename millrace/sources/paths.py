@@ -21,8 +21,8 @@ def spark_path(path: str) -> str:
 
 def use_endpoint(spark: SparkSession, endpoint: str) -> None:
     """Point the Hadoop client at an S3-compatible store. Needs hadoop-aws with the job."""
-    spark.conf.set("spark.hadoop.fs.s3a.endpoint", endpoint)
-    spark.conf.set("spark.hadoop.fs.s3a.path.style.access", "true")
+    spark.conf.set("fs.s3a.endpoint", endpoint)
+    spark.conf.set("fs.s3a.path.style.access", "true")
 
 
 def bucket_column(path: Column, scheme: str = SCHEME) -> Column:

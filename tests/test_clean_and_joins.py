@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import WORD_WITH_APOSTROPHE
 from millrace.operators.aggregates import count_words, latest_per_key
-from millrace.operators.clean import clean_people, concat_rows, fan_out, first_per_key, top_per_key
+from millrace.operators.clean import clean_people, concat_rows, fan_out, first_per_key, keep_counting, top_per_key
 from millrace.operators.joins import co_group, expand_keys, join_first_left, lookup_join, lookup_struct
 from millrace.schemas import CUSTOMER_PEOPLE
 
@@ -97,3 +97,9 @@ def test_first_top_and_latest(spark):
     assert rows(top_per_key(df, ["k"], [F.col("n").desc(), F.col("t")], 2), "k", "t", "rank") == [
         ("a", "y", 1), ("a", "z", 2), ("b", "w", 1)]
     assert rows(latest_per_key(df, ["k"], ["n", "t"])) == [("a", 2, "z"), ("b", 5, "w")]
+
+
+def test_rejects_are_counted_in_the_same_pass(spark):
+    df = spark.createDataFrame([("a",), ("",), (None,)], "k string")
+    kept, seen = keep_counting(df, F.col("k") != "")
+    assert rows(kept) == [("a",)] and seen.get == {"rejected": 2}
