@@ -29,14 +29,25 @@ def collection(rows: DataFrame, id_column: str, embedding: str, document: Column
 
 
 def add_documents(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The incoming rows that may be appended: ids not stored yet, each id once."""
-    fresh = incoming.join(stored.select("id"), "id", "left_anti")
+    """The incoming rows that may be appended: ids not stored yet, each id once.
+
+    Known ids are looked up first, so a small batch is what travels and the stored
+    rows are only scanned by id.
+    """
+    known = stored.select("id").join(incoming.select("id"), "id", "left_semi")
+    fresh = incoming.join(known, "id", "left_anti")
     return first_per_key(fresh, ["id"], [F.col("document"), F.col("embedding")])
 
 
 def get_documents(stored: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows with one of the given ids."""
-    return stored.join(ids.select("id").distinct(), "id", "left_semi")
+    return stored.join(ids.select("id"), "id", "left_semi")
+
+
+def search(stored: DataFrame, queries: DataFrame, k: int, metric: str = "l2") -> DataFrame:
+    """The ``k`` nearest documents per query with their text: ``query_id, rank, id, distance, document``."""
+    found = nearest(queries, stored, k, metric)
+    return found.join(stored.select("id", "document"), "id").select("query_id", "rank", "id", "distance", "document")
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators.vectors import add_documents, collection, get_documents, nearest
+from millrace.operators.vectors import add_documents, collection, get_documents, nearest, search
 from millrace.queries.registry import query, table
 
 L2 = "list_sum(list_transform(list_zip(q.embedding, c.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) ** 2))"
@@ -69,3 +69,18 @@ def vec_cosine(spark, sf_dir):
     """Two nearest by cosine."""
     vectors = _vectors(spark, sf_dir)
     return nearest(vectors, vectors, 2, metric="cosine").withColumn("distance", F.round("distance", 6))
+
+
+@query("""
+SELECT query_id, r::INTEGER AS rank, id, round(distance, 6) AS distance, text AS document FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS r FROM (
+    SELECT q.vec_id::VARCHAR AS query_id, c.vec_id::VARCHAR AS id, c.text, """ + L2 + """ AS distance
+    FROM embeddings q, (SELECT * FROM embeddings JOIN documents ON vec_id = doc_id) c))
+WHERE r <= 2
+""")
+def vec_search(spark, sf_dir):
+    """The two nearest documents of every vector, with their whole text."""
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    embedded = table(spark, sf_dir, "embeddings").join(documents, "vec_id")
+    stored = collection(embedded, "vec_id", "embedding", F.col("text"))
+    return search(stored, _stored(spark, sf_dir), 2).withColumn("distance", F.round("distance", 6))

@@ -63,7 +63,7 @@ def write_upserts(df: DataFrame, connect: Callable, table: str, key: str, batch_
                   max_connections: int = 16) -> None:
     """Upsert all rows. ``connect`` opens a DB-API connection inside a task."""
     statement = upsert_statement(table, df.columns, key)
-    df.coalesce(max_connections).foreachPartition(
+    df.repartition(max_connections).foreachPartition(
         lambda rows: upsert_rows(rows, connect, statement, batch_size))
 
 

@@ -7,9 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.schemas import FORECAST_RESPONSE
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """All responses below ``path``; a ``city=<name>`` folder becomes the column ``city``."""
-    return spark.read.schema(FORECAST_RESPONSE).option("basePath", path).json(path)
+def read_responses(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All responses below ``path``; a ``city=<name>`` folder becomes the column ``city``.
+
+    ``multi_line`` is for files that hold one response over several lines.
+    """
+    reader = spark.read.schema(FORECAST_RESPONSE).option("basePath", path).option("multiLine", multi_line)
+    return reader.json(path)
 
 
 def flatten_forecasts(responses: DataFrame, ingestion_at: Column) -> DataFrame:

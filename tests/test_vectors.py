@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.vectors import add_documents, collection, get_documents, nearest
+from millrace.plans import vector_search
 
 
 def brute_force(queries, corpus, k, metric):
@@ -57,3 +58,15 @@ def test_collection(spark):
     got = get_documents(stored, wanted).select(F.size("embedding"), F.slice("embedding", 1, 5), "metadata").collect()
     assert [tuple(r) for r in got] == [(6, [1.0, 2.0, 3.0, 4.0, 5.0], {"category": "payments"})]
     assert nearest(stored.filter("metadata['category'] = 'prices'"), stored, 1).first()["id"] == "2"
+
+
+def test_search_job(spark, folder):
+    schema = "id string, document string, metadata map<string,string>, embedding array<float>"
+    spark.createDataFrame([("id1", "fee", {"category": "payments"}, [1.0, 0.0])], schema).write.parquet(f"{folder}/stored")
+    spark.createDataFrame([("id1", "again", {}, [9.0, 9.0]), ("id2", "rise", {"category": "prices"}, [0.0, 1.0]),
+                           ("id3", "help", {}, [5.0, 5.0])], schema).write.parquet(f"{folder}/new")
+    spark.createDataFrame([("q1", [0.9, 0.0])], "id string, embedding array<float>").write.parquet(f"{folder}/queries")
+    vector_search.main(["--collection", f"{folder}/stored", "--add", f"{folder}/new", "--queries", f"{folder}/queries",
+                        "--output", f"{folder}/out"])
+    assert sorted(r[0] for r in spark.read.text(f"{folder}/out").collect()) == [
+        "q1 | Result 1 (Distance: 0.01): fee", "q1 | Result 2 (Distance: 1.81): rise"]
