@@ -37,9 +37,8 @@ def chunk_entry(order_by: list, items: list[str]) -> Column:
 def collect_entries(entries: DataFrame, keys: list[str], lists: list[str]) -> DataFrame:
     """Gather the entries of every list column per key and chunk, in order."""
     gathered = entries.groupBy(*keys, "chunk").agg(
-        *[F.array_sort(F.collect_list(name)).alias(name) for name in lists])
-    return gathered.select(
-        *keys, "chunk", *[F.transform(name, lambda entry: entry["item"]).alias(name) for name in lists])
+        *[F.sort_array(F.collect_list(name)).alias(name) for name in lists])
+    return gathered.select(*keys, "chunk", *[F.col(name).getField("item").alias(name) for name in lists])
 
 
 def collect_chunks(df: DataFrame, keys: list[str], order_by: list, items: list[str], into: str,

@@ -75,6 +75,6 @@ def _by_cells(df: DataFrame, keys: list[str], order_by: list, bucket: Column | N
         here, before = F.sum(source).over(inside), F.col(f"_s_{out}")
         return F.coalesce(before + here, before, here).alias(out)
 
-    return rows.join(starts, "_cell").select(
+    return rows.join(starts.hint("shuffle_hash"), "_cell").select(
         *columns, (F.col("_n0") + F.count(F.lit(1)).over(inside)).alias(count),
         *[running(out, source) for out, source in sums.items()])

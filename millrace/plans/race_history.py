@@ -53,7 +53,7 @@ def race_histories(telemetry: DataFrame, events: DataFrame, teams: DataFrame, te
         sides, KEYS, {name: ["at", F.xxhash64("record")] for name in sides},
         {name: F.floor(F.col("at") / F.lit(bucket_s)) for name in sides}, chunk_rows,
         {name: ["record"] for name in sides})
-    nested = nested.withColumns({name: F.transform(name, lambda row: row["record"]) for name in sides})
+    nested = nested.withColumns({name: F.col(name).getField("record") for name in sides})
     if team_scope == "all":
         return lookup_struct(nested, teams, "HelicopterID", "TeamInfo", UNKNOWN_TEAM)
     info = [name for name in teams.columns if name != "HelicopterID"]

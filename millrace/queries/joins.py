@@ -12,7 +12,7 @@ from millrace.queries.registry import query, table
 
 
 def _ids(lists, name):
-    return F.array_join(as_strings(F.transform(lists, lambda row: row[name])), ",")
+    return F.array_join(as_strings(F.col(lists).getField(name)), ",")
 
 
 @query("""
