@@ -45,7 +45,7 @@ def fan_out(df: DataFrame, branches: dict[str, Column], branch: str = "branch")
     per branch.
     """
     hits = F.array(*[F.when(rule, F.lit(name)) for name, rule in branches.items()])
-    return df.withColumn(branch, F.explode(F.array_compact(hits)))
+    return df.withColumn(branch, F.explode(hits)).filter(F.col(branch).isNotNull())
 
 
 def concat_rows(*frames: DataFrame) -> DataFrame:

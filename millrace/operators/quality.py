@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.operators.clean import concat_rows
+
 
 @dataclass(frozen=True)
 class Check:
@@ -57,28 +59,38 @@ def offending(df: DataFrame, check: Check) -> DataFrame:
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """One report row per check: ``check, column, failures``.
 
-    All checks share one scan and one aggregation. A row sends an entry only for a
-    rule it breaks, and its value for a uniqueness check; the entries are counted
-    per task before the shuffle, so neither a frequent value nor a rule that every
-    row breaks makes a large group.
+    All rules share one scan: a row sends an entry only for a rule it breaks, and
+    entries are counted per task before the shuffle, so a rule that every row breaks
+    makes no large group. Each uniqueness check scans its own column only and counts
+    its values, in their own type, before the shuffle as well.
     """
+    parts = []
+    rules = [check for check in checks if not check.repeated]
+    if rules:
+        parts.append(_broken_rules(df, rules))
+    for check in checks:
+        if check.repeated:
+            parts.append(offending(df, check).agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(check.name).alias("check"), F.lit(check.column).alias("column"), "failures"))
+    return concat_rows(*parts)
+
+
+def _broken_rules(df: DataFrame, rules: list[Check]) -> DataFrame:
     def entry(position: int, check: Check) -> Column:
         value = F.col(check.column).cast("string") if check.grouped else F.lit(None).cast("string")
-        counts = F.col(check.column).isNotNull() if check.repeated else check.rule
-        return F.when(counts, F.struct(F.lit(position).alias("position"), value.alias("value")))
+        return F.when(check.rule, F.struct(F.lit(position).alias("position"), value.alias("value")))
 
     def failures(position: int, check: Check) -> Column:
         mine = F.col("position") == position
-        if check.repeated:
-            return F.count_if(mine & (F.col("n") > 1))
         return F.count_if(mine) if check.grouped else F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
 
-    entries = F.array_compact(F.array(*[entry(i, check) for i, check in enumerate(checks)]))
-    counted = df.select(F.inline(entries)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.agg(*[failures(i, check).alias(f"c{i}") for i, check in enumerate(checks)])
+    entries = F.array(*[entry(i, check) for i, check in enumerate(rules)])
+    broken = df.select(F.inline(entries)).filter(F.col("position").isNotNull())
+    counted = broken.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.agg(*[failures(i, check).alias(f"c{i}") for i, check in enumerate(rules)])
     return totals.select(F.inline(F.array(*[
         F.struct(F.lit(check.name).alias("check"), F.lit(check.column).alias("column"), F.col(f"c{i}").alias("failures"))
-        for i, check in enumerate(checks)])))
+        for i, check in enumerate(rules)])))
 
 
 # The two routes of the quality decision.
