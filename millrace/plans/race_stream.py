@@ -4,41 +4,72 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.records import row_json
+from millrace.functions.records import decode_text, parse_json
 from millrace.operators.aggregates import latest_per_key
-from millrace.schemas import RACE_EVENT, TELEMETRY_V2
+from millrace.schemas import RACE_EVENT, TELEMETRY_MESSAGE
 from millrace.session import build_session
-from millrace.sinks.keyed_log import upsert_batch
+from millrace.sinks.keyed_log import read_current, upsert_batch
 from millrace.sinks.relational import telemetry_rows
-from millrace.sources.kafka import decode_records, read_topic, write_topic
+from millrace.sources.kafka import decode_records, read_topic, with_random_key, write_topic
 from millrace.sources.paths import spark_path
 from millrace.streaming.runs import wait_all, write_stream_batches, write_stream_files, write_stream_upserts
 from millrace.streaming.windows import with_event_time, with_window
 
 LAP_TEXT = "completes lap"  # fixed value: the text that marks a finished lap
 KEY_PREFIX = "simple_key:"  # fixed value: how keys are named in the key-value table
+LAP_ORDER = ["timestamp", "Timestamp_s", "EventID"]
 
 
-def lap_values(events: DataFrame) -> DataFrame:
-    """``key, value`` of finished laps: the helicopter, and the event as JSON."""
-    laps = events.filter(F.contains("Details", F.lit(LAP_TEXT)) & (F.col("HelicopterID") != ""))
-    fields = RACE_EVENT.names
-    return laps.select(
-        F.concat(F.lit(KEY_PREFIX), "HelicopterID").alias("key"), row_json(fields).alias("value"),
-        *[name for name in ("Timestamp_s", "EventID") if name in fields])
+def lap_values(records: DataFrame) -> DataFrame:
+    """``key, value`` of finished laps: the helicopter, and the record's text as it came.
 
+    The text is parsed once, for the filter, the key and the order.
+    """
+    text = decode_text(F.col("value"))
+    parsed = records.select("timestamp", text.alias("value"), parse_json(text, RACE_EVENT).alias("_event"))
+    laps = parsed.filter(F.contains("_event.Details", F.lit(LAP_TEXT)) & (F.col("_event.HelicopterID") != ""))
+    return laps.select(F.concat(F.lit(KEY_PREFIX), "_event.HelicopterID").alias("key"), "value", "timestamp",
+                       "_event.Timestamp_s", "_event.EventID")
 
-def latest_laps(events: DataFrame) -> DataFrame:
+
+def latest_laps(records: DataFrame) -> DataFrame:
     """The last lap per helicopter, as repeated writes to a key-value store leave it."""
-    return latest_per_key(lap_values(events), ["key"], ["Timestamp_s", "EventID"])
+    return latest_per_key(lap_values(records), ["key"], LAP_ORDER)
+
 
+def read_laps(spark: SparkSession, root: str) -> DataFrame:
+    return read_current(spark, f"{root}/laps", ["key"], [*LAP_ORDER, "batch_id"]).select("key", "value")
 
-def windowed_lines(rows: DataFrame, fields: list[str], size: str = "5 seconds", time: str = "timestamp") -> DataFrame:
-    """JSON lines with the start of their window, for files in one folder per window."""
+
+def windowed_lines(rows: DataFrame, line: Column, size: str = "5 seconds", time: str = "timestamp") -> DataFrame:
+    """Lines with the start of their window, for files in one folder per window."""
     lines = with_window(with_event_time(rows, F.col(time)), size)
-    return lines.select(row_json(fields).alias("value"), F.date_format("window_start", "yyyyMMdd-HHmmss").alias("w"))
+    return lines.select(line.alias("value"), F.date_format("window_start", "yyyyMMdd-HHmmss").alias("w"))
+
+
+def start(events: DataFrame, telemetry: DataFrame, root: str, checkpoints: str,
+          once: bool = False) -> list[StreamingQuery]:
+    """Start all streams over two frames of ``key, value, timestamp`` records.
+
+    Both topics go to files as they come, finished laps to a table by key, and
+    telemetry to a table with the layout of the relational target.
+    """
+    text = decode_text(F.col("value"))
+
+    def save_laps(batch: DataFrame, batch_id: int) -> None:
+        upsert_batch(latest_laps(batch), f"{root}/laps", batch_id)
+
+    return [
+        write_stream_files(windowed_lines(events, text), f"{root}/events", f"{checkpoints}/events", "text", "w", once),
+        write_stream_files(windowed_lines(telemetry, text), f"{root}/telemetry", f"{checkpoints}/telemetry", "text", "w",
+                           once),
+        write_stream_batches(events, save_laps, f"{checkpoints}/laps", once),
+        write_stream_upserts(telemetry_rows(decode_records(telemetry, TELEMETRY_MESSAGE)), f"{root}/telemetry_table",
+                             f"{checkpoints}/telemetry_table", once, "append"),
+    ]
 
 
 def main(argv=None) -> None:
@@ -50,26 +81,15 @@ def main(argv=None) -> None:
     parser.add_argument("--output", required=True, help="root of files and tables")
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--start", default="latest", choices=["latest", "earliest"])
+    parser.add_argument("--records-per-batch", type=int)
     args = parser.parse_args(argv)
     spark = build_session("race-stream")
-    root = spark_path(args.output)
-    events = decode_records(read_topic(spark, args.brokers, args.events_topic, args.start), RACE_EVENT)
-    telemetry = decode_records(read_topic(spark, args.brokers, args.telemetry_topic, args.start), TELEMETRY_V2)
-
-    def save_laps(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(latest_laps(batch), f"{root}/laps", batch_id)
-
-    queries = [
-        write_stream_files(windowed_lines(events, RACE_EVENT.names), f"{root}/events", f"{args.checkpoints}/events",
-                           fmt="text", partition_by="w"),
-        write_stream_files(windowed_lines(telemetry, TELEMETRY_V2.names), f"{root}/telemetry",
-                           f"{args.checkpoints}/telemetry", fmt="text", partition_by="w"),
-        write_stream_batches(events, save_laps, f"{args.checkpoints}/laps"),
-        write_stream_upserts(telemetry_rows(telemetry), f"{root}/telemetry_table",
-                             f"{args.checkpoints}/telemetry_table", mode="append"),
-    ]
+    events, telemetry = (
+        read_topic(spark, args.brokers, topic, args.start, max_records=args.records_per_batch)
+        for topic in (args.events_topic, args.telemetry_topic))
+    queries = start(events, telemetry, spark_path(args.output), args.checkpoints)
     if args.copy_topic:
-        queries.append(write_topic(events.select(*RACE_EVENT.names), args.brokers, args.copy_topic,
+        queries.append(write_topic(with_random_key(events, F.col("value")), args.brokers, args.copy_topic,
                                    f"{args.checkpoints}/copy"))
     wait_all(*queries)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.records import row_json
 from millrace.operators.aggregates import latest_per_key
 from millrace.plans.race_stream import windowed_lines
 from millrace.queries.registry import query, table
@@ -75,7 +76,7 @@ def stream_tumbling_files(spark, sf_dir):
     running = []
     for name, time, fields, size in (("events", "ts", ["event_id", "user_id"], "1 day"),
                                      ("orders", "o_orderdate", ["o_orderkey"], "365 days")):
-        lines = windowed_lines(_stream(spark, sf_dir, name), fields, size, time)
+        lines = windowed_lines(_stream(spark, sf_dir, name), row_json(fields), size, time)
         running.append(write_stream_files(lines, f"{path}/{name}", f"{path}/state-{name}", "text", "w", once=True))
     wait_all(*running)
     counts = [spark.read.text(f"{path}/{name}").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
@@ -133,4 +134,4 @@ def stream_latest(spark, sf_dir):
 
     rows = _stream(spark, sf_dir).select("user_id", "ts", "event_id", "event_type")
     wait_all(write_stream_batches(rows, merge, f"{path}/state", once=True))
-    return read_current(spark, f"{path}/out", ["user_id"]).select("user_id", "event_id", "event_type")
+    return read_current(spark, f"{path}/out", ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type")

@@ -35,6 +35,10 @@ TELEMETRY_V1 = _schema(
 TELEMETRY_V2 = _schema(
     "HelicopterID STRING, RaceID STRING, LapNumber INT, Time_s FLOAT, Speed_km_h FLOAT, Altitude_m FLOAT, "
     "FuelLevel_percentage FLOAT, EngineTemp_c INT, RotorRPM INT, Latitude DOUBLE, Longitude DOUBLE")
+# Telemetry as the records carry it: measures with their decimals, before any narrowing.
+TELEMETRY_MESSAGE = _schema(
+    "HelicopterID STRING, RaceID STRING, LapNumber INT, Time_s DOUBLE, Speed_km_h DOUBLE, Altitude_m DOUBLE, "
+    "FuelLevel_percentage DOUBLE, EngineTemp_c DOUBLE, RotorRPM INT, Latitude DOUBLE, Longitude DOUBLE")
 RACE_EVENT = _schema(
     "EventID STRING, RaceID STRING, Timestamp_s BIGINT, EventType STRING, Details STRING, "
     "HelicopterID STRING, Impact STRING")

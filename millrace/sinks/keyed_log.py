@@ -1,7 +1,8 @@
 """A keyed table as a log of batches: idempotent upserts without a merge-capable format.
 
 Each batch is one folder. Writing a batch again replaces its folder, so a replay
-after a failure changes nothing. Reading takes the last version of every key.
+after a failure changes nothing. Reading takes the last version of every key, which
+each task does for its own rows before they are shuffled.
 Old folders are never rewritten by an upsert: its cost follows the batch, not the
 table. ``compact`` folds a log into one batch when it has grown long.
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators.clean import first_per_key
+from millrace.operators.aggregates import latest_per_key
 
 BATCH = "batch_id"
 
@@ -27,9 +28,15 @@ def upsert_each(path: str):
 
 
 def read_current(spark: SparkSession, path: str, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """The last row of every key: later batch first, then the largest ``order_by``."""
-    newest = [F.col(name).desc() for name in [BATCH, *(order_by or [])]]
-    return first_per_key(spark.read.option("basePath", path).parquet(path), keys, newest).drop(BATCH)
+    """The last row of every key.
+
+    By default the row of the latest batch, as repeated upserts leave it. Rows that
+    may arrive out of order are ordered by their own columns: name those, with
+    ``batch_id`` at the end if equal rows of two batches may differ.
+    """
+    versions = spark.read.option("basePath", path).parquet(path)
+    columns = [name for name in versions.columns if name != BATCH]
+    return latest_per_key(versions, keys, order_by or [BATCH]).select(*columns)
 
 
 def compact(spark: SparkSession, path: str, new_path: str, keys: list[str],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.records import decode_text, encode_text, parse_json, row_json
 from millrace.sources.files import require_connector
@@ -43,12 +43,16 @@ def decode_records(records: DataFrame, schema: T.StructType) -> DataFrame:
 
 def encode_records(rows: DataFrame) -> DataFrame:
     """Rows as ``key, value`` bytes: a random key, the row as JSON."""
-    return rows.select(encode_text(F.uuid()).alias("key"), encode_text(row_json(rows.columns)).alias("value"))
+    return with_random_key(rows, encode_text(row_json(rows.columns)))
 
 
-def write_topic(rows: DataFrame, brokers: str, topic: str, checkpoint: str):
-    """Start a streaming write to a topic."""
-    require_connector(rows.sparkSession, "kafka", PACKAGE)
-    return (encode_records(rows).writeStream.format("kafka")
+def with_random_key(rows: DataFrame, value: Column) -> DataFrame:
+    return rows.select(encode_text(F.uuid()).alias("key"), value.alias("value"))
+
+
+def write_topic(records: DataFrame, brokers: str, topic: str, checkpoint: str):
+    """Start a streaming write of ``key, value`` records to a topic."""
+    require_connector(records.sparkSession, "kafka", PACKAGE)
+    return (records.writeStream.format("kafka")
             .option("kafka.bootstrap.servers", brokers).option("topic", topic)
             .option("checkpointLocation", checkpoint).start())

@@ -26,6 +26,11 @@ def with_window(df: DataFrame, size: str, slide: str | None = None, time: str =
             .drop("_w"))
 
 
+def drop_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Each key once within the watermark's delay: a sender's retries disappear, and state stays bounded."""
+    return df.dropDuplicatesWithinWatermark(keys)
+
+
 def window_means(df: DataFrame, keys: list[str], value: Column, size: str, slide: str | None = None,
                  time: str = "event_time", mean: str = "mean") -> DataFrame:
     """Mean per key and window, from partial decimal sums: independent of the row order."""

@@ -44,12 +44,12 @@ def test_large_dimensions_are_not_broadcast(spark):
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
-@pytest.mark.parametrize("name", ["agg_dedup", "topk_per_key", "join_inner_first", "sink_relational_upsert"])
+@pytest.mark.parametrize("name", ["agg_dedup", "topk_per_key", "join_inner_first"])
 def test_ranks_are_limited_before_the_shuffle(spark, name):
     assert plan_of(QUERIES[name](spark, SF)).count("WindowGroupLimit") >= 2
 
 
-@pytest.mark.parametrize("name", ["agg_word_count", "agg_daily_mart", "window_sliding_batch", "dq_checks"])
+@pytest.mark.parametrize("name", ["sink_relational_upsert", "sink_kv_latest", "agg_word_count", "agg_daily_mart", "window_sliding_batch", "dq_checks"])
 def test_aggregates_are_partial_first(spark, name):
     assert "partial_" in plan_of(QUERIES[name](spark, SF))
 

@@ -163,6 +163,13 @@ def test_keyed_log_replay_and_compaction(spark, folder):
     assert rows(keyed_log.read_current(spark, f"{folder}/compacted", ["id"])) == [("a", 3), ("b", 2), ("c", 2)]
 
 
+def test_keyed_log_orders_late_batches(spark, folder):
+    for batch_id, moment in enumerate((5, 3)):
+        keyed_log.upsert_batch(spark.createDataFrame([("a", moment)], "id string, at int"), f"{folder}/log", batch_id)
+    assert rows(keyed_log.read_current(spark, f"{folder}/log", ["id"])) == [("a", 3)]
+    assert rows(keyed_log.read_current(spark, f"{folder}/log", ["id"], ["at", "batch_id"])) == [("a", 5)]
+
+
 def test_telemetry_rows(spark):
     source = spark.createDataFrame(
         [("r", "h", 3, 1.5, 250.0, 85.3), ("r", None, 1, 1.0, 1.0, 1.0), ("r", "h2", 1, 1.0, 1e9, 1.0)],

@@ -6,13 +6,12 @@ import os
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from millrace import schemas
-from millrace.plans.race_stream import latest_laps, windowed_lines
+from millrace.functions.records import row_json
+from millrace.plans import race_stream
 from millrace.sinks.keyed_log import read_current, upsert_batch
-from millrace.sinks.relational import telemetry_rows
 from millrace.streaming.runs import (
     open_rows, stream_files, to_sinks, wait_all, write_stream_batches, write_stream_files, write_stream_upserts)
-from millrace.streaming.windows import window_counts, window_means, with_event_time
+from millrace.streaming.windows import drop_repeats, window_counts, window_means, with_event_time
 
 READING = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.IntegerType()),
                         T.StructField("ts", T.StringType())])
@@ -95,34 +94,54 @@ def test_failing_sink_fails_the_stream(spark, folder):
 def test_windowed_files(spark, folder):
     land(folder, "a", ("x", 1, "2026-01-01 00:00:04"), ("y", 2, "2026-01-01 00:00:05"))
     stream = stream_files(spark, f"{folder}/in", READING, "json")
-    wait_all(write_stream_files(windowed_lines(stream, ["id", "v"], "5 seconds", "ts"), f"{folder}/out", f"{folder}/state",
-                                "text", "w", once=True))
+    wait_all(write_stream_files(race_stream.windowed_lines(stream, row_json(["id", "v"]), "5 seconds", "ts"),
+                                f"{folder}/out", f"{folder}/state", "text", "w", once=True))
     folders = {name for name in os.listdir(f"{folder}/out") if name.startswith("w=")}
     assert folders == {"w=20260101-000000", "w=20260101-000005"}
     assert rows(spark.read.text(f"{folder}/out"), "value") == [('{"id":"x","v":1}',), ('{"id":"y","v":2}',)]
 
 
-def test_latest_laps(spark):
-    events = spark.createDataFrame(
-        [("e1", "r", 5, "Lap Completion", "HEL001 completes lap 1", "HEL001", "None"),
-         ("e2", "r", 9, "Lap Completion", "HEL001 completes lap 2", "HEL001", "None"),
-         ("e3", "r", 9, "Overtake", "HEL001 overtakes HEL002", "HEL001", "Position Change"),
-         ("e4", "r", 9, "Lap Completion", "HEL003 completes lap 1", "", "None")], schemas.RACE_EVENT)
-    got = latest_laps(events).collect()
-    assert [(r["key"], json.loads(r["value"])["EventID"]) for r in got] == [("simple_key:HEL001", "e2")]
+def race_records(spark, folder, name, values):
+    """Records shaped like a topic's, as a stream over files; one file per record."""
+    os.makedirs(f"{folder}/{name}")
+    for i, value in enumerate(values):
+        with open(f"{folder}/{name}/{i}.json", "w") as out:
+            out.write(json.dumps({"value": json.dumps(value), "timestamp": f"2026-01-01T00:00:{4 + i:02d}Z"}) + "\n")
+    schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("timestamp", T.TimestampType())])
+    return stream_files(spark, f"{folder}/{name}", schema, "json", files_per_trigger=1).select(
+        F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "timestamp")
 
 
-def test_telemetry_stream_upserts(spark, folder):
-    record = {"HelicopterID": "HEL001", "RaceID": "r", "LapNumber": 1, "Time_s": 9.5, "Speed_km_h": 250.1,
+def test_race_streams(spark, folder):
+    def event(number, moment, helicopter, details):
+        return {"EventID": number, "RaceID": "r", "Timestamp_s": moment, "EventType": "x", "Details": details,
+                "HelicopterID": helicopter, "Impact": "None", "Extra": 1}
+
+    events = [event("e1", 5, "HEL001", "HEL001 completes lap 1"), event("e2", 9, "HEL001", "HEL001 completes lap 2"),
+              event("e3", 9, "HEL001", "HEL001 overtakes HEL002"), event("e4", 9, "", "HEL003 completes lap 1"),
+              event("e5", 9, "HEL001", None)]
+    record = {"HelicopterID": "HEL001", "RaceID": "r", "LapNumber": 1, "Time_s": 9.3, "Speed_km_h": 253.1,
               "Altitude_m": 60.0, "FuelLevel_percentage": 99.9, "EngineTemp_c": 85.3, "RotorRPM": 420, "Latitude": 34.05,
               "Longitude": -118.24}
-    os.makedirs(f"{folder}/in")
-    for name in "ab":   # the same record twice: one row
-        with open(f"{folder}/in/{name}.json", "w") as out:
-            out.write(json.dumps(record) + "\n")
-    schema = T.StructType([T.StructField(f.name, T.DoubleType() if f.name == "EngineTemp_c" else f.dataType)
-                           for f in schemas.TELEMETRY_V2])
-    stream = stream_files(spark, f"{folder}/in", schema, "json", files_per_trigger=1)
-    wait_all(write_stream_upserts(telemetry_rows(stream), f"{folder}/out", f"{folder}/state", once=True, mode="append"))
-    got = read_current(spark, f"{folder}/out", ["id"]).collect()
-    assert len(got) == 1 and float(got[0]["EngineTemp_c"]) == 85.3
+    wait_all(*race_stream.start(
+        race_records(spark, folder, "events_in", events),
+        race_records(spark, folder, "telemetry_in", [record, record, dict(record, HelicopterID=None)]),
+        f"{folder}/out", f"{folder}/state", once=True))
+
+    assert {name for name in os.listdir(f"{folder}/out/events") if name.startswith("w=")} == {
+        "w=20260101-000000", "w=20260101-000005"}
+    assert sorted(json.loads(r["value"])["EventID"] for r in spark.read.text(f"{folder}/out/events").collect()) == [
+        "e1", "e2", "e3", "e4", "e5"]
+    assert spark.read.text(f"{folder}/out/telemetry").count() == 3
+    laps = race_stream.read_laps(spark, f"{folder}/out").collect()
+    assert [(r["key"], json.loads(r["value"])) for r in laps] == [("simple_key:HEL001", events[1])]
+    stored = read_current(spark, f"{folder}/out/telemetry_table", ["id"]).collect()   # the repeat is one row
+    assert [(float(r["EngineTemp_c"]), float(r["Speed_km_h"]), float(r["Time_s"])) for r in stored] == [(85.3, 253.1, 9.3)]
+
+
+def test_repeats_are_dropped(spark, folder):
+    land(folder, "a", ("x", 1, "2026-01-01 00:00:10"), ("x", 1, "2026-01-01 00:00:10"))
+    land(folder, "b", ("x", 1, "2026-01-01 00:00:20"), ("y", 1, "2026-01-01 00:00:20"))
+    once = drop_repeats(timed(spark, folder), ["id"]).select("id")
+    wait_all(write_stream_files(once, f"{folder}/out", f"{folder}/state", once=True))
+    assert rows(spark.read.parquet(f"{folder}/out"), "id") == [("x",), ("y",)]
