@@ -15,8 +15,13 @@ from millrace.streaming.runs import (
 from millrace.streaming.windows import window_counts, window_means, with_event_time, with_window
 
 
+def _source(sf_dir, name="events"):
+    """A pattern, so that a table may be one file or a folder of files."""
+    return f"{sf_dir}/{{{name}}}.parquet"
+
+
 def _stream(spark, sf_dir, name="events"):
-    return stream_files(spark, sf_dir, table(spark, sf_dir, name).schema, glob=f"{name}.parquet")
+    return stream_files(spark, _source(sf_dir, name), table(spark, sf_dir, name).schema)
 
 
 @query("""
@@ -27,7 +32,7 @@ FROM events
 def stream_event_time(spark, sf_dir):
     """Event time and window bounds as data, through the batch or stream switch."""
     schema = table(spark, sf_dir, "events").schema
-    rows = open_rows(spark, sf_dir, schema, streaming=True, glob="events.parquet")
+    rows = open_rows(spark, _source(sf_dir), schema, streaming=True)
     timed = with_window(with_event_time(rows, F.col("ts"), delay="1 hour"), "1 hour")
     path = scratch_path(spark, "event-time")
     wait_all(write_stream_files(timed.select("event_id", "window_start", "window_end"), f"{path}/out", f"{path}/state",
