@@ -16,7 +16,8 @@ def to_int(value: Column) -> Column:
 
 def to_double(value: Column) -> Column:
     """A text as a double; NULL where it is no number. Java's type suffix (``2.5d``) is no number."""
-    return F.when(~value.rlike("[0-9.][dDfF]$"), value.try_cast("double"))
+    suffixed = F.lower(F.right(value, F.lit(1))).isin("d", "f") & ~F.endswith(F.lower(value), F.lit("inf"))
+    return F.when(~suffixed, value.try_cast("double"))
 
 
 def comma_decimal(value: Column) -> Column:

@@ -9,10 +9,15 @@ WORD = "[a-zA-Z]+"
 WORD_WITH_APOSTROPHE = "[a-zA-Z']+"
 LETTER_RUNS = r"(\p{L}+|\P{L}+)"
 
+# Every character that counts as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000")
+
 
 def strip(value: Column) -> Column:
-    """Remove every kind of whitespace at both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+    """Remove every kind of whitespace at both ends (``trim`` alone removes spaces only)."""
+    return F.trim(value, F.lit(WHITESPACE))
 
 
 def title(value: Column) -> Column:
@@ -35,9 +40,14 @@ def words(value: Column, pattern: str = WORD) -> Column:
     return F.regexp_extract_all(value, F.lit(pattern), F.lit(0))
 
 
+def fields(line: Column, separator: str = ",") -> Column:
+    """All fields of a delimited line."""
+    return F.split(line, separator, -1)
+
+
 def field(line: Column, position: int, separator: str = ",") -> Column:
     """One field of a delimited line by 0-based position; NULL past the end."""
-    return F.get(F.split(line, separator, -1), F.lit(position))
+    return F.get(fields(line, separator), F.lit(position))
 
 
 def padded_id(prefix: str, number: Column, width: int = 3) -> Column:

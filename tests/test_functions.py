@@ -27,7 +27,7 @@ def test_title_is_python_title(spark, value):
     assert one(spark, text.title(F.lit(value))) == value.title()
 
 
-@pytest.mark.parametrize("value", ["2.5", " 2.5 ", "NULL", "", "2.5d", "2f", "1e3", "-0.5", "abc", "nan"])
+@pytest.mark.parametrize("value", ["2.5", " 2.5 ", "NULL", "", "2.5d", "2f", "inf", "-Infinity", "1e3", "-0.5", "abc", "nan"])
 def test_to_double_is_python_float(spark, value):
     try:
         expected = float(value)
@@ -37,6 +37,11 @@ def test_to_double_is_python_float(spark, value):
     assert got == expected or (got != got and expected != expected)
 
 
+@pytest.mark.parametrize("value", ["  a b  ", "\t a\r\n", "\u00a0a\u3000", "\x1fa\x85", "", " \t", "\u200ba"])
+def test_strip_is_python_strip(spark, value):
+    assert one(spark, text.strip(F.lit(value))) == value.strip()
+
+
 def test_numbers(spark):
     assert one(spark, numbers.whole_part(F.lit(100.99))) == 100
     assert one(spark, numbers.whole_part(F.lit("x"))) is None

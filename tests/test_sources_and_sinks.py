@@ -75,6 +75,12 @@ def test_text_csv_and_json_lines(spark, users, folder):
         r[0] for r in read_lines(spark, f"{folder}/json").collect()}
 
 
+def test_lines_end_both_ways(spark, folder):
+    with open(f"{folder}/x.txt", "wb") as out:
+        out.write(b"a\r\n\nb\rc\nd\r\r\n")
+    assert [r[0] for r in read_lines(spark, f"{folder}/x.txt").collect()] == ["a", "", "b\rc", "d\r"]
+
+
 def test_avro_schema_types():
     parsed = avro_schema.struct_from_avro({"type": "record", "name": "All", "fields": [
         {"name": "a", "type": "int"}, {"name": "b", "type": ["string", "null"]}, {"name": "c", "type": ["null", "long"]},
