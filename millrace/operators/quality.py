@@ -108,3 +108,10 @@ def verdict(report: DataFrame, tolerance: int = 0) -> DataFrame:
 def choose_route(report: DataFrame, tolerance: int = 0) -> str:
     """The route as text, for the driver's ``if``: reads the single verdict row."""
     return verdict(report, tolerance).first()["route"]
+
+
+def write_by_route(df: DataFrame, report: DataFrame, normal_path: str, reprocess_path: str, tolerance: int = 0) -> str:
+    """Write the rows where the verdict sends them, and say which route it was."""
+    route = choose_route(report, tolerance)
+    df.write.mode("overwrite").parquet(normal_path if route == NORMAL_FLOW else reprocess_path)
+    return route

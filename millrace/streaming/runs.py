@@ -69,6 +69,11 @@ def to_sinks(*writes: Callable[[DataFrame, int], None]) -> Callable[[DataFrame,
 
 
 def wait_all(*queries: StreamingQuery) -> None:
-    """Wait until every stream has ended; the first failure is raised."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait until every stream has ended. When one fails, the others are stopped and its error is raised."""
+    running = list(queries)
+    try:
+        while running:
+            running = [query for query in running if not query.awaitTermination(1)]
+    finally:
+        for query in running:
+            query.stop()

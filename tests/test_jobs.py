@@ -148,6 +148,14 @@ def test_every_check_can_fail(spark):
     assert quality.offending(readings, daily_mart.reading_checks()[4]).count() == 1
 
 
+def test_rows_go_where_the_verdict_sends_them(spark, folder):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "id int")
+    report = quality.run_checks(df, [quality.unique("id")])
+    assert quality.write_by_route(df, report, f"{folder}/ok", f"{folder}/again") == quality.REPROCESS
+    assert quality.write_by_route(df, report, f"{folder}/ok", f"{folder}/no", tolerance=1) == quality.NORMAL_FLOW
+    assert sorted(os.listdir(folder)) == ["again", "ok"] and spark.read.parquet(f"{folder}/again").count() == 3
+
+
 CUSTOMERS = """user_id,name_raw,location_code,order_value,is_active_flag
 101,jOHn DoE,US_NY,150.55,1
 102,ALICE smith,GB_LDN,20.00,0

@@ -94,6 +94,19 @@ def test_failing_sink_fails_the_stream(spark, folder):
         wait_all(write_stream_batches(stream, to_sinks(broken), f"{folder}/state", once=True))
 
 
+def test_one_failure_ends_all_streams(spark, folder):
+    land(folder, "a", ("x", 1, "2026-01-01 00:00:10"))
+
+    def broken(batch, batch_id):
+        raise RuntimeError("no space")
+
+    endless = write_stream_files(stream_files(spark, f"{folder}/in", READING, "json"), f"{folder}/out", f"{folder}/s1")
+    failing = write_stream_batches(stream_files(spark, f"{folder}/in", READING, "json"), broken, f"{folder}/s2")
+    with pytest.raises(Exception, match="no space"):
+        wait_all(endless, failing)
+    assert not endless.isActive
+
+
 def test_windowed_files(spark, folder):
     land(folder, "a", ("x", 1, "2026-01-01 00:00:04"), ("y", 2, "2026-01-01 00:00:05"))
     stream = stream_files(spark, f"{folder}/in", READING, "json")
