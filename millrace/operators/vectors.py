@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -137,23 +136,32 @@ def _matrix(vectors) -> np.ndarray:
     return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
 
 
-def _distances(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
-    """Fast distances by one matrix product; good to about 1e-12 of the vector lengths."""
+def _distances(queries: np.ndarray, rows: np.ndarray, metric: str) -> tuple[np.ndarray, float]:
+    """Fast distances by one matrix product, and how far off they may be."""
     products = queries @ rows.T
+    q_squares, r_squares = (queries * queries).sum(axis=1)[:, None], (rows * rows).sum(axis=1)[None, :]
+    rounding = 8 * (queries.shape[1] + 1) * np.finfo(np.float64).eps
     if metric == "cosine":
-        lengths = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(rows, axis=1)[None, :]
-        return 1.0 - products / lengths
-    squares = (queries * queries).sum(axis=1)[:, None] + (rows * rows).sum(axis=1)[None, :]
-    return squares - 2.0 * products
+        lengths = np.sqrt(q_squares) * np.sqrt(r_squares)
+        return 1.0 - np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0), rounding
+    return q_squares + r_squares - 2.0 * products, rounding * float(q_squares.max() + r_squares.max())
 
 
-def _pair_distance(query: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
-    """The distances that are reported: equal vectors get equal distances, to the last bit."""
-    if metric == "cosine":
-        dots = np.cumsum(rows * query, axis=1)[:, -1]
-        lengths = np.sqrt(np.cumsum(rows * rows, axis=1)[:, -1]) * np.sqrt(np.cumsum(query * query)[-1])
-        return 1.0 - dots / lengths
-    return np.cumsum((rows - query) ** 2, axis=1)[:, -1]
+def _pair_distances(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
+    """The distances that are reported, row by row: equal vectors get equal ones, to the last bit."""
+    def total(values: np.ndarray) -> np.ndarray:
+        return np.cumsum(values, axis=1)[:, -1]   # left to right, whatever the number of rows
+
+    if metric == "l2":
+        return total((rows - queries) ** 2)
+    lengths = np.sqrt(total(queries * queries)) * np.sqrt(total(rows * rows))
+    dots = total(rows * queries)
+    return 1.0 - np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
+
+
+def _rank_in_group(groups: np.ndarray) -> np.ndarray:
+    """The position of each entry among the equal ones of a sorted array."""
+    return np.arange(len(groups)) - np.searchsorted(groups, groups, "left")
 
 
 class _Best:
@@ -163,30 +171,46 @@ class _Best:
         if metric not in ("l2", "cosine"):
             raise ValueError(f"unknown metric: {metric}")
         self.query_ids, self.queries, self.k, self.metric = query_ids, queries, k, metric
-        self.found: list[list[tuple]] = [[] for _ in query_ids]
+        self.position, self.distance, self.ids = np.zeros(0, dtype=np.int64), np.zeros(0), None
+        self.bound = np.full(len(query_ids), np.inf)
 
     def offer(self, ids, embeddings) -> None:
-        ids, rows = ids.to_pylist(), _matrix(embeddings)
-        if not len(self.query_ids):
+        if not len(self.query_ids) or not len(ids):
             return
+        ids, rows = self._few_copies(np.array(ids.to_pylist()), _matrix(embeddings))
         step = max(64, 4_000_000 // len(self.query_ids))  # keeps the distance table near 32 MB
         for start in range(0, len(ids), step):
             self._offer(ids[start:start + step], rows[start:start + step])
 
-    def _offer(self, ids: list, rows: np.ndarray) -> None:
-        rough = _distances(self.queries, rows, self.metric)
+    def _few_copies(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of equal vectors only the first ``k`` ids can be among the nearest."""
+        _, same = np.unique(rows, axis=0, return_inverse=True)
+        order = np.lexsort((ids, same))
+        kept = order[_rank_in_group(same[order]) < self.k]
+        return ids[kept], rows[kept]
+
+    def _offer(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        rough, slack = _distances(self.queries, rows, self.metric)
         last = min(self.k, len(ids)) - 1
-        bound = np.partition(rough, last, axis=1)[:, last]
-        slack = 1e-9 * (1.0 + np.abs(rough).max())
-        for q, limit in enumerate(bound):
-            near = np.flatnonzero(rough[q] <= limit + slack)
-            exact = _pair_distance(self.queries[q], rows[near], self.metric)
-            merged = self.found[q] + [(float(d), ids[i]) for d, i in zip(exact, near)]
-            self.found[q] = sorted(merged)[:self.k]
+        bound = np.minimum(np.partition(rough, last, axis=1)[:, last], self.bound) + slack
+        query, row = np.nonzero(rough <= bound[:, None])
+        step = max(1, 4_000_000 // rows.shape[1])
+        exact = [_pair_distances(self.queries[query[i:i + step]], rows[row[i:i + step]], self.metric)
+                 for i in range(0, len(query), step)]
+        self._merge(query, np.concatenate([np.zeros(0), *exact]), ids[row])
+
+    def _merge(self, position: np.ndarray, distance: np.ndarray, ids: np.ndarray) -> None:
+        if self.ids is not None:
+            position, distance = np.append(self.position, position), np.append(self.distance, distance)
+            ids = np.append(self.ids, ids)
+        order = np.lexsort((ids, distance, position))
+        rank = _rank_in_group(position[order])
+        order, rank = order[rank < self.k], rank[rank < self.k]
+        self.position, self.distance, self.ids = position[order], distance[order], ids[order]
+        full = rank == self.k - 1
+        self.bound[self.position[full]] = self.distance[full]
 
     def as_batch(self, schema: pa.Schema) -> pa.RecordBatch:
-        hits = [(query_id, row_id, distance)
-                for query_id, best in zip(self.query_ids.tolist(), self.found) for distance, row_id in best]
-        columns = zip(*hits) if hits else repeat([], 3)
-        return pa.record_batch([pa.array(list(values), kind) for values, kind in zip(columns, schema.types)],
-                               schema=schema)
+        found = [] if self.ids is None else self.ids.tolist()
+        columns = (self.query_ids[self.position].tolist(), found, self.distance.tolist())
+        return pa.record_batch([pa.array(values, kind) for values, kind in zip(columns, schema.types)], schema=schema)

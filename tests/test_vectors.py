@@ -36,6 +36,19 @@ def test_nearest(spark, metric, limit):
     assert all(r["distance"] >= -1e-12 for r in found)
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_far_from_the_origin_and_empty_vectors(spark, limit):
+    """Close neighbours far out, where a matrix product alone would lose them; zero vectors have cosine distance 1."""
+    base = 1e6
+    corpus = spark.createDataFrame([(i, [base + i * 0.125, base]) for i in range(50)], "id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(7, [base + 7 * 0.125, base])], "id bigint, embedding array<double>")
+    found = nearest(asked, corpus, 3, max_broadcast_numbers=limit).orderBy("rank").collect()
+    assert [(r["id"], r["distance"]) for r in found] == [(7, 0.0), (6, 0.015625), (8, 0.015625)]
+    zero = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 1.0])], "id bigint, embedding array<double>")
+    found = nearest(zero, zero, 2, "cosine", max_broadcast_numbers=limit).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["id"], round(r["distance"], 9)) for r in found] == [(1, 1, 1.0), (1, 2, 1.0), (2, 2, 0.0), (2, 1, 1.0)]
+
+
 def test_nearest_of_few_and_none(spark):
     schema = "id string, embedding array<float>"
     corpus = spark.createDataFrame([("a", [1.0, 0.0])], schema)
