@@ -77,4 +77,5 @@ def row_json(names: list[str]) -> Column:
 
 def stable_id(*columns: Column) -> Column:
     """A repeatable row id: the same record always gets the same one."""
-    return F.sha2(F.concat_ws("#", *[column.cast("string") for column in columns]), 256)
+    parts = [F.coalesce(column.cast("string"), F.lit("")) for column in columns]
+    return F.sha2(F.concat_ws("#", *parts), 256)

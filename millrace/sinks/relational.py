@@ -61,9 +61,12 @@ def upsert_rows(rows: Iterable, connect: Callable, statement: str, batch_size: i
 
 def write_upserts(df: DataFrame, connect: Callable, table: str, key: str, batch_size: int = 1000,
                   max_connections: int = 16) -> None:
-    """Upsert all rows. ``connect`` opens a DB-API connection inside a task."""
+    """Upsert all rows. ``connect`` opens a DB-API connection inside a task.
+
+    Rows of one key go through one connection, so tasks do not wait for each other's locks.
+    """
     statement = upsert_statement(table, df.columns, key)
-    df.repartition(max_connections).foreachPartition(
+    df.repartition(max_connections, key).foreachPartition(
         lambda rows: upsert_rows(rows, connect, statement, batch_size))
 
 

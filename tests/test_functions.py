@@ -83,6 +83,8 @@ def test_records(spark):
     assert one(spark, records.map_lookup(F.lit("b"), {"a": 1}, 0)) == 0
     assert one(spark, records.default_key(F.lit(None), "x")) == "x"
     assert one(spark, records.stable_id(F.lit("r"), F.lit(1.5))) == one(spark, records.stable_id(F.lit("r"), F.lit(1.5)))
+    gap = F.lit(None).cast("string")
+    assert one(spark, records.stable_id(F.lit("r"), gap, F.lit("x"))) != one(spark, records.stable_id(F.lit("r"), F.lit("x"), gap))
     for missing in (F.lit(None).cast("string"), F.lit("")):
         with pytest.raises(Exception, match="no key here"):
             one(spark, records.required_key(missing, "no key here"))

@@ -4,7 +4,9 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
+from millrace.operators.running import running_totals
 from millrace.queries import QUERIES
 from millrace.queries.registry import table
 
@@ -60,6 +62,20 @@ def test_windows_shuffle_the_rows_once(spark, name):
     assert plan.split("(1)")[0].count("Exchange") <= (1 if name != "join_inner_first" else 2)
 
 
+def test_cells_shuffle_the_hot_rows_once(spark):
+    events = table(spark, SF, "events").select("event_id", "user_id", "ts")
+    cut = running_totals(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), hot_rows=0)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        cut.explain()
+    lines = out.getvalue().splitlines()
+    # cold rows once, hot rows once; the totals per cell, which are few, go to their cell, their key and back
+    assert sum("Exchange hashpartitioning" in line for line in lines) == 5
+    join = next(i for i, line in enumerate(lines) if "ShuffledHashJoin" in line)
+    window = max(i for i, line in enumerate(lines[:join]) if "Window" in line)
+    assert not any("Exchange" in line for line in lines[window:join])   # the window reuses the join's partitioning
+
+
 def test_no_python_and_no_cross_join(spark):
     for name, run in QUERIES.items():
         if name.startswith(("stream_", "vec_")):
