@@ -9,15 +9,16 @@ time where adaptive execution is off, as in a streaming query.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.operators.clean import concat_rows, first_per_key
 from millrace.operators.histories import CHUNK_ROWS, chunk_entry, collect_entries, place_in_chunks
 
 
 def _salted(fact: DataFrame, dim: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
-    # The salt is a function of the row, so a recomputed task gives the same one.
-    return (fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int")),
+    # The salt is a function of the row, so a recomputed task gives the same one. Maps have no hash.
+    hashed = [field.name for field in fact.schema if not isinstance(field.dataType, T.MapType)]
+    return (fact.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")),
             dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
 
 

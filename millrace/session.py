@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHIPPED = "millrace.package.shipped"
 ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -31,15 +34,29 @@ def build_session(app_name: str = "millrace", master: str | None = None, conf: d
     settings.update(conf or {})
     for name, value in settings.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Read and print timestamps in UTC, whatever the machine's own zone is."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make any session fit for the library: timestamps in UTC, and the package known to the Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, as ``--py-files`` would."""
+    if spark.conf.get(SHIPPED, None) == spark.sparkContext.applicationId:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="millrace-package-")) / f"millrace-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    spark.conf.set(SHIPPED, spark.sparkContext.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
