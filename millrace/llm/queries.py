@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.jaccard import jaccard_components
+from millrace.llm.language import identify_languages, learn_languages
+from millrace.llm.mixing import domain_of_labels, mixing_rates
+from millrace.llm.packing import pack_documents
+from millrace.llm.urls import judge_urls
+from millrace.llm.warc import archived_captures
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +32,62 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op6_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+TARGETS = {"good": 0.90, "low": 0.08, "toxic": 0.02}
+
+
+@query()
+def op2_mixing_rates(spark, sf_dir):
+    """``doc_id, tokens, good, low, toxic, rate`` of every document."""
+    labels = table(spark, sf_dir, "labels").withColumn("domain", domain_of_labels())
+    rated = mixing_rates(table(spark, sf_dir, "documents"), labels, TARGETS)
+    return rated.select("doc_id", "tokens", *[F.col("posteriors")[x].alias(x) for x in TARGETS], "rate")
+
+
+@query()
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    found = identify_languages(docs, learn_languages(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op8_best_fit_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query("""
+WITH u AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(h, p, rule, verdict) AS (VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+                                  ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')),
+m AS (SELECT p.host, p.path, arg_max(r.rule, length(r.h) * 1000 + length(r.p)) AS rule, arg_max(r.verdict, length(r.h) * 1000 + length(r.p)) AS verdict
+      FROM (SELECT DISTINCT host, path FROM p) p JOIN r ON (p.host = r.h OR ends_with(p.host, '.' || r.h)) AND starts_with(p.path, r.p)
+      GROUP BY 1, 2)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN m USING (host, path)""")
+def op3_url_filters(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM f)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN top END AS refers_to
+FROM w""")
+def op5_warc_captures(spark, sf_dir):
+    captures = archived_captures(table(spark, sf_dir, "pages"), with_payload=False)
+    return captures.select(
+        F.col("metadata.page_id").alias("page_id"), F.col("capture.payload_bytes").alias("payload_bytes"),
+        F.col("capture.payload_digest").alias("payload_digest"), F.col("capture.type").alias("record_type"),
+        F.col("original.page_id").alias("refers_to"))
