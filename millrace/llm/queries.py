@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.language import identify_languages, learn_languages
 from millrace.llm.mixing import domain_of_labels, mixing_rates
+from millrace.llm.near_vectors import near_vectors
 from millrace.llm.packing import pack_documents
 from millrace.llm.urls import judge_urls
 from millrace.llm.warc import archived_captures
@@ -91,3 +92,8 @@ def op5_warc_captures(spark, sf_dir):
         F.col("metadata.page_id").alias("page_id"), F.col("capture.payload_bytes").alias("payload_bytes"),
         F.col("capture.payload_digest").alias("payload_digest"), F.col("capture.type").alias("record_type"),
         F.col("original.page_id").alias("refers_to"))
+
+
+@query()
+def op4_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
