@@ -10,6 +10,7 @@ from millrace.llm.language import identify_languages, learn_languages
 from millrace.llm.mixing import domain_of_labels, mixing_rates
 from millrace.llm.near_vectors import near_vectors
 from millrace.llm.packing import pack_documents
+from millrace.llm.topk import exact_topk
 from millrace.llm.urls import judge_urls
 from millrace.llm.warc import archived_captures
 
@@ -97,3 +98,9 @@ def op5_warc_captures(spark, sf_dir):
 @query()
 def op4_embedding_near_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op9_exact_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk(vectors, vectors.filter("vec_id % 50 = 0"))
