@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -51,43 +53,75 @@ class BestFit:
         return chosen, self.capacity - free
 
 
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is printable, else one above 255."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (chr(256 + k) for k in range(256))
+    return [chr(b) if b in printable else next(others) for b in range(256)]
+
+
 class WordTokens:
     """Token ids of texts, as little-endian bytes, with the ids of short stretches between white space remembered.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are those of its stretches in order.
-    Texts that may hold the strings of special tokens are encoded whole.
+    The vocabulary drops white space and never joins across it, so a text's ids are those of its stretches in order. A
+    stretch of Latin letters with punctuation after them is one word and one mark to the model, and is put to it as such;
+    others take the tokenizer's whole way. Texts that may hold the strings of special tokens are encoded whole.
     """
 
-    LONGEST, MOST = 48, 200_000
+    LONGEST, MOST = 32, 500_000
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
+    LETTERS = _byte_letters()
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    @classmethod
+    @functools.lru_cache(maxsize=4)
+    def shared(cls, path: str) -> WordTokens:
+        """One per worker process, so that what a task has met serves the next."""
+        return cls(path)
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            written = word if word.isascii() else "".join(self.LETTERS[b] for b in word.encode())
+            found = np.array([x.id for x in self.tokenizer.model.tokenize(written)], "<u4").tobytes()
+            if len(self.words) < self.MOST:
+                self.words[word] = found
+        return found
 
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        found = self.model.encode_batch([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _whole(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _stretch(self, stretch: bytes) -> bytes:
+        if len(stretch) > self.LONGEST:
+            return self._whole(stretch)
+        plain = self.PLAIN.fullmatch(stretch.decode("utf-8", "replace"))
+        if plain is None:
+            ids = self._whole(stretch)
+        else:
+            ids = self._word(plain[1].lower()) + (self._word(plain[2]) if plain[2] else b"")
+        if len(self.known) < self.MOST:
+            self.known[stretch] = ids
+        return ids
 
     def ids(self, text: bytes) -> bytes:
         if b"<|" in text:
-            return self._encode([text])[0]
-        stretches, known = text.split(), self.known
-        parts = list(map(known.get, stretches))
+            return self._whole(text)
+        stretches = text.split()
+        parts = list(map(self.known.get, stretches))
         if None in parts:
-            new = list({stretches[k] for k, part in enumerate(parts) if part is None})
-            ids = dict(zip(new, self._encode(new), strict=True))
-            parts = [ids[stretches[k]] if part is None else part for k, part in enumerate(parts)]
-            if len(known) + len(ids) > self.MOST:
-                known.clear()
-            known.update((x, y) for x, y in ids.items() if len(x) <= self.LONGEST)
+            parts = [self._stretch(stretches[k]) if part is None else part for k, part in enumerate(parts)]
         return b"".join(parts)
 
 
 def _pack(path: str, capacity: int, end_id: int, open_bins: int, lookahead: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, bins, waiting = WordTokens(path), BestFit(capacity, open_bins), []
+        tokens, bins, waiting = WordTokens.shared(path), BestFit(capacity, open_bins), []
         base, end = TaskContext.get().partitionId() << 40, np.array([end_id], "<u4").tobytes()
 
         def placed() -> pa.RecordBatch:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.llm.chat import preference_pairs, swapped_replies
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.language import identify_languages, learn_languages
+from millrace.llm.licences import scan_licences
 from millrace.llm.mixing import domain_of_labels, mixing_rates
 from millrace.llm.near_vectors import near_vectors
 from millrace.llm.packing import pack_documents
@@ -104,3 +106,46 @@ def op4_embedding_near_dedup(spark, sf_dir):
 def op9_exact_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return exact_topk(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query()
+def op10_licence_scan(spark, sf_dir):
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+e AS (SELECT conv_id, max(turn) AS latest, max(CASE WHEN role = 'assistant' THEN turn END) AS reply FROM t GROUP BY 1),
+l AS (SELECT conv_id, coalesce(reply, latest) AS last, reply FROM e),
+s AS (SELECT t.conv_id, 'chosen' AS side, t.turn, t.role, t.text FROM t JOIN l USING (conv_id) WHERE t.turn <= l.last
+      UNION ALL SELECT t.conv_id, 'rejected', t.turn, t.role, t.text FROM t JOIN l USING (conv_id) WHERE t.turn < l.last
+      UNION ALL SELECT l.conv_id, 'rejected', l.last, 'assistant', o.text
+                FROM l JOIN l p ON p.conv_id = xor(l.conv_id, 1) AND p.reply IS NOT NULL
+                JOIN (SELECT conv_id, turn, max(text) AS text FROM t WHERE role = 'assistant' GROUP BY 1, 2) o
+                  ON o.conv_id = p.conv_id AND o.turn = p.reply),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn, role, text) AS k FROM s),
+d AS (SELECT conv_id, min(k) - 1 AS common FROM (
+        SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.k, r.k) AS k
+        FROM (SELECT * FROM n WHERE side = 'chosen') c FULL JOIN (SELECT * FROM n WHERE side = 'rejected') r
+          ON c.conv_id = r.conv_id AND c.k = r.k
+        WHERE c.text IS DISTINCT FROM r.text OR c.role IS DISTINCT FROM r.role) GROUP BY 1),
+m AS (SELECT n.*, coalesce(d.common, max(n.k) OVER (PARTITION BY n.conv_id)) AS common FROM n LEFT JOIN d USING (conv_id)),
+f AS (SELECT *, '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body FROM m),
+g AS (SELECT *, sum(CASE WHEN k > common THEN length(head) + length(body) ELSE 0 END)
+                  OVER (PARTITION BY conv_id, side ORDER BY k) - length(body) AS start FROM f)
+SELECT conv_id, any_value(common)::INT AS common_turns,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (side = 'chosen' AND k <= common), '') AS prompt,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (side = 'chosen' AND k > common), '') AS chosen,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (side = 'rejected' AND k > common), '') AS rejected,
+       coalesce(string_agg(start || '+' || length(body), ' ' ORDER BY k) FILTER (side = 'chosen' AND k > common AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg(start || '+' || length(body), ' ' ORDER BY k) FILTER (side = 'rejected' AND k > common AND role = 'assistant'), '') AS rejected_mask
+FROM g GROUP BY conv_id""")
+def op1_preference_chat(spark, sf_dir):
+    """Masks as text, ``start+length`` of each span."""
+    pairs = preference_pairs(swapped_replies(table(spark, sf_dir, "conversations")).withColumnRenamed("conv_id", "pair_id"))
+
+    def told(mask):
+        return F.array_join(F.transform(mask, lambda x: F.concat(x["start"].cast("string"), F.lit("+"), x["length"].cast("string"))), " ")
+
+    return pairs.withColumnRenamed("pair_id", "conv_id").withColumns({x: told(F.col(x)) for x in ("chosen_mask", "rejected_mask")})
