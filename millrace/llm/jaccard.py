@@ -17,17 +17,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.components import connected_components
+from millrace.llm.match import rows_among, rows_without
 from millrace.llm.words import mix, shingle_sets, slices, utf8
 from millrace.session import stored
 
 SKETCH = 1 << 18        # counters of shingles that repeat, for the order only; any order gives the same links
 COUNTED_AT_ONCE = 1 << 22
-BLOOM_BITS = 1 << 24
 SUBSET = 2
 EASY = 8                # complete comparisons per list entry that are not worth a round of trials
+HOT = 13                # level, 1 + log2 of a sketch counter, from which a shingle's entries are salted
+SALTS = 64
+SET_BYTES = 6           # of each hash in the sets that pairs are decided on
 
 
 def _overlap(num: int, s, t):
@@ -67,7 +70,10 @@ def _signatures(n_words: int):
 
 
 def _keys(n_words: int, num: int, boundary: int, levels):
-    """Per document its keys at the rare end: single shingles in order, or pairs with those of a lister first."""
+    """Per document its keys at the rare end: single shingles in order, or pairs with those of a lister first.
+
+    The lowest bit of a key says that it is frequent.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for batch in slices(batches, "text"):
@@ -78,15 +84,18 @@ def _keys(n_words: int, num: int, boundary: int, levels):
                 if not n or ids[row] is None:
                     continue
                 rank = level[(found & np.uint64(SKETCH - 1)).astype(np.int64)]
-                ordered = found[np.argsort(rank, kind="stable")]
+                order = np.argsort(rank, kind="stable")
+                ordered, ranked = found[order], rank[order]
                 probe = n - -(-num * n // 100) + 1
                 if n < boundary:
                     most = min(n, probe + 1)
                     later, earlier = np.tril_indices(most, -1)
+                    hot = (ranked[earlier] >= HOT).astype(np.uint64)
                     pairs = mix(ordered[earlier] * np.uint64(0xA0761D6478BD642F) + ordered[later] * np.uint64(0xE7037ED1A0B428DB))
-                    rows.append((ids[row], n, True, pairs))
+                    rows.append((ids[row], n, True, pairs & ~np.uint64(1) | hot))
                 if n >= boundary * num // 100:
-                    rows.append((ids[row], n, False, ordered[:probe]))
+                    hot = (ranked[:probe] >= HOT).astype(np.uint64)
+                    rows.append((ids[row], n, False, ordered[:probe] & ~np.uint64(1) | hot))
             if rows:
                 ends = np.cumsum([0, *(len(r[3]) for r in rows)]).astype(np.int32)
                 flat = pa.array(np.concatenate([r[3] for r in rows]).view(np.int64))
@@ -100,16 +109,28 @@ def _whole_sets(n_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingle_sets(*utf8(batch.column("text")), n_words)
-            yield pa.record_batch({"id": batch.column("id"), "shingles": pa.array([x.tobytes() for x in sets], pa.binary())})
+            yield pa.record_batch({"id": batch.column("id"), "shingles": pa.array([packed(x) for x in sets], pa.binary())})
     return run
 
 
+def packed(found: np.ndarray) -> bytes:
+    """The upper ``SET_BYTES`` bytes of each hash; two of one pair of sets are equal by chance once in about 10**9 pairs."""
+    return found.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
+
+
+def unpacked(data: pa.Scalar) -> np.ndarray:
+    held = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, SET_BYTES)
+    wide = np.zeros((len(held), 8), np.uint8)
+    wide[:, :SET_BYTES] = held
+    return wide.view(">u8").ravel().astype(np.uint64)
+
+
 def _linked(num: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(len(batch), bool)
             for row, (x, y) in enumerate(zip(batch.column("of_a"), batch.column("of_b"), strict=True)):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                left, right = unpacked(x), unpacked(y)
                 common = len(np.intersect1d(left, right, assume_unique=True))
                 keep[row] = 100 * common >= num * (len(left) + len(right) - common)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
@@ -140,17 +161,8 @@ def choose_boundary(sizes: dict[int, int], num: int, mates: float) -> int:
     return best
 
 
-def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of ``ids``. A Bloom filter of fixed size sheds most others before any text is shuffled."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(BLOOM_BITS))
-    word, mask = F.shiftright(bit, 6), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
-    bloom = ids.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("mask"))  # BLOOM_BITS / 64 rows at most, whatever the input
-    near = docs.withColumn("word", word).join(F.broadcast(bloom), "word").filter(F.col("mask").bitwiseAND(mask) != 0)
-    return near.select("id", "text").join(ids, "id", "left_semi")
-
-
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", n_words: int = 5,
-                       num: int = 80, rounds: int = 4, partners: int = 4) -> DataFrame:
+                       num: int = 80, rounds: int = 3, partners: int = 6) -> DataFrame:
     """Per row ``id_column, n_shingles, component_id`` under the links 100 * intersection >= ``num`` * union.
 
     ``component_id`` is the smallest id reachable by links, the row's own id included. A null or empty text has an empty
@@ -177,67 +189,73 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         mates = float((counts["times"].to_numpy(np.float64).clip(max=1e4)).sum()) / total
     boundary = choose_boundary(sizes, num, mates)
 
-    reps = classes.filter("rep IS NOT NULL").select(F.col("rep").alias("id")).distinct()
+    again = stored(rows.join(classes.select("sign", "rep"), "sign").filter("id <> rep").select("id"), "copies")
     levels = spark.sparkContext.broadcast(level)  # SKETCH bytes
-    keyed = texts.mapInArrow(_keys(n_words, num, boundary, levels), "id long, n int, small boolean, keys array<long>")
+    keyed = rows_without(texts, again, "id").mapInArrow(_keys(n_words, num, boundary, levels), "id long, n int, small boolean, keys array<long>")
     n, position = F.col("n"), F.col("pos")
     listed = n - F.ceil(n * (2 * num) / (100 + num) - 1e-9).cast("int") + 1  # the part that meets larger sets
-    entries = keyed.join(reps, "id", "left_semi").select("id", "n", "small", F.posexplode("keys").alias("pos", "key")).select(
+    entries = keyed.select("id", "n", "small", F.posexplode("keys").alias("pos", "key")).select(
         "key", "id", "n", F.when(F.col("small"), n).otherwise(n - position).alias("rest"),
         F.when(F.col("small"), position < listed * (listed + 1) / 2).otherwise(position < listed).alias("lists"))
-    entries = stored(entries, "entries")
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    lists = stored(entries.join(shared, "key", "left_semi"), "lists")
+    frequent = F.col("key").bitwiseAND(1) == 1
+    entries = entries.withColumn("salt", F.when(frequent, F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+    shared = F.count(F.lit(1)).over(Window.partitionBy("key", "salt"))  # frequent keys stay in any case, so salts may part them
+    lists = stored(entries.withColumn("c", shared).filter((F.col("c") > 1) | frequent).drop("c", "salt"), "lists")
     span = lists.groupBy("key").agg(F.max("lists").alias("any"), F.min("n").alias("least"), F.max("rest").alias("most"),
-                                    F.countDistinct("id").alias("members")).filter("any AND members > 1")
+                                    F.min("id").alias("lo"), F.max("id").alias("hi")).filter("any AND lo < hi")
     possible = F.least("rest", "most") * (100 + num) >= num * (n + F.greatest(F.col("least"), F.ceil(n * num / 100 - 1e-9)))
     lists = stored(lists.join(span, "key").filter(possible).select("key", "id", "n", "rest", "lists"), "lists")
-    ids = stored(lists.select("id").distinct(), "candidates")
-    sets = stored(_among(texts, ids).mapInArrow(_whole_sets(n_words), "id long, shingles binary"), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")
+        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
+        sets = stored(rows_among(texts, ids, "id").mapInArrow(_whole_sets(n_words), "id long, shingles binary"), "sets")
         left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
         right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-        both = stored(pairs, "pairs").join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-        return both.mapInArrow(_linked(num), "a long, b long")
-
-    fits = ((F.least("rest", "h_rest") * (100 + num) >= num * (n + F.col("h_n")))
-            & (100 * F.least("n", "h_n") >= num * F.greatest("n", "h_n"))
-            & (F.col("lists") & (n <= F.col("h_n")) | F.col("h_lists") & (F.col("h_n") <= n)))
-    as_hub = [F.col(x).alias(f"h_{x}") for x in ("id", "n", "rest", "lists", "component")]
-    components, links = None, None
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+        return stored(both.mapInArrow(_linked(num), "a long, b long"), "links")
+
+    def fits(h_n, h_rest, h_lists):
+        return ((F.least("rest", h_rest) * (100 + num) >= num * (n + h_n)) & (100 * F.least("n", h_n) >= num * F.greatest("n", h_n))
+                & (F.col("lists") & (n <= h_n) | h_lists & (h_n <= n)))
+
+    components, links, placed = None, None, lists.withColumn("component", F.col("id"))
     for turn in range(rounds + 1):
-        placed = lists if components is None else lists.join(components, lists.id == components.node, "left").drop("node")
-        placed = placed.withColumn("component", F.coalesce("component", "id") if components is not None else F.col("id"))
+        if components is not None:
+            placed = lists.join(components, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
         sized = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-        apart = stored(sized.groupBy("key").agg(F.sum("c").alias("c"), F.max("c").alias("most"), F.count(F.lit(1)).alias("kinds"),
-                                                F.max_by("component", F.struct("c", "component")).alias("largest"))
+        apart = stored(sized.groupBy("key").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("kinds"),
+                                                F.max_by("component", F.struct("c", "component")).alias("largest"), F.max("c").alias("most"))
                        .filter("kinds > 1"), "apart")
         work = apart.agg(F.sum(F.col("c").cast("double")), F.sum((F.col("c") - F.col("most")) * F.col("c").cast("double"))).first()
         if work[0] is None:
             break
         last = turn == rounds or work[1] <= EASY * work[0]
-        placed = stored(placed.join(apart.select("key", "largest"), "key"), "placed")
+        placed = placed.join(apart.select("key", "largest"), "key")
         if last:  # all that are apart: members outside a list's largest component against the whole list
-            hub = placed.filter("component <> largest").select("key", *as_hub)
-        else:
-            hub = placed.groupBy("key").agg(F.min_by(F.struct("id", "n", "rest", "lists", "component"),
-                                                     F.xxhash64("id", "key", F.lit(turn))).alias("h"))
-            hub = hub.select("key", "h.*").select("key", *as_hub)
-        pairs = placed.join(hub, "key").filter(F.col("component") != F.col("h_component")).filter(fits).select(
-            F.least("id", "h_id").alias("a"), F.greatest("id", "h_id").alias("b"), "id", F.xxhash64("id", "h_id").alias("luck"))
-        if not last:
-            tries = pairs.distinct().groupBy("id").agg(F.slice(F.array_sort(F.collect_set(F.struct("luck", "a", "b"))), 1, partners).alias("tried"))
-            pairs = tries.select(F.explode("tried").alias("p")).select("p.a", "p.b").distinct()
-        else:
-            pairs = pairs.select("a", "b").distinct()
-        found = stored(verified(pairs), "links")
+            placed = stored(placed, "placed")
+            hub = placed.filter("component <> largest").select("key", *[F.col(x).alias(f"h_{x}") for x in ("id", "n", "rest", "lists", "component")])
+            met = placed.join(hub, "key").filter((F.col("component") != F.col("h_component")) & fits(F.col("h_n"), F.col("h_rest"), F.col("h_lists")))
+            pairs = met.select(F.least("id", "h_id").alias("a"), F.greatest("id", "h_id").alias("b")).distinct()
+        else:  # every member with a few members of its lists, the same for lists with the same members
+            placed = stored(placed, "placed")
+            luck = [F.xxhash64("id", F.lit(turn * partners + k)) for k in range(partners)]
+            hubs = placed.groupBy("key").agg(*[F.min(F.struct(x.alias("luck"), "id", "n", "rest", "lists", "component")).alias(f"h{k}") for k, x in enumerate(luck)])
+            tried = []
+            for k in range(partners):
+                h = F.col(f"h{k}")
+                good = (F.col("component") != h["component"]) & fits(h["n"], h["rest"], h["lists"])
+                tried.append(F.min(F.when(good, F.struct(h["luck"].alias("luck"), h["id"].alias("id")))).alias(f"t{k}"))
+            chosen = placed.join(hubs, "key").groupBy("id").agg(*tried)
+            pairs = chosen.select("id", F.explode(F.array(*[F.col(f"t{k}.id") for k in range(partners)])).alias("h")).filter("h IS NOT NULL").select(
+                F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
+        found = verified(pairs)
         links = found if links is None else links.union(found)
         components = stored(connected_components(links), "components")
         if last:
             break
     if components is None:
-        components = reps.filter("false").select(F.col("id").alias("node"), F.col("id").alias("component"))
+        components = lists.filter("false").select(F.col("id").alias("node"), F.col("id").alias("component"))
     named = classes.join(components, classes.rep == components.node, "left").select(
         "sign", F.coalesce("component", "rep").alias("component"))
     return rows.join(named, "sign", "left").select(

@@ -97,14 +97,15 @@ def _scan(templates: Mapping[str, str], threshold: float):
                         if near[max(a, b - 1)] - near[a] < least and not single:
                             continue
                         grams = bigrams(words[a:b])
+                        fits: dict[str, float] = {}
                         for name, template in sets.items():
                             small, large = sorted((len(grams), len(template)))
-                            if 2 * small < threshold * (small + large):  # no overlap can reach the threshold
-                                continue
-                            dice = 2 * len(np.intersect1d(grams, template, assume_unique=True)) / (small + large)
+                            if 2 * small >= threshold * (small + large):  # else no overlap can reach the threshold
+                                fits[name] = 2 * len(np.intersect1d(grams, template, assume_unique=True)) / (small + large)
+                        name = min(fits, key=lambda x: (-fits[x], x), default=None)
+                        if name is not None and fits[name] >= threshold:
                             start, stop = int(lines[first[row] + top] - offsets[row]), int(lines[first[row] + end] - offsets[row])
-                            if dice >= threshold and (-dice, stop - start, start) < best.get(name, (0.0,)):
-                                best[name] = (-dice, stop - start, start)
+                            best[name] = min(best.get(name, (0.0,)), (-fits[name], stop - start, start))
                     out += [(ids[row], name, -x[0], x[2], x[1]) for name, x in sorted(best.items())]
             columns = list(zip(*out, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64())
@@ -114,14 +115,14 @@ def _scan(templates: Mapping[str, str], threshold: float):
 
 def scan_licences(docs: DataFrame, templates: Mapping[str, str] = NOTICES, threshold: float = 0.85, id_column: str = "doc_id",
                   text_column: str = "text") -> DataFrame:
-    """``id_column, licence, dice, start_byte, n_bytes``: per row and template the best stretch with a Dice of ``threshold`` or more.
+    """``id_column, licence, dice, start_byte, n_bytes``: per row and template the best stretch whose best template it is.
 
     A stretch is a line, a paragraph (lines up to one without words) or the whole text, so a notice is found alone as well
     as within a text. Words are runs of ASCII letters and digits and of other characters, A-Z in lower case; all else is
     white space. The coefficient is 2 |A and B| / (|A| + |B|) over the distinct pairs of neighbouring words, and a stretch of
     one word has that word as its pair. Templates whose size alone rules the threshold out are not compared, nor are texts
     without any pair of a template. Of equal coefficients the shortest stretch counts, then the first; its place is in
-    bytes of UTF-8.
+    bytes of UTF-8. Stretches below ``threshold`` are none; of templates that fit a stretch equally the first by name counts.
 
     A null or empty text, and one with no such stretch, gives no row; ids may be null or repeat, each row gives its own.
     Other columns are ignored; an empty table or no templates give an empty result.

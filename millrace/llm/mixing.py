@@ -115,80 +115,70 @@ def _posteriors(model):
     return run
 
 
-def rates_after(shares: np.ndarray, residuals: list[np.ndarray], step: float, momentum: float) -> tuple[np.ndarray, np.ndarray]:
-    """Each document's rate after projected-gradient steps along ``residuals``, and the point of the next step."""
-    rate = ahead = np.ones(len(shares))
-    for residual in residuals:
-        moved = np.maximum(0.0, ahead - step * (shares @ residual))
-        ahead, rate = moved + momentum * (moved - rate), moved
-    return rate, ahead
+def rates_after(shares: np.ndarray, moved: np.ndarray) -> np.ndarray:
+    """Each document's rate: 1 less the steps so far, ``moved`` per domain, projected to the nonnegative."""
+    return np.maximum(0.0, 1.0 - shares @ moved)
 
 
 def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    column = batch.column("posteriors")
-    return np.asarray(column.flatten()).reshape(len(batch), width)
+    return np.asarray(batch.column("posteriors").flatten()).reshape(len(batch), width)
 
 
-def _totals(residuals: list[np.ndarray], step: float, momentum: float, width: int):
+def _sums(moved: np.ndarray, width: int):
+    """Tokens, expected tokens per domain, and the moments of the posteriors of documents whose rate can still move."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, width))
+        total, expected, moments = 0.0, np.zeros(width), np.zeros((width, width))
         for batch in batches:
             shares, tokens = _matrix(batch, width), np.asarray(batch.column("tokens"), np.float64)
-            for k, rate in enumerate(rates_after(shares, residuals, step, momentum)):
-                sums[k] += (tokens * rate) @ shares
-        yield pa.record_batch({"domain": pa.array(np.arange(width, dtype=np.int32)), "rate": pa.array(sums[0]), "ahead": pa.array(sums[1])})
+            rate = rates_after(shares, moved)
+            total += tokens.sum()
+            expected += (tokens * rate) @ shares
+            moments += shares.T @ (shares * (tokens * (rate > 0))[:, None])
+        values = np.concatenate([[total], expected, moments.ravel()])
+        yield pa.record_batch({"cell": pa.array(np.arange(len(values), dtype=np.int32)), "value": pa.array(values)})
     return run
 
 
-def _rates(residuals: list[np.ndarray], step: float, momentum: float, width: int):
+def _rates(moved: np.ndarray, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rate, _ = rates_after(_matrix(batch, width), residuals, step, momentum)
+            rate = rates_after(_matrix(batch, width), moved)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], [*batch.schema.names, "rate"])
     return run
 
 
-def _moments(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((width, width))
-        for batch in batches:
-            shares = _matrix(batch, width)
-            sums += shares.T @ (shares * np.asarray(batch.column("tokens"), np.float64)[:, None])
-        cells = np.arange(width * width, dtype=np.int32)
-        yield pa.record_batch({"cell": pa.array(cells), "value": pa.array(sums.ravel())})
-    return run
-
-
-def solve_rates(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-4, most_steps: int = 80) -> DataFrame:
+def solve_rates(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, most_steps: int = 40) -> DataFrame:
     """``members`` (tokens, posteriors) with the nonnegative ``rate`` of each row.
 
     Least squares of the expected tokens per domain, sum(rate * tokens * posterior), against ``targets`` of the total, by
-    projected gradient with momentum in the metric that weights a row by its tokens, from a rate of 1. A step is one pass
-    over ``members`` that sums a few numbers per task; a row's rate is always recomputed from the residuals so far, so
-    nothing is kept between passes but those. It ends when every domain is within ``tolerance`` of the total, or after
-    ``most_steps``, which only domains that no document may belong to should need.
+    projected gradient from a rate of 1: gradients add up per domain and the rates are their projection, so of all rates
+    that match, those nearest to 1 are found. The squares are weighted by the inverse moments of the posteriors of rates
+    that can still move, so that domains which are rare or alike do not slow it down; a step that makes the match worse
+    is halved. A step is one pass over ``members`` that sums a few numbers per task, and a row's rate is always computed
+    anew from a number per domain, so nothing else is kept between passes. It ends when every domain is within
+    ``tolerance`` of the total, or after ``most_steps``, which only targets that no rates can reach should need; the best
+    point found is then the result.
     """
     width = len(targets)
-    cells = members.mapInArrow(_moments(width), "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()
-    moments = np.zeros(width * width)
-    for row in cells:  # width squared
-        moments[row["cell"]] = row["value"]
-    total = moments.sum()
-    residuals: list[np.ndarray] = []
-    step = momentum = 0.0
-    if total > 0:
-        spread = np.linalg.eigvalsh(moments.reshape(width, width) / total)
-        step = 1 / spread[-1]
-        root = np.sqrt(spread[-1] / max(spread[0], 1e-3 * spread[-1]))
-        momentum = (root - 1) / (root + 1)
-        for _ in range(most_steps):
-            sums = members.mapInArrow(_totals(list(residuals), step, momentum, width), "domain int, rate double, ahead double")
-            now = {r["domain"]: r for r in sums.groupBy("domain").agg(F.sum("rate").alias("rate"), F.sum("ahead").alias("ahead")).collect()}
-            if np.abs(np.array([now[k]["rate"] for k in range(width)]) / total - targets).max() <= tolerance:
-                break
-            residuals.append(np.array([now[k]["ahead"] for k in range(width)]) / total - targets)
+    best, least, move, length = np.zeros(width), np.inf, np.zeros(width), 1.0
+    for _ in range(most_steps):
+        tried = best + length * move
+        cells = members.mapInArrow(_sums(tried, width), "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+        found = {r["cell"]: r["value"] for r in cells.collect()}  # 1 + domains + domains squared
+        total = found.get(0, 0.0)
+        if total <= 0:
+            break
+        residual = np.array([found[1 + k] for k in range(width)]) / total - targets
+        if np.linalg.norm(residual) < least:
+            best, least, length = tried, np.linalg.norm(residual), 1.0
+            moments = np.array([found[1 + width + k] for k in range(width * width)]).reshape(width, width) / total
+            move = np.linalg.solve(moments + 1e-9 * np.eye(width), residual)
+        else:
+            length /= 2
+        if np.abs(residual).max() <= tolerance or length < 1e-4:
+            break
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema) + ", rate double"
-    return members.mapInArrow(_rates(residuals, step, momentum, width), schema)
+    return members.mapInArrow(_rates(best, width), schema)
 
 
 def domain_of_labels() -> Column:
@@ -199,7 +189,7 @@ def domain_of_labels() -> Column:
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_column: str = "doc_id",
                  text_column: str = "text", label_column: str = "domain", most_labelled: int = 4000,
-                 tolerance: float = 1e-4, label_id: str | None = None) -> DataFrame:
+                 tolerance: float = 1e-5, label_id: str | None = None) -> DataFrame:
     """Per row ``id_column, tokens, posteriors, rate``: how often a document is to be used so that the mix has ``targets``.
 
     ``targets`` gives weights per domain, scaled to sum to 1; a learned domain that it does not name has weight 0, and a
