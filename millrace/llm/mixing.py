@@ -25,6 +25,8 @@ class DomainModel:
     temperature: float
 
     def posteriors(self, features: list[np.ndarray]) -> np.ndarray:
+        if not self.domains:
+            return np.zeros((len(features), 0))
         logits = np.tile(self.bias.astype(np.float64), (len(features), 1))
         for row, own in enumerate(features):
             if len(own):
