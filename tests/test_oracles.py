@@ -18,7 +18,7 @@ def connection():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_equals_sql(spark, connection, name):
     assert compare(spark, connection, name, SF) == []
 
