@@ -149,15 +149,14 @@ def choose_boundary(sizes: dict[int, int], num: int, mates: float) -> int:
     def scans(n: int) -> float:
         return (n - -(-num * n // 100) + 1) * (1 + mates)
 
-    ordered = sorted(n for n in sizes if n)
     best, least = 0, math.inf
-    for boundary in [1, *(n + 1 for n in ordered)]:
-        cost = sum(count * ((subsets(n) if n < boundary else 0) + (scans(n) if n >= boundary * num // 100 else 0))
-                   for n, count in sizes.items() if n)
+    for boundary in sorted({1, *(n + 1 for n in sizes), *(-(-(n + 1) * 100 // num) for n in sizes)}):
+        small = sum(count * subsets(n) for n, count in sizes.items() if 0 < n < boundary)
+        if small > least:  # it only grows with the boundary
+            break
+        cost = small + sum(count * scans(n) for n, count in sizes.items() if n >= max(1, boundary * num // 100))
         if cost < least:
             best, least = boundary, cost
-        elif cost > 4 * least:
-            break
     return best
 
 
