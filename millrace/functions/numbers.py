@@ -41,10 +41,10 @@ def clamp(value: Column, low, high) -> Column:
 
 
 def exact(value: Column, digits: int = 2) -> Column:
-    """A double as a decimal, so that a sum does not depend on the order of the rows."""
+    """A double that has at most ``digits`` decimals as a decimal; others are rounded, so it is for amounts of money only."""
     return value.cast(f"decimal(18,{digits})")
 
 
 def price_with_margin(cost: Column, margin: Column) -> Column:
-    """``cost * (1 + margin)`` in decimal arithmetic."""
-    return exact(cost) * (F.lit(1).cast("decimal(18,2)") + exact(margin))
+    """``cost * (1 + margin)`` of the values as they are."""
+    return cost * (F.lit(1) + margin)

@@ -76,6 +76,10 @@ def row_json(names: list[str]) -> Column:
 
 
 def stable_id(*columns: Column) -> Column:
-    """A repeatable row id: the same record always gets the same one."""
-    parts = [F.coalesce(column.cast("string"), F.lit("")) for column in columns]
-    return F.sha2(F.concat_ws("#", *parts), 256)
+    """A repeatable row id: the same record always gets the same one.
+
+    Each part is written with its length, and NULL as a mark of its own, so different records have different ids.
+    """
+    parts = [F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+             for text in (column.cast("string") for column in columns)]
+    return F.sha2(F.concat(*parts), 256)

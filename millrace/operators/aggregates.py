@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.numbers import exact
 from millrace.functions.text import WORD, words
 
 
@@ -30,13 +29,13 @@ def count_words(text: str, pattern: str = WORD, word: str = "word", count: str =
     return step
 
 
-def mean_of(value: Column, digits: int = 2) -> Column:
-    """A mean that does not depend on the order of the rows: decimal sum over count."""
-    return F.sum(exact(value, digits)).cast("double") / F.count(value)
+def mean_of(value: Column) -> Column:
+    """The mean of the values as they are. Sums of doubles may differ in the last digits with the order of the rows."""
+    return F.avg(value.cast("double"))
 
 
-def total_of(value: Column, digits: int = 2) -> Column:
-    return F.sum(exact(value, digits)).cast("double")
+def total_of(value: Column) -> Column:
+    return F.sum(value.cast("double"))
 
 
 def any_flag(rule: Column) -> Column:

@@ -4,30 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.running import HOT_ROWS, running_totals
-from millrace.operators.skew import heavy_keys, split_by_keys
+from millrace.operators.running import running_totals
 
 CHUNK_ROWS = 100_000
 
 
-def place_in_chunks(df: DataFrame, keys: list[str], order_by: list, bucket: Column | None = None,
-                    chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
-    """Add the ``chunk`` of a row: its position among its key's rows, cut every ``chunk_rows``.
-
-    Only the keys that need more than one chunk have their positions computed. None
-    puts each key into one chunk, for data whose keys are known to be small.
-    """
-    if chunk_rows is None:
-        return df.withColumn("chunk", F.lit(0).cast("bigint"))
-    counted = heavy_keys(df, keys, chunk_rows)
-    if counted.isEmpty():
-        return df.withColumn("chunk", F.lit(0).cast("bigint"))
-    large, rest = split_by_keys(df, keys, counted)
-    placed = running_totals(large, keys, order_by, bucket, count="_position", hot_rows=max(chunk_rows, HOT_ROWS),
-                            counted=counted)
+def place_in_chunks(df: DataFrame, keys: list[str], order_by: list, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add the ``chunk`` of a row: its position among its key's rows, cut every ``chunk_rows``."""
+    placed = running_totals(df, keys, order_by, count="_position")
     chunk = F.floor((F.col("_position") - 1) / F.lit(chunk_rows)).cast("bigint")
-    return placed.withColumn("chunk", chunk).drop("_position").unionByName(
-        rest.withColumn("chunk", F.lit(0).cast("bigint")))
+    return placed.withColumn("chunk", chunk).drop("_position")
 
 
 def chunk_entry(order_by: list, items: list[str]) -> Column:
@@ -42,13 +28,11 @@ def collect_entries(entries: DataFrame, keys: list[str], lists: list[str]) -> Da
 
 
 def collect_chunks(df: DataFrame, keys: list[str], order_by: list, items: list[str], into: str,
-                   bucket: Column | None = None, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per key the rows sorted by ``order_by`` as a list of structs of ``items``.
 
-    A key with up to ``chunk_rows`` rows gives one row with ``chunk`` 0. A larger
-    key gives several, numbered in order, so no list and no task ever holds more
-    than ``chunk_rows`` rows of one key while all rows are kept. ``bucket`` is
-    explained at ``running_totals``.
+    A key's list is cut every ``chunk_rows`` rows: it goes on in the rows with ``chunk`` 1, 2 and so on, at every size of
+    the table, and nothing is dropped.
     """
-    placed = place_in_chunks(df, keys, order_by, bucket, chunk_rows)
+    placed = place_in_chunks(df, keys, order_by, chunk_rows)
     return collect_entries(placed.select(*keys, "chunk", chunk_entry(order_by, items).alias(into)), keys, [into])

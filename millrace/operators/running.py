@@ -4,70 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.operators.skew import heavy_keys, split_by_keys
 from millrace.session import stored
 
-HOT_ROWS = 1_000_000
 
+def running_totals(df: DataFrame, keys: list[str], order_by: list, count: str | None = "running_count",
+                   sums: dict[str, str] | None = None) -> DataFrame:
+    """Running row count and running sums per key, in ``order_by`` order; NULL is a key like any other.
 
-def running_totals(df: DataFrame, keys: list[str], order_by: list, bucket: Column | None = None,
-                   count: str | None = "running_count", sums: dict[str, str] | None = None,
-                   hot_rows: int | None = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
-    """Running row count and running sums per key, in ``order_by`` order.
-
-    Keys with up to ``hot_rows`` rows take a plain window: one shuffle. Larger keys
-    are cut along the order into cells, and only a cell has to fit a task. Finding
-    them costs one count over the key columns, which ``hot_rows=None`` leaves out.
-    Sum decimals or integers, not floats, to be independent of the row order.
-
-    ``bucket`` says how to cut: any value that never decreases along ``order_by``,
-    such as the day of the first order column. Without it, hot rows are range
-    partitioned, which balances the cells by itself but writes the hot rows once.
-    ``counted`` is a list from ``heavy_keys``, if the caller has one already.
+    Rows are range partitioned by key and order, so a key with a third of all rows is spread over a third of the
+    partitions, whatever its values. That table is written, because the sums depend on where it was cut. Totals per key
+    and partition, of which a key has few, give every partition the value it starts from. The input is read twice, once
+    for the ranges. Sum decimals or integers, not floats, to be independent of the row order; ``order_by`` should be
+    total.
     """
     sums = sums or {}
-    if hot_rows is None:
-        result = _plain(df, keys, order_by, count or "_count", sums)
-        return result if count else result.drop("_count")
-    hot = (heavy_keys(df, keys, hot_rows) if counted is None else counted).filter(F.col("n") > hot_rows)
-    name = count or "_count"
-    if hot.isEmpty():
-        result = _plain(df, keys, order_by, name, sums)
-    else:
-        large, rest = split_by_keys(df, keys, hot)
-        result = _plain(rest, keys, order_by, name, sums).unionByName(
-            _by_cells(large, keys, order_by, bucket, name, sums))
-    return result if count else result.drop(name)
-
-
-def _plain(df: DataFrame, keys: list[str], order_by: list, count: str, sums: dict[str, str]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.select("*", F.count(F.lit(1)).over(window).alias(count),
-                     *[F.sum(source).over(window).alias(out) for out, source in sums.items()])
-
-
-def _by_cells(df: DataFrame, keys: list[str], order_by: list, bucket: Column | None, count: str,
-              sums: dict[str, str]) -> DataFrame:
-    """Totals per cell give every cell the value it starts from; rows are then added up inside cells.
-
-    The join with the starting values and the window share one partitioning, so the
-    rows are shuffled once.
-    """
-    columns = df.columns
-    if bucket is None:
-        ranged = df.repartitionByRange(*keys, *order_by).withColumn("_bucket", F.spark_partition_id())
-        rows = stored(ranged, "ranges").withColumn("_cell", F.struct(*keys, "_bucket"))
-    else:
-        rows = df.withColumn("_cell", F.struct(*keys, bucket.alias("_bucket")))
-
+    rows = stored(df.repartitionByRange(*keys, *order_by).withColumn("_part", F.spark_partition_id()), "ranges")
+    rows = rows.withColumn("_cell", F.struct(*keys, "_part"))
     totals = rows.groupBy("_cell").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(source).alias(f"_t_{out}") for out, source in sums.items()])
     earlier = (Window.partitionBy(*[F.col(f"_cell.{key}") for key in keys])
-               .orderBy("_cell._bucket").rowsBetween(Window.unboundedPreceding, -1))
+               .orderBy("_cell._part").rowsBetween(Window.unboundedPreceding, -1))
     starts = totals.select(
         "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
         *[F.sum(f"_t_{out}").over(earlier).alias(f"_s_{out}") for out in sums])
-
     inside = Window.partitionBy("_cell").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def running(out: str, source: str) -> Column:
@@ -75,6 +34,5 @@ def _by_cells(df: DataFrame, keys: list[str], order_by: list, bucket: Column | N
         here, before = F.sum(source).over(inside), F.col(f"_s_{out}")
         return F.coalesce(before + here, before, here).alias(out)
 
-    return rows.join(starts.hint("shuffle_hash"), "_cell").select(
-        *columns, (F.col("_n0") + F.count(F.lit(1)).over(inside)).alias(count),
-        *[running(out, source) for out, source in sums.items()])
+    counted = [(F.col("_n0") + F.count(F.lit(1)).over(inside)).alias(count)] if count else []
+    return rows.join(starts, "_cell").select(*df.columns, *counted, *[running(out, source) for out, source in sums.items()])

@@ -49,12 +49,18 @@ def search(stored: DataFrame, queries: DataFrame, k: int, metric: str = "l2") ->
     return found.join(stored.select("id", "document"), "id").select("query_id", "rank", "id", "distance", "document")
 
 
+def whole_vector(name: str, dims: int) -> Column:
+    """Whether a vector has ``dims`` numbers and no NULL among them."""
+    return F.coalesce((F.size(name) == dims) & ~F.exists(name, lambda x: x.isNull()), F.lit(False))
+
+
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2",
             max_broadcast_numbers: int = MAX_BROADCAST_NUMBERS, block_numbers: int = BLOCK_NUMBERS) -> DataFrame:
     """The ``k`` nearest corpus rows of every query, exactly.
 
     Both sides have a unique ``id`` and an ``embedding``. The result has ``query_id, id,
-    distance, rank``, ties broken by id. ``metric`` is ``l2`` (squared distance) or
+    distance, rank``, ties broken by id. Vectors that are NULL, hold a NULL, or have
+    fewer numbers than the longest query (or more) take no part, on either side. ``metric`` is ``l2`` (squared distance) or
     ``cosine`` (1 - cosine).
 
     A small query side, whose size is counted first, is sent to the tasks and the
@@ -65,6 +71,8 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2",
     """
     queries = queries.select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
     corpus = corpus.select("id", "embedding")
+    dims = queries.agg(F.max(F.size("query"))).first()[0] or 0
+    queries, corpus = queries.filter(whole_vector("query", dims)), corpus.filter(whole_vector("embedding", dims))
     kinds = (queries.schema["query_id"].dataType, corpus.schema["id"].dataType)
     found_schema = T.StructType([
         T.StructField("query_id", kinds[0]), T.StructField("id", kinds[1]), T.StructField("distance", T.DoubleType())])

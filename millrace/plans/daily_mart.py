@@ -6,13 +6,12 @@ import argparse
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.numbers import exact
 from millrace.functions.text import trimmed_text
 from millrace.functions.times import day_of, parse_timestamp
 from millrace.operators import quality
 from millrace.operators.aggregates import any_flag, mean_of, total_of
 from millrace.schemas import METERS_SEED, READINGS_SEED
-from millrace.session import build_session
+from millrace.session import build_session, stored
 from millrace.sinks.tables import build_models
 from millrace.sources.seeds import load_seed
 
@@ -46,8 +45,8 @@ def daily_monitoring(readings: DataFrame, meters: DataFrame, low_voltage: float
     pre-aggregated by every task that read it.
     """
     per_meter = readings.groupBy("meter_id", day_of(F.col("registration_date")).alias("day")).agg(
-        mean_of(F.col("voltage"), 6).alias("voltage_average"),
-        total_of(F.col("consumption"), 6).alias("consumption_total"),
+        mean_of(F.col("voltage")).alias("voltage_average"),
+        total_of(F.col("consumption")).alias("consumption_total"),
         any_flag(F.col("voltage") < low_voltage).alias("there_was_a_voltage_drop"))
     return per_meter.join(meters.select("meter_id", "location_name"), "meter_id").select(
         "location_name", "meter_id", "day", "voltage_average", "consumption_total", "there_was_a_voltage_drop")
@@ -61,8 +60,13 @@ def consumption_per_key(readings: DataFrame, key: str, value: Column) -> DataFra
 def stability(readings: DataFrame, key: str, value: Column) -> DataFrame:
     """How far values spread per key: the least stable keys have the widest spread."""
     return readings.groupBy(key).agg(
-        F.min(value).alias("lowest"), F.max(value).alias("highest"),
-        (F.max(exact(value)) - F.min(exact(value))).cast("double").alias("spread"))
+        F.min(value).alias("lowest"), F.max(value).alias("highest"), (F.max(value) - F.min(value)).alias("spread"))
+
+
+def widest(parts: DataFrame, key: str) -> DataFrame:
+    """The stability of a coarser key from that of a finer one, so that few rows go through the join between them."""
+    return parts.groupBy(key).agg(F.min("lowest").alias("lowest"), F.max("highest").alias("highest"),
+                                  (F.max("highest") - F.min("lowest")).alias("spread"))
 
 
 def meter_checks() -> list[quality.Check]:
@@ -100,7 +104,7 @@ def main(argv=None) -> None:
     build_models(spark, MODELS, args.tables)
     for model, checks in (("stg_meters", meter_checks()), ("stg_readings", reading_checks()),
                           ("fct_daily_monitoring", mart_checks())):
-        report = quality.run_checks(spark.table(model), checks)
+        report = stored(quality.run_checks(spark.table(model), checks), "checks")  # a row per check, shown and judged
         report.show(truncate=False)
         if quality.choose_route(report) != quality.NORMAL_FLOW:
             raise SystemExit(f"checks failed: {model}")

@@ -39,20 +39,18 @@ def keyed(records: DataFrame, moment: str) -> DataFrame:
 
 
 def race_histories(telemetry: DataFrame, events: DataFrame, teams: DataFrame, team_scope: str = "all",
-                   chunk_rows: int | None = CHUNK_ROWS, bucket_s: int = 60) -> DataFrame:
+                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One row per race and helicopter with its sorted telemetry and events, and its team.
 
     ``team_scope='telemetry'`` gives a team only to keys that occur in the
-    telemetry. ``chunk_rows`` bounds the lists: a longer history goes on in the
-    rows with ``chunk`` 1, 2 and so on.
+    telemetry. ``chunk_rows`` bounds the lists: a longer history goes on, in time,
+    in the rows with ``chunk`` 1, 2 and so on.
     """
     if team_scope not in ("all", "telemetry"):
         raise ValueError(f"unknown team scope: {team_scope}")
     sides = {"TelemetryHistory": keyed(telemetry, "Time_s"), "RaceEvents": keyed(events, "Timestamp_s")}
-    nested = co_group(
-        sides, KEYS, {name: ["at", F.xxhash64("record")] for name in sides},
-        {name: F.floor(F.col("at") / F.lit(bucket_s)) for name in sides}, chunk_rows,
-        {name: ["record"] for name in sides})
+    nested = co_group(sides, KEYS, {name: ["at", F.xxhash64("record").alias("tie")] for name in sides}, chunk_rows,
+                      {name: ["record"] for name in sides}, merged=True)
     nested = nested.withColumns({name: F.col(name).getField("record") for name in sides})
     if team_scope == "all":
         return lookup_struct(nested, teams, "HelicopterID", "TeamInfo", UNKNOWN_TEAM)

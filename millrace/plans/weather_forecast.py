@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.joins import lookup_join
 from millrace.schemas import CITIES
-from millrace.session import build_session
+from millrace.session import build_session, stored
 from millrace.sinks.files import write_ingestion
-from millrace.sources.files import read_csv
+from millrace.sources.files import CORRUPT, read_csv
 from millrace.sources.weather import flatten_forecasts, read_responses
 
 
@@ -31,8 +31,9 @@ def main(argv=None) -> None:
     args = parser.parse_args(argv)
     spark = build_session("weather-forecast")
     points = forecasts(read_responses(spark, args.responses), read_csv(spark, args.cities, CITIES), args.run_time)
+    points = stored(points, "points")  # both outputs come from one parse
     run_date = args.run_time[:10]
-    write_ingestion(points.drop("complete"), args.output, run_date)
+    write_ingestion(points.filter("complete").drop("complete", CORRUPT), args.output, run_date)
     write_ingestion(points.filter("NOT complete"), args.rejects, run_date)
 
 

@@ -11,7 +11,7 @@ from millrace.operators.aggregates import count_words
 from millrace.operators.clean import clean_people, concat_rows, first_per_key, top_per_key
 from millrace.operators.running import running_totals
 from millrace.plans.daily_mart import (
-    consumption_per_key, daily_monitoring, stability, stage_meters, stage_readings)
+    consumption_per_key, daily_monitoring, stability, stage_meters, stage_readings, widest)
 from millrace.queries.registry import query, table
 
 
@@ -62,37 +62,38 @@ def agg_clean_people(spark, sf_dir):
 
 @query("""
 SELECT c_mktsegment AS location_name, user_id::VARCHAR AS meter_id, date_trunc('day', ts) AS day,
-       sum(value::DECIMAL(18,6))::DOUBLE / count(value) AS voltage_average,
+       round(avg(value / 7), 9) AS voltage_average,
        sum(json_extract(props, '$.k')::INTEGER)::DOUBLE AS consumption_total,
-       max(CASE WHEN value < 20 THEN 1 ELSE 0 END) AS there_was_a_voltage_drop
+       max(CASE WHEN value / 7 < 3 THEN 1 ELSE 0 END) AS there_was_a_voltage_drop
 FROM events JOIN customer ON user_id = c_custkey GROUP BY 1, 2, 3
 """)
 def agg_daily_mart(spark, sf_dir):
     """Average, total and low-value flag per place, meter and day."""
     readings = stage_readings(table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("reading_id"), F.col("user_id").alias("meter_id"), F.col("value").alias("voltage"),
+        F.col("event_id").alias("reading_id"), F.col("user_id").alias("meter_id"), (F.col("value") / 7).alias("voltage"),
         F.get_json_object("props", "$.k").alias("kwh_consumption"), F.col("ts").alias("recorded_at")))
     meters = stage_meters(table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id_meter"), F.col("c_mktsegment").alias("location"),
         F.col("c_mktsegment").alias("customer_type"), F.lit(None).cast("string").alias("installation_date")))
-    return daily_monitoring(readings, meters, low_voltage=20)
+    return daily_monitoring(readings, meters, low_voltage=3).withColumn("voltage_average", F.round("voltage_average", 9))
 
 
-@query("SELECT user_id, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM events GROUP BY user_id")
+@query("SELECT user_id, round(sum(value / 7), 6) AS total FROM events GROUP BY user_id")
 def agg_consumption(spark, sf_dir):
     """Accumulated consumption per customer."""
-    return consumption_per_key(table(spark, sf_dir, "events"), "user_id", F.col("value"))
+    totals = consumption_per_key(table(spark, sf_dir, "events"), "user_id", F.col("value") / 7)
+    return totals.withColumn("total", F.round("total", 6))
 
 
 @query("""
-SELECT c_mktsegment, min(value) AS lowest, max(value) AS highest,
-       (max(value::DECIMAL(18,2)) - min(value::DECIMAL(18,2)))::DOUBLE AS spread
+SELECT c_mktsegment, min(value / 7) AS lowest, max(value / 7) AS highest, max(value / 7) - min(value / 7) AS spread
 FROM events JOIN customer ON user_id = c_custkey GROUP BY c_mktsegment
 """)
 def agg_business_goals(spark, sf_dir):
     """How stable the values are per place."""
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
-    return stability(table(spark, sf_dir, "events").join(customers, "user_id"), "c_mktsegment", F.col("value"))
+    per_user = stability(table(spark, sf_dir, "events"), "user_id", F.col("value") / 7)
+    return widest(per_user.join(customers, "user_id"), "c_mktsegment")
 
 
 @query("""
@@ -116,7 +117,7 @@ def win_running(spark, sf_dir):
     """Running count and sum per user, the lap they lead to, and a clamp."""
     events = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "ts", "value", exact(F.col("value")).alias("amount"))
-    running = running_totals(events, ["user_id"], ["ts", "event_id"], F.to_date("ts"), sums={"running_value": "amount"})
+    running = running_totals(events, ["user_id"], ["ts", "event_id"], sums={"running_value": "amount"})
     return running.select(
         "event_id", "user_id", "running_count", F.col("running_value").cast("double").alias("running_value"),
         lap_of(F.col("running_value")).alias("lap"), clamp(F.col("value"), 10.0, 100.0).alias("clamped"))

@@ -16,18 +16,21 @@ def _ids(lists, name):
 
 
 @query("""
-SELECT custkey, 0::BIGINT AS chunk, coalesce(n_customers, 0)::INTEGER AS n_customers,
-       coalesce(n_events, 0)::INTEGER AS n_events, coalesce(event_ids, '') AS event_ids
-FROM (SELECT c_custkey AS custkey, count(*) AS n_customers FROM customer GROUP BY 1)
-FULL JOIN (SELECT user_id * 2 AS custkey, count(*) AS n_events, string_agg(event_id, ',' ORDER BY ts, event_id) AS event_ids
-           FROM events GROUP BY 1) USING (custkey)
+WITH u AS (
+  SELECT c_custkey AS custkey, 0 AS side, c_name, NULL AS ts, NULL AS event_id FROM customer
+  UNION ALL SELECT user_id * 2, 1, NULL, ts, event_id FROM events),
+p AS (SELECT *, (row_number() OVER (PARTITION BY custkey ORDER BY side, c_name, ts, event_id) - 1) // 5 AS chunk FROM u)
+SELECT custkey, chunk::BIGINT AS chunk, count(*) FILTER (side = 0)::INTEGER AS n_customers,
+       count(*) FILTER (side = 1)::INTEGER AS n_events,
+       coalesce(string_agg(event_id, ',' ORDER BY ts, event_id) FILTER (side = 1), '') AS event_ids
+FROM p GROUP BY 1, 2
 """)
 def join_cogroup(spark, sf_dir):
-    """Both sides as sorted lists per key; keys of one side only have an empty list on the other."""
+    """Both sides as sorted lists of up to five rows per key; keys of one side only have an empty list on the other."""
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
     events = table(spark, sf_dir, "events").select((F.col("user_id") * 2).alias("custkey"), "ts", "event_id")
     grouped = co_group({"customers": customers, "events": events}, ["custkey"],
-                       {"customers": ["c_name"], "events": ["ts", "event_id"]}, {"events": F.to_date("ts")})
+                       {"customers": ["c_name"], "events": ["ts", "event_id"]}, chunk_rows=5)
     return grouped.select("custkey", "chunk", F.size("customers").alias("n_customers"),
                           F.size("events").alias("n_events"), _ids("events", "event_id").alias("event_ids"))
 
@@ -47,17 +50,18 @@ def join_inner_first(spark, sf_dir):
 
 @query("""
 SELECT p_brand, count(*) AS n,
-       sum(p_retailprice::DECIMAL(18,2) * (1 + l_discount::DECIMAL(18,2)))::DOUBLE AS priced
+       round(sum(p_retailprice / 7 * (1 + l_discount / 3)), 4) AS priced
 FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_type <> 'PROMO') ON l_partkey = p_partkey GROUP BY p_brand
 """)
 def join_broadcast_left(spark, sf_dir):
     """A left lookup with misses, and a price from cost and margin."""
     parts = table(spark, sf_dir, "part").filter("p_type <> 'PROMO'").select(
         F.col("p_partkey").alias("l_partkey"), "p_brand", "p_retailprice")
+    parts = parts.union(parts.withColumn("p_brand", F.concat(F.lit("~"), "p_brand")))  # a second row per key is not looked up
     joined = lookup_join(table(spark, sf_dir, "lineitem").select("l_partkey", "l_discount"), parts, ["l_partkey"])
-    price = price_with_margin(F.col("p_retailprice"), F.col("l_discount"))
+    price = price_with_margin(F.col("p_retailprice") / 7, F.col("l_discount") / 3)
     return joined.groupBy("p_brand").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(price).cast("double").alias("priced"))
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(price).cast("double"), 4).alias("priced"))
 
 
 @query("""
@@ -68,7 +72,7 @@ def join_salted_lookup(spark, sf_dir):
     """The same kind of lookup with every key spread over eight salts."""
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
-    return lookup_join(items, parts, ["l_partkey"], "inner", salts=8).groupBy("p_brand").agg(
+    return lookup_join(items, parts, ["l_partkey"], "inner", salts=8, salt_by=["l_orderkey", "l_linenumber"]).groupBy("p_brand").agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -89,19 +93,19 @@ def join_default_struct(spark, sf_dir):
 RACES = {"P": "purchase", "O": "view", "F": "click"}
 
 HISTORY_SQL = """
-WITH telemetry AS (
-  SELECT coalesce(nullif(event_type, 'error'), 'unknown_race') AS race, user_id AS helicopter, count(*) AS n,
-         string_agg(event_id, ',' ORDER BY ts) AS ids
-  FROM events GROUP BY 1, 2),
-race_events AS (
-  SELECT CASE o_orderstatus WHEN 'P' THEN 'purchase' WHEN 'O' THEN 'view' ELSE 'click' END AS race,
-         o_custkey AS helicopter, count(*) AS n, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS ids
-  FROM orders GROUP BY 1, 2)
-SELECT race, helicopter::VARCHAR AS helicopter, 0::BIGINT AS chunk, {team} AS team,
-       coalesce(t.n, 0)::INTEGER AS n_telemetry, coalesce(t.ids, '') AS telemetry_ids,
-       coalesce(e.n, 0)::INTEGER AS n_events, coalesce(e.ids, '') AS event_ids
-FROM telemetry t FULL JOIN race_events e USING (race, helicopter)
-LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') ON helicopter = c_custkey
+WITH u AS (
+  SELECT coalesce(nullif(event_type, 'error'), 'unknown_race') AS race, user_id AS helicopter, 0 AS side,
+         epoch_us(ts) / 1e6 AS moment, event_id AS id FROM events
+  UNION ALL SELECT CASE o_orderstatus WHEN 'P' THEN 'purchase' WHEN 'O' THEN 'view' ELSE 'click' END, o_custkey, 1,
+                   o_orderkey, o_orderkey FROM orders),
+p AS (SELECT *, (row_number() OVER (PARTITION BY race, helicopter ORDER BY moment, side) - 1) // 4 AS chunk,
+             bool_or(side = 0) OVER (PARTITION BY race, helicopter) AS flown FROM u),
+g AS (SELECT race, helicopter, chunk::BIGINT AS chunk, any_value(flown) AS flown,
+             count(*) FILTER (side = 0)::INTEGER AS n_telemetry, count(*) FILTER (side = 1)::INTEGER AS n_events,
+             coalesce(string_agg(id, ',' ORDER BY moment) FILTER (side = 0), '') AS telemetry_ids,
+             coalesce(string_agg(id, ',' ORDER BY moment) FILTER (side = 1), '') AS event_ids FROM p GROUP BY 1, 2, 3)
+SELECT race, helicopter::VARCHAR AS helicopter, chunk, {team} AS team, n_telemetry, telemetry_ids, n_events, event_ids
+FROM g LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') ON helicopter = c_custkey
 """
 
 
@@ -116,7 +120,7 @@ def _histories(spark, sf_dir, team_scope):
         F.col("o_custkey").cast("string").alias("HelicopterID"), F.col("o_orderkey").alias("Timestamp_s"))
     teams = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'").select(
         F.col("c_custkey").cast("string").alias("HelicopterID"), F.col("c_name").alias("TeamName"), "c_nationkey")
-    nested = race_histories(telemetry, events, teams, team_scope, bucket_s=86_400)
+    nested = race_histories(telemetry, events, teams, team_scope, chunk_rows=4)
     return nested.select(
         F.col("RaceID").alias("race"), F.col("HelicopterID").alias("helicopter"), "chunk",
         F.col("TeamInfo.TeamName").alias("team"), F.size("TelemetryHistory").alias("n_telemetry"),
@@ -130,7 +134,7 @@ def join_three_way(spark, sf_dir):
     return _histories(spark, sf_dir, "all")
 
 
-@query(HISTORY_SQL.format(team="CASE WHEN t.n IS NULL THEN 'UNKNOWN' ELSE coalesce(c_name, 'UNKNOWN') END"))
+@query(HISTORY_SQL.format(team="CASE WHEN NOT flown THEN 'UNKNOWN' ELSE coalesce(c_name, 'UNKNOWN') END"))
 def join_team_scope(spark, sf_dir):
     """The same, with teams only for keys that have telemetry."""
     return _histories(spark, sf_dir, "telemetry")

@@ -213,7 +213,7 @@ def src_nested_json(spark, sf_dir):
         F.struct(F.col("value").alias("speed")).alias("wind"),
         F.when(kind != "view", F.col("value")).alias("pop"))
     documents = collect_chunks(points, ["city"], ["ts", "event_id"], ["dt_txt", "main", "weather", "wind", "pop"], "list",
-                               bucket=F.to_date("ts"), chunk_rows=40)
+                               chunk_rows=40)
     path = scratch_path(spark, "nested")
     write_lines(documents, row_json(["city", "list"]), path)
     schema = T.StructType([T.StructField("city", T.LongType()), *FORECAST_RESPONSE.fields])

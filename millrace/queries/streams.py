@@ -42,29 +42,31 @@ def stream_event_time(spark, sf_dir):
 
 SLIDING_SQL = """
 SELECT s AS window_start, s + INTERVAL '60 minutes' AS window_end, event_type,
-       sum(value::DECIMAL(18,2))::DOUBLE / count(*) AS mean
+       round(avg(value / 7), 9) AS mean
 FROM (SELECT event_type, value, time_bucket(INTERVAL '30 minutes', ts) - shift AS s
       FROM events CROSS JOIN (VALUES (INTERVAL '0 minutes'), (INTERVAL '30 minutes')) AS o(shift))
 GROUP BY s, event_type
 """
 
 
-@query(f"SELECT * FROM ({SLIDING_SQL}) WHERE mean < 40")
+@query(f"SELECT * FROM ({SLIDING_SQL}) WHERE mean < 6")
 def stream_sliding_avg(spark, sf_dir):
     """Sliding means in update mode, kept as a keyed log; low windows are picked from the final means."""
     timed = with_event_time(_stream(spark, sf_dir), F.col("ts"), delay="2 hours")
-    means = window_means(timed, ["event_type"], F.col("value"), "60 minutes", "30 minutes")
+    means = window_means(timed, ["event_type"], F.col("value") / 7, "60 minutes", "30 minutes")
     path = scratch_path(spark, "sliding")
     wait_all(write_stream_upserts(means, f"{path}/out", f"{path}/state", once=True))
     current = read_current(spark, f"{path}/out", ["window_start", "event_type"])
-    return current.filter("mean < 40").select("window_start", "window_end", "event_type", "mean")
+    return current.withColumn("mean", F.round("mean", 9)).filter("mean < 6").select(
+        "window_start", "window_end", "event_type", "mean")
 
 
 @query(SLIDING_SQL)
 def window_sliding_batch(spark, sf_dir):
     """The same windows over the table as a batch."""
     timed = with_event_time(table(spark, sf_dir, "events"), F.col("ts"))
-    return window_means(timed, ["event_type"], F.col("value"), "60 minutes", "30 minutes")
+    means = window_means(timed, ["event_type"], F.col("value") / 7, "60 minutes", "30 minutes")
+    return means.withColumn("mean", F.round("mean", 9))
 
 
 @query("""

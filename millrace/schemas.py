@@ -20,7 +20,6 @@ CUSTOMER_PEOPLE = _schema("id INT, name STRING, age INT")
 USERS = _schema("id INT, name STRING, email STRING, active BOOLEAN")
 MONITORING = _schema("id STRING, v INT, ts STRING")
 
-METER_READING = _schema("id STRING, ts STRING, kwh DOUBLE, v INT, status STRING")
 
 METERS_SEED = _schema("id_meter STRING, location STRING, customer_type STRING, installation_date STRING")
 READINGS_SEED = _schema(
@@ -29,9 +28,6 @@ READINGS_SEED = _schema(
 RAW_CUSTOMERS = _schema(
     "user_id STRING, name_raw STRING, location_code STRING, order_value STRING, is_active_flag STRING")
 
-TELEMETRY_V1 = _schema(
-    "HelicopterID STRING, LapNumber INT, Time_s FLOAT, Speed_km_h FLOAT, Altitude_m FLOAT, "
-    "FuelLevel_percentage FLOAT, EngineTemp_c INT, RotorRPM INT, Latitude DOUBLE, Longitude DOUBLE")
 TELEMETRY_V2 = _schema(
     "HelicopterID STRING, RaceID STRING, LapNumber INT, Time_s FLOAT, Speed_km_h FLOAT, Altitude_m FLOAT, "
     "FuelLevel_percentage FLOAT, EngineTemp_c INT, RotorRPM INT, Latitude DOUBLE, Longitude DOUBLE")
@@ -45,9 +41,6 @@ RACE_EVENT = _schema(
 TEAM = _schema(
     "HelicopterID STRING, TeamName STRING, PilotName STRING, Country STRING, AircraftModel STRING, "
     "MaxSpeed_km_h INT, Endurance_hours FLOAT, Sponsor STRING")
-FAN_ENGAGEMENT = _schema(
-    "FanID STRING, RaceID STRING, Timestamp STRING, ViewerLocationCountry STRING, DeviceType STRING, "
-    "EngagementMetric_secondswatched INT, PredictionClicked BOOLEAN, MerchandisingClicked BOOLEAN")
 
 # The relational target of telemetry: column, SQL type.
 TELEMETRY_TABLE = {
@@ -73,9 +66,3 @@ FORECAST_RESPONSE = T.StructType().add("list", T.ArrayType(
     .add("wind", _schema("speed DOUBLE"))
     .add("pop", T.DoubleType())))
 
-SALES_PRODUCTS = _schema(
-    "ID_Producto STRING, Nombre_Producto STRING, Categoria STRING, Costo_Adquisicion STRING, "
-    "Margen_Objetivo STRING")
-TRANSACTIONS = _schema(
-    "transaction_id BIGINT, user_id INT, amount DOUBLE, timestamp TIMESTAMP, category STRING, "
-    "is_fraud BOOLEAN, description STRING")

@@ -38,8 +38,9 @@ def build_session(app_name: str = "millrace", master: str | None = None, conf: d
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Make any session fit for the library: timestamps in UTC, and the package known to the Python workers."""
+    """Make any session fit for the library: timestamps in UTC, state on disk, and the package known to the Python workers."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
     ship_package(spark)
     return spark
 

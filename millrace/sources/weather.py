@@ -2,28 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.schemas import FORECAST_RESPONSE
+from millrace.sources.files import CORRUPT
 
 
 def read_responses(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All responses below ``path``; a ``city=<name>`` folder becomes the column ``city``.
 
-    ``multi_line`` is for files that hold one response over several lines.
+    ``multi_line`` is for files that hold one response over several lines. A response that cannot be parsed is kept as
+    text in ``_corrupt_record``, which is NULL for the others.
     """
-    reader = spark.read.schema(FORECAST_RESPONSE).option("basePath", path).option("multiLine", multi_line)
-    return reader.json(path)
+    kept = T.StructType([*FORECAST_RESPONSE.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(kept).option("basePath", path).option("multiLine", multi_line)
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def flatten_forecasts(responses: DataFrame, ingestion_at: Column) -> DataFrame:
     """One row per forecast point, next to the outer columns of the response.
 
     A missing chance of rain counts as 0. A point without its ``main`` block or
-    without any ``weather`` entry keeps NULLs and is marked as not ``complete``.
+    without any ``weather`` entry keeps NULLs and is marked as not ``complete``, and
+    so is the one row of a response that has no points or could not be parsed.
     """
     outer = [name for name in responses.columns if name != "list"]
-    points = responses.select(*outer, F.explode("list").alias("p"))
+    points = responses.select(*outer, F.explode_outer("list").alias("p"))
     sky = F.get("p.weather", F.lit(0))
     return points.select(
         *outer,

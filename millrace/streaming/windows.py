@@ -33,7 +33,7 @@ def drop_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def window_means(df: DataFrame, keys: list[str], value: Column, size: str, slide: str | None = None,
                  time: str = "event_time", mean: str = "mean") -> DataFrame:
-    """Mean per key and window, from partial decimal sums: independent of the row order."""
+    """Mean per key and window, from partial sums."""
     window = F.window(time, size, slide or size)
     grouped = df.groupBy(window.alias("_w"), *keys).agg(mean_of(value).alias(mean))
     return with_bounds(grouped, keys, mean)
@@ -54,6 +54,7 @@ def with_bounds(grouped: DataFrame, keys: list[str], *values: str) -> DataFrame:
 
 def low_mean_alerts(means: DataFrame, key: str, below: float, mean: str = "mean") -> DataFrame:
     """Windows whose mean is under the bound, with the alert text for the crew."""
+    # The words of the alert.
     text = F.concat(
         F.lit("\U0001f6a8 [TECHNICAL ALERT] | Window: "), clock(F.col("window_start")),
         F.lit(" - "), clock(F.col("window_end")), F.lit(" | Transformer: "), F.col(key),

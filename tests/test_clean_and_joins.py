@@ -16,49 +16,59 @@ def rows(df, *columns):
 
 @pytest.fixture(scope="module")
 def customers(spark):
-    return spark.createDataFrame([("C1", "Ana"), ("C2", "Juan")], "customer_id string, name string")
+    return spark.createDataFrame([("C1", "Per"), ("C2", "Ulla")], "customer_id string, name string")
 
 
 @pytest.fixture(scope="module")
 def orders(spark):
-    return spark.createDataFrame([("C1", "O1", 50), ("C1", "O2", 75), ("C3", "O3", 100)],
-                                 "customer_id string, orden_id string, amount int")
+    return spark.createDataFrame([("C1", "O1", 36), ("C1", "O2", 91), ("C3", "O3", 8)],
+                                 "customer_id string, order_no string, amount int")
 
 
 def test_clean_people(spark):
-    people = spark.createDataFrame([(1, "Juan", 30), (2, None, 25), (3, "Ana", None), (3, "Ana", None)], CUSTOMER_PEOPLE)
-    assert rows(clean_people(people)) == [(1, "juan", 30), (3, "ana", 0)]
+    people = spark.createDataFrame([(1, "Ulla", 52), (2, None, 19), (3, "Per", None), (3, "Per", None)], CUSTOMER_PEOPLE)
+    assert rows(clean_people(people)) == [(1, "ulla", 52), (3, "per", 0)]
 
 
 def test_join_first_left(customers, orders):
     joined = join_first_left(customers, orders, ["customer_id"], [F.col("name")])
-    assert rows(joined, "customer_id", "name", "orden_id", "amount") == [
-        ("C1", "Ana", "O1", 50), ("C1", "Ana", "O2", 75)]
+    assert rows(joined, "customer_id", "name", "order_no", "amount") == [
+        ("C1", "Per", "O1", 36), ("C1", "Per", "O2", 91)]
 
 
 def test_co_group_sizes_and_whole_rows(customers, orders):
     grouped = co_group({"customers": customers, "orders": orders}, ["customer_id"],
-                       {"customers": ["name"], "orders": ["orden_id"]})
+                       {"customers": ["name"], "orders": ["order_no"]})
     assert rows(grouped, "customer_id", F.size("customers"), F.size("orders")) == [
         ("C1", 1, 2), ("C2", 1, 0), ("C3", 0, 1)]
     first = grouped.filter("customer_id = 'C1'").first()
     assert [r.asDict() for r in first["orders"]] == [
-        {"customer_id": "C1", "orden_id": "O1", "amount": 50}, {"customer_id": "C1", "orden_id": "O2", "amount": 75}]
+        {"customer_id": "C1", "order_no": "O1", "amount": 36}, {"customer_id": "C1", "order_no": "O2", "amount": 91}]
 
 
 @pytest.mark.parametrize("salts", [1, 4])
 def test_lookup_adds_no_fields_on_a_miss(spark, salts):
-    products = spark.createDataFrame([(101, "Keyboard", "Electronics"), (102, "Book", "Books")],
-                                     "id_product int, name_producto string, category string")
-    sold = spark.createDataFrame([("TX01", 101), ("TX02", 102), ("TX03", 101), ("TX04", 999)],
-                                 "id_transaction string, id_product int")
-    joined = lookup_join(sold, products, ["id_product"], salts=salts)
-    lines = joined.orderBy("id_transaction").select(F.to_json(F.struct("id_transaction", "name_producto", "category")))
+    products = spark.createDataFrame([(41, "Kettle", "Kitchen"), (42, "Scarf", "Clothes")],
+                                     "item int, label string, category string")
+    sold = spark.createDataFrame([("S1", 41), ("S2", 42), ("S3", 41), ("S4", 88)],
+                                 "sale string, item int")
+    joined = lookup_join(sold, products, ["item"], salts=salts, salt_by=["sale"])
+    lines = joined.orderBy("sale").select(F.to_json(F.struct("sale", "label", "category")))
     assert [r[0] for r in lines.collect()] == [
-        '{"id_transaction":"TX01","name_producto":"Keyboard","category":"Electronics"}',
-        '{"id_transaction":"TX02","name_producto":"Book","category":"Books"}',
-        '{"id_transaction":"TX03","name_producto":"Keyboard","category":"Electronics"}',
-        '{"id_transaction":"TX04"}']
+        '{"sale":"S1","label":"Kettle","category":"Kitchen"}',
+        '{"sale":"S2","label":"Scarf","category":"Clothes"}',
+        '{"sale":"S3","label":"Kettle","category":"Kitchen"}',
+        '{"sale":"S4"}']
+
+
+def test_a_second_dimension_row_adds_no_facts(spark):
+    facts = spark.createDataFrame([(1, "A"), (2, "B")], "id int, key string")
+    teams = spark.createDataFrame([("A", "Beta", 2), ("A", "Alpha", 3)], "key string, TeamName string, size int")
+    assert rows(lookup_join(facts, teams, ["key"]), "id", "TeamName", "size") == [(1, "Alpha", 3), (2, None, None)]
+    assert rows(lookup_join(facts, teams, ["key"], dim_order=["size"]), "id", "TeamName") == [(1, "Beta"), (2, None)]
+    assert lookup_struct(facts, teams, "key", "TeamInfo", {}).count() == 2
+    with pytest.raises(ValueError):
+        lookup_join(facts, teams, ["key"], salts=2)
 
 
 def test_lookup_struct_default(spark):

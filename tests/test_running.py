@@ -35,19 +35,30 @@ def by_hand(rows):
     return expected
 
 
-@pytest.mark.parametrize("hot_rows, bucket", [(10_000, None), (100, None), (100, "t"), (0, "t"), (0, None)])
-def test_running_totals(skewed, hot_rows, bucket):
+def test_running_totals(skewed):
     rows, df = skewed
-    cut = F.floor(F.col(bucket) / 5) if bucket else None
-    result = running_totals(df, ["k"], ["t", "id"], cut, "n", {"total": "amount"}, hot_rows)
+    result = running_totals(df, ["k"], ["t", "id"], "n", {"total": "amount"})
     assert result.columns == ["k", "t", "id", "amount", "n", "total"]
     assert {r["id"]: (r["n"], r["total"]) for r in result.collect()} == by_hand(rows)
 
 
+def test_a_key_within_one_day_is_spread(spark):
+    """A third of the rows under one key on one day: no partition of the stored table holds the key."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+        result = running_totals(df, ["k"], ["id"], "n")
+        parts = result.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert {r["n"] for r in result.filter("k = 'hot'").select("n").collect()} == set(range(1, 3001))
+        assert len(parts) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize("chunk_rows", [7, 100, 10_000])
 def test_chunks_keep_every_row(skewed, chunk_rows):
     rows, df = skewed
-    lists = collect_chunks(df, ["k"], ["t", "id"], ["id"], "items", F.floor(F.col("t") / 5), chunk_rows).collect()
+    lists = collect_chunks(df, ["k"], ["t", "id"], ["id"], "items", chunk_rows).collect()
     for key in {r[0] for r in rows}:
         mine = sorted((r for r in lists if r["k"] == key), key=lambda r: r["chunk"])
         expected = [i for i, _ in sorted(
@@ -57,12 +68,23 @@ def test_chunks_keep_every_row(skewed, chunk_rows):
         assert all(len(r["items"]) == chunk_rows for r in mine[:-1])
 
 
-def test_co_group_chunks_meet_by_number(skewed):
+def test_co_group_chunks_follow_one_sequence(skewed):
     _, df = skewed
     other = df.filter("k = 'a'").select("k", "id")
     grouped = co_group({"left": df, "right": other}, ["k"], {"left": ["t", "id"], "right": ["id"]}, chunk_rows=50)
     rows = grouped.select("k", "chunk", F.size("left").alias("l"), F.size("right").alias("r")).collect()
     assert sum(r["l"] for r in rows) == 600
     assert sum(r["r"] for r in rows) == other.count()
-    assert max(max(r["l"], r["r"]) for r in rows) <= 50
-    assert len({(r["k"], r["chunk"]) for r in rows}) == len(rows)
+    for key in {r["k"] for r in rows}:
+        mine = sorted((r for r in rows if r["k"] == key), key=lambda r: r["chunk"])
+        assert [r["chunk"] for r in mine] == list(range(len(mine)))
+        assert all(r["l"] + r["r"] == 50 for r in mine[:-1])
+        assert [r["r"] > 0 for r in mine] == sorted(r["r"] > 0 for r in mine)   # the second side follows the first
+
+
+def test_merged_sides_share_a_stretch_of_time(spark):
+    left = spark.createDataFrame([("k", t, f"l{t}") for t in (1, 3, 5, 7)], "k string, t int, v string")
+    right = spark.createDataFrame([("k", t, f"r{t}") for t in (2, 4)], "k string, t int, v string")
+    grouped = co_group({"left": left, "right": right}, ["k"], {"left": ["t"], "right": ["t"]}, 3, {"left": ["v"], "right": ["v"]}, merged=True)
+    got = {r["chunk"]: ([x["v"] for x in r["left"]], [x["v"] for x in r["right"]]) for r in grouped.collect()}
+    assert got == {0: (["l1", "l3"], ["r2"]), 1: (["l5", "l7"], ["r4"])}

@@ -12,8 +12,8 @@ from millrace.sources import avro_schema, kafka, paths
 from millrace.sources.files import (
     MissingConnector, has_format, inline_rows, read_csv, read_json_lines, read_lines, read_table)
 
-USERS = [(1, "Alice", "alice@example.com", True), (2, "Bob", "bob@example.com", False),
-         (3, "Charlie, \"C\" ñ", "charlie@example.com", True)]
+USERS = [(1, "Ida", "ida@example.com", True), (2, "Olu", "olu@example.com", False),
+         (3, "Wen, \"W\" ñ", "wen@example.com", True)]
 
 
 @pytest.fixture(scope="module")
@@ -69,9 +69,9 @@ def test_text_csv_and_json_lines(spark, users, folder):
     files.write_csv(users, f"{folder}/csv")
     assert rows(read_csv(spark, f"{folder}/csv", schemas.USERS)) == USERS
     files.write_csv_lines(users.select("id", "email"), f"{folder}/bare")
-    assert sorted(r[0] for r in read_lines(spark, f"{folder}/bare").collect())[0] == "1,alice@example.com"
+    assert sorted(r[0] for r in read_lines(spark, f"{folder}/bare").collect())[0] == "1,ida@example.com"
     files.write_json_lines(users.withColumn("email", F.lit(None).cast("string")), f"{folder}/json")
-    assert '{"id":3,"name":"Charlie, \\"C\\" ñ","active":true}' in {
+    assert '{"id":3,"name":"Wen, \\"W\\" ñ","active":true}' in {
         r[0] for r in read_lines(spark, f"{folder}/json").collect()}
 
 
@@ -236,3 +236,16 @@ def test_format_report(spark, folder):
     assert set(report) == set(format_report.available(spark))
     assert report[("csv", "none")]["size_mib"] > report[("parquet", "snappy")]["size_mib"] > 0
     assert all(r["write_s"] > 0 and r["read_all_s"] > 0 for r in report.values())
+
+
+def test_a_source_that_wants_options_counts_as_present(spark):
+    assert has_format(spark, "jdbc") and has_format(spark, "parquet") and not has_format(spark, "no_such_format")
+
+
+def test_csv_values_that_do_not_fit(spark, folder):
+    with open(f"{folder}/c.csv", "w") as out:
+        out.write("id,kwh\n1,2.5\n2,abc\n")
+    schema = T.StructType.fromDDL("id INT, kwh DOUBLE")
+    with pytest.raises(Exception):
+        read_csv(spark, f"{folder}/c.csv", schema).collect()
+    assert rows(read_csv(spark, f"{folder}/c.csv", schema, fail_on_bad=False).fillna(0.0).fillna("")) == [(1, 2.5, ""), (2, 0.0, "2,abc")]
