@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.records import decode_text, parse_json
 from millrace.operators.aggregates import latest_per_key
-from millrace.schemas import RACE_EVENT, TELEMETRY_MESSAGE
+from millrace.schemas import RACE_EVENT, TELEMETRY_MESSAGE, TELEMETRY_TABLE
 from millrace.session import build_session
 from millrace.sinks.keyed_log import read_current, upsert_batch
-from millrace.sinks.relational import telemetry_rows
+from millrace.sinks.relational import Database, create_table, telemetry_fault, telemetry_rows, write_upserts
 from millrace.sources.kafka import decode_records, read_topic, with_random_key, write_topic
-from millrace.sources.paths import spark_path
-from millrace.streaming.runs import wait_all, write_stream_batches, write_stream_files, write_stream_upserts
+from millrace.sources.paths import spark_path, use_endpoint
+from millrace.streaming.runs import to_sinks, wait_all, write_stream_batches, write_stream_files
 from millrace.streaming.windows import with_event_time, with_window
 
 LAP_TEXT = "completes lap"  # fixed value: the text that marks a finished lap
@@ -50,25 +51,45 @@ def windowed_lines(rows: DataFrame, line: Column, size: str = "5 seconds", time:
     return lines.select(line.alias("value"), F.date_format("window_start", "yyyyMMdd-HHmmss").alias("w"))
 
 
+def rejected_telemetry(records: DataFrame) -> DataFrame:
+    """``value, reason`` of the messages that cannot be rows of the target table."""
+    text = decode_text(F.col("value"))
+    parsed = records.select(text.alias("message"), parse_json(text, TELEMETRY_MESSAGE).alias("_record")).select("message", "_record.*")
+    return parsed.select(F.col("message").alias("value"), telemetry_fault(parsed).alias("reason")).filter("reason IS NOT NULL")
+
+
 def start(events: DataFrame, telemetry: DataFrame, root: str, checkpoints: str,
-          once: bool = False) -> list[StreamingQuery]:
+          once: bool = False, database: Database | None = None) -> list[StreamingQuery]:
     """Start all streams over two frames of ``key, value, timestamp`` records.
 
     Both topics go to files as they come, finished laps to a table by key, and
-    telemetry to a table with the layout of the relational target.
+    telemetry to a table with the layout of the relational target, and to the
+    relational ``database`` itself if there is one. Messages that cannot be rows of
+    it are kept with the reason in ``telemetry_rejects``, a folder per batch.
     """
     text = decode_text(F.col("value"))
+    if database is not None:
+        create_table(database, TELEMETRY_TABLE, "id")
 
     def save_laps(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(latest_laps(batch), f"{root}/laps", batch_id)
 
+    def save_telemetry(batch: DataFrame, batch_id: int) -> None:
+        upsert_batch(telemetry_rows(decode_records(batch, TELEMETRY_MESSAGE)), f"{root}/telemetry_table", batch_id)
+
+    def save_rejects(batch: DataFrame, batch_id: int) -> None:
+        upsert_batch(rejected_telemetry(batch), f"{root}/telemetry_rejects", batch_id)
+
+    def save_rows(batch: DataFrame, batch_id: int) -> None:
+        write_upserts(telemetry_rows(decode_records(batch, TELEMETRY_MESSAGE)), database, "id")
+
+    saves = [save_telemetry, save_rejects] + ([save_rows] if database is not None else [])
     return [
         write_stream_files(windowed_lines(events, text), f"{root}/events", f"{checkpoints}/events", "text", "w", once),
         write_stream_files(windowed_lines(telemetry, text), f"{root}/telemetry", f"{checkpoints}/telemetry", "text", "w",
                            once),
         write_stream_batches(events, save_laps, f"{checkpoints}/laps", once),
-        write_stream_upserts(telemetry_rows(decode_records(telemetry, TELEMETRY_MESSAGE)), f"{root}/telemetry_table",
-                             f"{checkpoints}/telemetry_table", once, "append"),
+        write_stream_batches(telemetry, to_sinks(*saves), f"{checkpoints}/telemetry_table", once),
     ]
 
 
@@ -82,12 +103,22 @@ def main(argv=None) -> None:
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--start", default="latest", choices=["latest", "earliest"])
     parser.add_argument("--records-per-batch", type=int)
+    parser.add_argument("--endpoint", help="address of an S3-compatible store for s3:// outputs")
+    parser.add_argument("--connect", help="module:function that opens a DB-API connection, for telemetry in a database")
+    parser.add_argument("--table", default="telemetry", help="the table there")
+    parser.add_argument("--connections", type=int, default=8, help="how many tasks may write to it at once")
     args = parser.parse_args(argv)
     spark = build_session("race-stream")
+    if args.endpoint:
+        use_endpoint(spark, args.endpoint)
+    database = None
+    if args.connect:
+        module, _, function = args.connect.partition(":")
+        database = Database(getattr(importlib.import_module(module), function), args.table, args.connections)
     events, telemetry = (
         read_topic(spark, args.brokers, topic, args.start, max_records=args.records_per_batch)
         for topic in (args.events_topic, args.telemetry_topic))
-    queries = start(events, telemetry, spark_path(args.output), args.checkpoints)
+    queries = start(events, telemetry, spark_path(args.output), args.checkpoints, database=database)
     if args.copy_topic:
         queries.append(write_topic(with_random_key(events, F.col("value")), args.brokers, args.copy_topic,
                                    f"{args.checkpoints}/copy"))

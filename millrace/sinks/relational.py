@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from itertools import batched
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.records import stable_id
 from millrace.schemas import TELEMETRY_TABLE
@@ -14,13 +15,21 @@ SPARK_TYPES = {"VARCHAR(255)": "string", "INTEGER": "int", "NUMERIC(10,5)": "dec
                "NUMERIC(10,3)": "decimal(10,3)"}
 
 
+def telemetry_fault(telemetry: DataFrame) -> Column:
+    """Why a record cannot be a row of the target table, or NULL."""
+    misfit = F.lit(False)
+    for name, kind in TELEMETRY_TABLE.items():
+        if name in telemetry.columns:
+            misfit |= F.col(name).isNotNull() & F.col(name).try_cast(SPARK_TYPES[kind]).isNull()
+    return F.when(F.coalesce("HelicopterID", F.lit("")) == "", "no helicopter, or no record").when(misfit, "a measure is out of range")
+
+
 def telemetry_rows(telemetry: DataFrame) -> DataFrame:
     """Telemetry in the layout of the target table, with a repeatable id.
 
-    Records without a helicopter are skipped; a measure that does not fit its
-    numeric type becomes NULL.
+    Records with a fault are left out; ``telemetry_fault`` tells them apart for the rejects.
     """
-    keyed = telemetry.filter(F.coalesce("HelicopterID", F.lit("")) != "")
+    keyed = telemetry.filter(telemetry_fault(telemetry).isNull())
     keyed = keyed.withColumn("id", stable_id(F.col("RaceID"), F.col("HelicopterID"), F.col("Time_s")))
     return keyed.select(*[
         F.col(name).try_cast(SPARK_TYPES[kind]).alias(name) for name, kind in TELEMETRY_TABLE.items()])
@@ -59,14 +68,34 @@ def upsert_rows(rows: Iterable, connect: Callable, statement: str, batch_size: i
         connection.close()
 
 
-def write_upserts(df: DataFrame, connect: Callable, table: str, key: str, batch_size: int = 1000,
-                  max_connections: int = 16) -> None:
-    """Upsert all rows. ``connect`` opens a DB-API connection inside a task.
+@dataclass(frozen=True)
+class Database:
+    """Where upserts go. ``connect`` opens a DB-API connection, on the driver and inside tasks.
 
-    Rows of one key go through one connection, so tasks do not wait for each other's locks.
+    ``connections`` is how many tasks write at once: what the database can take, not a property of the data.
     """
-    statement = upsert_statement(table, df.columns, key)
-    df.repartition(max_connections, key).foreachPartition(
+
+    connect: Callable
+    table: str
+    connections: int
+    batch_size: int = 1000
+
+
+def create_table(database: Database, columns: dict[str, str], key: str) -> None:
+    """Issue the statement of the target table, once, from the driver."""
+    connection = database.connect()
+    try:
+        cursor = connection.cursor()
+        cursor.execute(create_table_statement(database.table, columns, key))
+        connection.commit()
+    finally:
+        connection.close()
+
+
+def write_upserts(df: DataFrame, database: Database, key: str) -> None:
+    """Upsert all rows. Rows of one key go through one connection, so tasks do not wait for each other's locks."""
+    statement, connect, batch_size = upsert_statement(database.table, df.columns, key), database.connect, database.batch_size
+    df.repartition(database.connections, key).foreachPartition(
         lambda rows: upsert_rows(rows, connect, statement, batch_size))
 
 

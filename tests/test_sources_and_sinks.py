@@ -185,8 +185,10 @@ def test_telemetry_rows(spark):
     shaped = relational.telemetry_rows(source)
     assert shaped.columns == list(schemas.TELEMETRY_TABLE)
     got = {r["HelicopterID"]: r for r in shaped.collect()}
-    assert set(got) == {"h", "h2"} and float(got["h"]["FuelLevel_percentage"]) == 85.3
-    assert got["h2"]["Speed_km_h"] is None and len(got["h"]["id"]) == 64
+    assert set(got) == {"h"} and float(got["h"]["FuelLevel_percentage"]) == 85.3 and len(got["h"]["id"]) == 64
+    faults = source.select("HelicopterID", relational.telemetry_fault(source).alias("why")).collect()
+    assert {r["HelicopterID"]: r["why"] for r in faults} == {
+        "h": None, None: "no helicopter, or no record", "h2": "a measure is out of range"}
 
 
 class FakeConnection:

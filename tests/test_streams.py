@@ -1,13 +1,16 @@
 """Streams: equal to the batch, restartable, and strict about late rows."""
 
+import functools
 import json
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from millrace.functions.records import row_json
 from millrace.plans import race_stream
+from millrace.sinks import relational
 from millrace.sinks.keyed_log import read_current, upsert_batch
 from millrace.streaming.runs import (
     open_rows, stream_files, to_sinks, wait_all, write_stream_batches, write_stream_files, write_stream_upserts)
@@ -128,6 +131,34 @@ def race_records(spark, folder, name, values):
         F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "timestamp")
 
 
+class FolderConnection:
+    """A stand-in for a database connection that tasks can open: what it commits is a file of its own."""
+
+    def __init__(self, path):
+        self.path, self.rows = path, []
+
+    def cursor(self):
+        return self
+
+    def execute(self, statement):
+        self.rows.append([statement])
+
+    def executemany(self, statement, batch):
+        self.rows += [[statement, *map(str, row)] for row in batch]
+
+    def commit(self):
+        os.makedirs(self.path, exist_ok=True)
+        with open(f"{self.path}/{uuid.uuid4().hex}", "w") as out:
+            out.writelines(json.dumps(row) + "\n" for row in self.rows)
+        self.rows = []
+
+    def rollback(self):
+        self.rows = []
+
+    def close(self):
+        pass
+
+
 def test_race_streams(spark, folder):
     def event(number, moment, helicopter, details):
         return {"EventID": number, "RaceID": "r", "Timestamp_s": moment, "EventType": "x", "Details": details,
@@ -141,18 +172,24 @@ def test_race_streams(spark, folder):
               "Longitude": -118.24}
     wait_all(*race_stream.start(
         race_records(spark, folder, "events_in", events),
-        race_records(spark, folder, "telemetry_in", [record, record, dict(record, HelicopterID=None)]),
-        f"{folder}/out", f"{folder}/state", once=True))
+        race_records(spark, folder, "telemetry_in", [record, record, dict(record, HelicopterID=None), dict(record, Speed_km_h=1e9)]),
+        f"{folder}/out", f"{folder}/state", once=True, database=relational.Database(functools.partial(FolderConnection, f"{folder}/db"), "t", 3)))
 
     assert {name for name in os.listdir(f"{folder}/out/events") if name.startswith("w=")} == {
         "w=20260101-000000", "w=20260101-000005"}
     assert sorted(json.loads(r["value"])["EventID"] for r in spark.read.text(f"{folder}/out/events").collect()) == [
         "e1", "e2", "e3", "e4", "e5"]
-    assert spark.read.text(f"{folder}/out/telemetry").count() == 3
+    assert spark.read.text(f"{folder}/out/telemetry").count() == 4
     laps = race_stream.read_laps(spark, f"{folder}/out").collect()
     assert [(r["key"], json.loads(r["value"])) for r in laps] == [("simple_key:HEL001", events[1])]
     stored = read_current(spark, f"{folder}/out/telemetry_table", ["id"]).collect()   # the repeat is one row
     assert [(float(r["EngineTemp_c"]), float(r["Speed_km_h"]), float(r["Time_s"])) for r in stored] == [(85.3, 253.1, 9.3)]
+    rejects = spark.read.parquet(f"{folder}/out/telemetry_rejects").collect()
+    assert sorted(r["reason"] for r in rejects) == ["a measure is out of range", "no helicopter, or no record"]
+    written = [json.loads(line) for name in sorted(os.listdir(f"{folder}/db")) for line in open(f"{folder}/db/{name}")]
+    assert [x for x in written if x[0].startswith("CREATE TABLE IF NOT EXISTS t (id VARCHAR(255) PRIMARY KEY")]
+    rows_of = [x for x in written if x[0].startswith("INSERT INTO t (id, HelicopterID")]
+    assert len({x[1] for x in rows_of}) == 1 and {x[2] for x in rows_of} == {"HEL001"}
 
 
 def test_repeats_are_dropped(spark, folder):
