@@ -20,12 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.components import connected_components
-from millrace.llm.match import rows_among, rows_without
+from millrace.llm.match import rows_perhaps_among, rows_without
 from millrace.llm.words import mix, shingle_sets, slices, utf8
 from millrace.session import stored
 
 SKETCH = 1 << 18        # counters of shingles that repeat, for the order only; any order gives the same links
-COUNTED_AT_ONCE = 1 << 22
+COUNTED_AT_ONCE = 1 << 20
 SUBSET = 2
 EASY = 8                # complete comparisons per list entry that are not worth a round of trials
 HOT = 13                # level, 1 + log2 of a sketch counter, from which a shingle's entries are salted
@@ -207,8 +207,8 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
-        ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidates")
-        sets = stored(rows_among(texts, ids, "id").mapInArrow(_whole_sets(n_words), "id long, shingles binary"), "sets")
+        ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "candidates")
+        sets = stored(rows_perhaps_among(texts, ids, "id").mapInArrow(_whole_sets(n_words), "id long, shingles binary"), "sets")
         left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
         right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")

@@ -24,6 +24,11 @@ def _marked(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return joined.withColumn("_maybe", F.coalesce(F.col("_mask").bitwiseAND(mask) != 0, F.lit(False))).drop("_word", "_mask")
 
 
+def rows_perhaps_among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """All rows whose ``key`` is in ``ids``, and some others: for a join with ``ids`` that follows anyway. No row is shuffled."""
+    return _marked(rows, ids, key).filter("_maybe").select(*rows.columns)
+
+
 def rows_among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows whose ``key`` is in ``ids``; few others are shuffled. A null key is in no list."""
     return _marked(rows, ids, key).filter("_maybe").drop("_maybe").join(ids.select(key), key, "left_semi").select(*rows.columns)

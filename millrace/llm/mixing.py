@@ -149,8 +149,8 @@ def _rates(moved: np.ndarray, width: int):
     return run
 
 
-def solve_rates(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, most_steps: int = 40) -> DataFrame:
-    """``members`` (tokens, posteriors) with the nonnegative ``rate`` of each row.
+def solve_steps(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, most_steps: int = 40) -> np.ndarray:
+    """The steps per domain that give every row of ``members`` (tokens, posteriors) its nonnegative rate.
 
     Least squares of the expected tokens per domain, sum(rate * tokens * posterior), against ``targets`` of the total, by
     projected gradient from a rate of 1: gradients add up per domain and the rates are their projection, so of all rates
@@ -179,8 +179,14 @@ def solve_rates(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5
             length /= 2
         if np.abs(residual).max() <= tolerance or length < 1e-4:
             break
+    return best
+
+
+def solve_rates(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, most_steps: int = 40) -> DataFrame:
+    """``members`` with the ``rate`` of each row."""
+    steps = solve_steps(members, targets, tolerance, most_steps)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema) + ", rate double"
-    return members.mapInArrow(_rates(best, width), schema)
+    return members.mapInArrow(_rates(steps, len(targets)), schema)
 
 
 def domain_of_labels() -> Column:
@@ -204,23 +210,56 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float
 
     ``labels`` names documents by ``label_id``, a column of ``docs`` too and ``id_column`` by default.
     """
-    spark = docs.sparkSession
-    model = learn_domains(docs, labels, label_id or id_column, text_column, label_column, most_labelled)
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    members = stored(rows.mapInArrow(_posteriors(spark.sparkContext.broadcast(model)),
-                                     "id long, tokens long, posteriors array<double>"), "members")
-    if model.domains:
-        unknown = set(targets) - set(model.domains)
-        if unknown:
-            raise ValueError(f"no label has the domains {sorted(unknown)}")
-        weights = np.array([float(targets.get(x, 0.0)) for x in model.domains])
-        rated = solve_rates(members, weights / weights.sum(), tolerance)
-    else:
-        rated = members.withColumn("rate", F.lit(1.0))
+    model, members, weights = _members(docs, labels, targets, id_column, text_column, label_column, most_labelled, label_id)
+    rated = members.withColumn("rate", F.lit(1.0)) if weights is None else solve_rates(members, weights, tolerance)
     names = F.array(*[F.lit(x) for x in model.domains]).cast("array<string>")
     return rated.select(F.col("id").alias(id_column), "tokens", F.map_from_arrays(names, "posteriors").alias("posteriors"), "rate")
 
 
+def _members(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], id_column: str, text_column: str, label_column: str,
+             most_labelled: int, label_id: str | None) -> tuple[DomainModel, DataFrame, np.ndarray | None]:
+    model = learn_domains(docs, labels, label_id or id_column, text_column, label_column, most_labelled)
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS x domains floats
+    members = stored(rows.mapInArrow(_posteriors(shared), "id long, tokens long, posteriors array<double>"), "members")
+    if not model.domains:
+        return model, members, None
+    unknown = set(targets) - set(model.domains)
+    if unknown:
+        raise ValueError(f"no label has the domains {sorted(unknown)}")
+    weights = np.array([float(targets.get(x, 0.0)) for x in model.domains])
+    return model, members, weights / weights.sum()
+
+
+def _rated_rows(model, steps: np.ndarray | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            rate = np.ones(len(batch))
+            if steps is not None:
+                found, _ = features_of(*utf8(batch.column("text")))
+                rate = rates_after(model.value.posteriors(found), steps)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], [*batch.schema.names, "rate"])
+    return run
+
+
+def mixed_rows(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], key: str, columns: list[str], label_id: str,
+               text_column: str = "text", label_column: str = "domain", most_labelled: int = 4000) -> DataFrame:
+    """``columns`` of the rows of ``docs``, each as often as its rate says: a mix with ``targets``.
+
+    The rates are those of ``mixing_rates``, computed again where the text is, so no text is shuffled. ``key`` tells the
+    rows apart; a row's fraction of a copy is decided by its hash.
+    """
+    model, members, weights = _members(docs, labels, targets, key, text_column, label_column, most_labelled, label_id)
+    steps = None if weights is None else solve_steps(members, weights)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    carried = [x for x in columns if x != text_column]
+    rows = docs.select(F.col(key).alias("key"), F.col(text_column).cast("string").alias("text"), *[F.col(x).alias(f"c{k}") for k, x in enumerate(carried)])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", rate double"
+    rated = rows.mapInArrow(_rated_rows(shared, steps), schema).withColumn("n", copies(F.col("rate"), "key")).filter("n > 0")
+    names = {"text": text_column} | {f"c{k}": x for k, x in enumerate(carried)}
+    return rated.select(*[F.col(x).alias(name) for x, name in names.items()], F.explode(F.sequence(F.lit(1), "n")).alias("_copy")).select(*columns)
+
+
 def copies(rate: Column, *key: Column | str) -> Column:
     """How many copies of a row make its ``rate`` in expectation: the whole part, and one more by a hash of ``key``."""
     luck = F.pmod(F.xxhash64(F.lit(17), *key), F.lit(1 << 30)) / F.lit(float(1 << 30))

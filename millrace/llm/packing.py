@@ -68,7 +68,7 @@ class WordTokens:
     others take the tokenizer's whole way. Texts that may hold the strings of special tokens are encoded whole.
     """
 
-    LONGEST, MOST = 32, 500_000
+    LONGEST, MOST = 32, 250_000
     PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
     LETTERS = _byte_letters()
 
