@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.language import identify_languages, learn_languages
-from millrace.llm.match import rows_among, rows_without
-from millrace.llm.mixing import copies, domain_of_labels, mixing_rates
+from millrace.llm.match import rows_without
+from millrace.llm.mixing import domain_of_labels, mixed_rows
 from millrace.llm.packing import pack_documents
 from millrace.session import prepare, stored
 
@@ -41,12 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated or left out by their rates, so that the expected words of each domain match ``TARGETS``."""
     rows = _with_rows(docs)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumn("domain", domain_of_labels())
-    rated = mixing_rates(rows, labels, TARGETS, id_column="_row", label_id="doc_id")
-    changed = stored(rated.select("_row", copies(F.col("rate"), "_row").alias("_copies")).filter("_copies <> 1"), "changed")
-    repeated = rows_among(rows, changed, "_row").join(changed.filter("_copies > 1"), "_row").select(
-        *COLUMNS, F.explode(F.sequence(F.lit(2), "_copies")).alias("_copy"))
-    kept = rows_without(rows, changed.filter("_copies = 0"), "_row")
-    return kept.select(*COLUMNS).unionByName(repeated.select(*COLUMNS))
+    return mixed_rows(rows, labels, TARGETS, key="_row", columns=list(COLUMNS), label_id="doc_id")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
