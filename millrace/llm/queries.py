@@ -9,12 +9,15 @@ from millrace.llm.chat import preference_pairs, swapped_replies
 from millrace.llm.jaccard import jaccard_components
 from millrace.llm.language import identify_languages, learn_languages
 from millrace.llm.licences import scan_licences
+from millrace.llm.middle import fill_in_middle, restored
 from millrace.llm.mixing import domain_of_labels, mixing_rates
 from millrace.llm.near_vectors import near_vectors
 from millrace.llm.packing import pack_documents
+from millrace.llm.rules import STOP_WORDS, judge_texts
 from millrace.llm.topk import exact_topk
 from millrace.llm.urls import judge_urls
 from millrace.llm.warc import archived_captures
+from millrace.llm.whitening import fit_whitening, whiten
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -149,3 +152,49 @@ def op1_preference_chat(spark, sf_dir):
         return F.array_join(F.transform(mask, lambda x: F.concat(x["start"].cast("string"), F.lit("+"), x["length"].cast("string"))), " ")
 
     return pairs.withColumnRenamed("pair_id", "conv_id").withColumns({x: told(F.col(x)) for x in ("chosen_mask", "rejected_mask")})
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+                  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t FROM documents),
+n AS (SELECT *, len(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(t[1:a], '') AS pre, array_to_string(t[a + 1:b], '') AS mid, array_to_string(t[b + 1:n], '') AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""")
+def op11_fill_in_middle(spark, sf_dir):
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = {"output_sha256": F.col("output"), "restored_sha256": restored(F.col("output"), F.col("form"))}
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *[F.sha2(x, 256).alias(name) for name, x in digests.items()])
+
+
+@query()
+def op12_embedding_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return whiten(vectors, fit_whitening(vectors)).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+u AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM d),
+i AS (SELECT doc_id, i, concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS key, lead(x, 4) OVER o AS last
+      FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, key) AS c FROM i WHERE last IS NOT NULL),
+r AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM k CROSS JOIN range(0, 5) AS o(o) WHERE c > 1 GROUP BY 1),
+m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines,
+             len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+             len(list_filter(w, lambda x: x IN ({forms}))) AS n_stop_words
+      FROM d LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT *, NOT (base_failed OR n_words > 1000000 OR 100 * word_chars < 200 * n_words OR 100 * word_chars > 1500 * n_words OR 100 * n_symbols > 100 * n_words
+               OR (n_words >= 50 AND 100 * n_stop_words < n_words) OR 100 * n_dup_lines > 50 * n_lines) AS kept
+FROM b""".replace("{forms}", ", ".join(f"'{form}'" for x in STOP_WORDS for form in (x, x.capitalize(), x.upper()))))
+def op13_quality_rules(spark, sf_dir):
+    return judge_texts(table(spark, sf_dir, "documents")).drop("failed")
