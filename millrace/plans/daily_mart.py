@@ -88,7 +88,8 @@ MODELS = {
     "stg_meters": ("view", lambda spark: stage_meters(spark.table("meters"))),
     "stg_readings": ("view", lambda spark: stage_readings(spark.table("readings"))),
     "fct_daily_monitoring": (
-        "table", lambda spark: daily_monitoring(spark.table("stg_readings"), spark.table("stg_meters"))),
+        "table", lambda spark: daily_monitoring(spark.table("stg_readings"), spark.table("stg_meters")),
+        ("stg_readings", "stg_meters")),
 }
 
 

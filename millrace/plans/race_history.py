@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.records import default_key, required_key
 from millrace.operators.clean import split_valid
 from millrace.operators.histories import CHUNK_ROWS
-from millrace.operators.joins import co_group, expand_keys, lookup_struct
+from millrace.operators.joins import co_group, expand_keys, lookup_struct, one_per_key
 from millrace.schemas import RACE_EVENT, TEAM, TELEMETRY_V2
 from millrace.session import build_session
 from millrace.sinks.files import write_json_lines
@@ -55,7 +55,7 @@ def race_histories(telemetry: DataFrame, events: DataFrame, teams: DataFrame, te
     if team_scope == "all":
         return lookup_struct(nested, teams, "HelicopterID", "TeamInfo", UNKNOWN_TEAM)
     info = [name for name in teams.columns if name != "HelicopterID"]
-    scoped = expand_keys(sides["TelemetryHistory"], teams, KEYS, ["HelicopterID"]).select(*KEYS, F.struct(*info).alias("TeamInfo"))
+    scoped = expand_keys(sides["TelemetryHistory"], one_per_key(teams, ["HelicopterID"]), KEYS, ["HelicopterID"]).select(*KEYS, F.struct(*info).alias("TeamInfo"))
     missing = F.struct(*[F.lit(UNKNOWN_TEAM.get(f)).cast(teams.schema[f].dataType).alias(f) for f in info])
     return nested.join(scoped, KEYS, "left").withColumn("TeamInfo", F.coalesce("TeamInfo", missing))
 

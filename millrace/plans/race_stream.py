@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import importlib
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,16 +13,20 @@ from millrace.functions.records import decode_text, parse_json
 from millrace.operators.aggregates import latest_per_key
 from millrace.schemas import RACE_EVENT, TELEMETRY_MESSAGE, TELEMETRY_TABLE
 from millrace.session import build_session
-from millrace.sinks.keyed_log import read_current, upsert_batch
+from millrace.sinks.keyed_log import merge_levels, read_current, upsert_batch
 from millrace.sinks.relational import Database, create_table, telemetry_fault, telemetry_rows, write_upserts
 from millrace.sources.kafka import decode_records, read_topic, with_random_key, write_topic
 from millrace.sources.paths import spark_path, use_endpoint
-from millrace.streaming.runs import to_sinks, wait_all, write_stream_batches, write_stream_files
+from millrace.streaming.runs import to_sinks, wait_all, write_stream_batches
+from millrace.streaming.sealed import sealed_windows
+from millrace.streaming.state import latest_rows
 from millrace.streaming.windows import with_event_time, with_window
 
 LAP_TEXT = "completes lap"  # fixed value: the text that marks a finished lap
 KEY_PREFIX = "simple_key:"  # fixed value: how keys are named in the key-value table
 LAP_ORDER = ["timestamp", "Timestamp_s", "EventID"]
+LAP_MEMORY = timedelta(days=1)        # how long a helicopter without laps is remembered
+WINDOW = timedelta(seconds=5)
 
 
 def lap_values(records: DataFrame) -> DataFrame:
@@ -59,23 +64,27 @@ def rejected_telemetry(records: DataFrame) -> DataFrame:
 
 
 def start(events: DataFrame, telemetry: DataFrame, root: str, checkpoints: str,
-          once: bool = False, database: Database | None = None) -> list[StreamingQuery]:
+          once: bool = False, database: Database | None = None, delay: timedelta = timedelta(minutes=1), fan: int = 8) -> list[StreamingQuery]:
     """Start all streams over two frames of ``key, value, timestamp`` records.
 
-    Both topics go to files as they come, finished laps to a table by key, and
+    Both topics go to files by window, which are sealed ``delay`` after its end (rows
+    after that are kept apart), finished laps from state to a table by key, and
     telemetry to a table with the layout of the relational target, and to the
     relational ``database`` itself if there is one. Messages that cannot be rows of
-    it are kept with the reason in ``telemetry_rejects``, a folder per batch.
+    it are kept with the reason in ``telemetry_rejects``, a folder per batch. Every
+    ``fan`` batches of a table are merged.
     """
     text = decode_text(F.col("value"))
     if database is not None:
         create_table(database, TELEMETRY_TABLE, "id")
 
     def save_laps(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(latest_laps(batch), f"{root}/laps", batch_id)
+        upsert_batch(batch, f"{root}/laps", batch_id)
+        merge_levels(batch.sparkSession, f"{root}/laps", ["key"], [*LAP_ORDER, "batch_id"], fan)
 
     def save_telemetry(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(telemetry_rows(decode_records(batch, TELEMETRY_MESSAGE)), f"{root}/telemetry_table", batch_id)
+        merge_levels(batch.sparkSession, f"{root}/telemetry_table", ["id"], fan=fan)
 
     def save_rejects(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(rejected_telemetry(batch), f"{root}/telemetry_rejects", batch_id)
@@ -84,11 +93,14 @@ def start(events: DataFrame, telemetry: DataFrame, root: str, checkpoints: str,
         write_upserts(telemetry_rows(decode_records(batch, TELEMETRY_MESSAGE)), database, "id")
 
     saves = [save_telemetry, save_rejects] + ([save_rows] if database is not None else [])
+    def to_windows(records: DataFrame, name: str) -> StreamingQuery:
+        return write_stream_batches(records, sealed_windows(f"{root}/{name}", text, "timestamp", WINDOW, delay), f"{checkpoints}/{name}", once)
+
+    laps = latest_rows(lap_values(events), ["key"], LAP_ORDER, "timestamp", f"{delay // timedelta(seconds=1)} seconds", LAP_MEMORY)
     return [
-        write_stream_files(windowed_lines(events, text), f"{root}/events", f"{checkpoints}/events", "text", "w", once),
-        write_stream_files(windowed_lines(telemetry, text), f"{root}/telemetry", f"{checkpoints}/telemetry", "text", "w",
-                           once),
-        write_stream_batches(events, save_laps, f"{checkpoints}/laps", once),
+        to_windows(events, "events"),
+        to_windows(telemetry, "telemetry"),
+        write_stream_batches(laps, save_laps, f"{checkpoints}/laps", once, "update"),
         write_stream_batches(telemetry, to_sinks(*saves), f"{checkpoints}/telemetry_table", once),
     ]
 
@@ -103,6 +115,7 @@ def main(argv=None) -> None:
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--start", default="latest", choices=["latest", "earliest"])
     parser.add_argument("--records-per-batch", type=int)
+    parser.add_argument("--delay-seconds", type=int, default=60, help="how long after its end a window is sealed")
     parser.add_argument("--endpoint", help="address of an S3-compatible store for s3:// outputs")
     parser.add_argument("--connect", help="module:function that opens a DB-API connection, for telemetry in a database")
     parser.add_argument("--table", default="telemetry", help="the table there")
@@ -118,7 +131,8 @@ def main(argv=None) -> None:
     events, telemetry = (
         read_topic(spark, args.brokers, topic, args.start, max_records=args.records_per_batch)
         for topic in (args.events_topic, args.telemetry_topic))
-    queries = start(events, telemetry, spark_path(args.output), args.checkpoints, database=database)
+    queries = start(events, telemetry, spark_path(args.output), args.checkpoints, database=database,
+                    delay=timedelta(seconds=args.delay_seconds))
     if args.copy_topic:
         queries.append(write_topic(with_random_key(events, F.col("value")), args.brokers, args.copy_topic,
                                    f"{args.checkpoints}/copy"))

@@ -9,6 +9,7 @@ from millrace.functions.text import WORD_WITH_APOSTROPHE, as_strings
 from millrace.functions.times import lap_of
 from millrace.operators.aggregates import count_words
 from millrace.operators.clean import clean_people, concat_rows, first_per_key, top_per_key
+from millrace.operators.combiners import Moments, combine_per_key
 from millrace.operators.running import running_totals
 from millrace.plans.daily_mart import (
     consumption_per_key, daily_monitoring, stability, stage_meters, stage_readings, widest)
@@ -150,3 +151,14 @@ def set_concat(spark, sf_dir):
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"))
     return concat_rows(customers, suppliers)
+
+
+@query("""
+SELECT k AS key, count(value) AS n, round(avg(value), 6) AS mean, round(var_pop(value), 4) AS variance
+FROM (SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'user ' || user_id END AS k, value / 7 AS value FROM events) GROUP BY k
+""")
+def agg_combiner(spark, sf_dir):
+    """A combiner of one's own, with a third of the rows under one key."""
+    key = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("user "), "user_id"))
+    found = combine_per_key(table(spark, sf_dir, "events").withColumn("key", key), ["key"], F.col("value") / 7, Moments(), "m")
+    return found.select("key", "m.n", F.round("m.mean", 6).alias("mean"), F.round("m.variance", 4).alias("variance"))

@@ -10,6 +10,7 @@ from millrace.functions.text import clean_name
 from millrace.operators.aggregates import explode_words
 from millrace.operators.clean import keep_present
 from millrace.operators.joins import expand_keys, lookup_join
+from millrace.operators.table_functions import Lines, Sessions, table_function
 from millrace.plans.customer_etl import normalise
 from millrace.plans.daily_mart import stage_meters, stage_readings
 from millrace.queries.registry import query, table
@@ -140,3 +141,27 @@ SELECT * FROM final
 def map_ctes(spark, sf_dir):
     """Named subqueries and grouping by position, in SQL."""
     return spark.sql(CTES, orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
+
+
+@query("""
+SELECT doc_id, line::INTEGER AS line, words::INTEGER AS words, length(x)::INTEGER AS chars FROM (
+  SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS x, len(list_filter(string_split(unnest(l), ' '), lambda w: w <> '')) AS words
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+WHERE words > 0
+""")
+def map_table_function(spark, sf_dir):
+    """Any number of rows of each row: the lines of every text."""
+    lines = table_function(lambda: Lines("text"), Lines.made, ["doc_id"])
+    return table(spark, sf_dir, "documents").select("doc_id", "text").transform(lines)
+
+
+@query("""
+SELECT user_id, min(ts) AS first, max(ts) AS last, count(*)::INTEGER AS n FROM (
+  SELECT *, sum(CASE WHEN gap > INTERVAL '6 hours' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
+  FROM (SELECT *, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events))
+GROUP BY user_id, s
+""")
+def map_table_sessions(spark, sf_dir):
+    """A table function over the ordered rows of each key, with rows left to put out at the end."""
+    sessions = table_function(lambda: Sessions("ts", 6 * 3600), Sessions.made, ["user_id"], ["user_id"], ["ts"])
+    return table(spark, sf_dir, "events").select("user_id", "ts").transform(sessions)

@@ -36,7 +36,7 @@ def telemetry_rows(telemetry: DataFrame) -> DataFrame:
 
 
 def create_table_statement(table: str, columns: dict[str, str], key: str) -> str:
-    body = ", ".join(f"{name} {kind}{' PRIMARY KEY' if name == key else ''}" for name, kind in columns.items())
+    body = ", ".join(f"{name} {kind}{' PRIMARY KEY' if name == key else ''}" for name, kind in columns.items())  # no such column, no key
     return f"CREATE TABLE IF NOT EXISTS {table} ({body})"
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,13 +22,26 @@ def as_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def build_models(spark: SparkSession, models: dict[str, tuple[str, Callable[[SparkSession], DataFrame]]],
-                 table_root: str | None = None) -> None:
-    """Register models in the given order, so that each finds those before it by name.
+def dependency_order(needs: Mapping[str, Iterable[str]]) -> list[str]:
+    """The names so that each comes after those it needs; needs that are no names here are taken as given.
 
-    A model is ``(kind, function)`` with kind ``view`` or ``table``.
+    Names that wait for nothing keep their order. A cycle is an error that names its members.
     """
-    for name, (kind, model) in models.items():
+    sorter = TopologicalSorter({name: [x for x in wanted if x in needs] for name, wanted in needs.items()})
+    try:
+        return list(sorter.static_order())
+    except CycleError as error:
+        raise ValueError(f"these need each other: {' -> '.join(error.args[1])}") from error
+
+
+def build_models(spark: SparkSession, models: dict[str, tuple], table_root: str | None = None) -> None:
+    """Register models, each after those it reads, so that it finds them by name.
+
+    A model is ``(kind, function)`` or ``(kind, function, names it reads)``, with kind ``view`` or ``table`` and a function
+    of the session. Models without names to read keep the given order.
+    """
+    for name in dependency_order({name: model[2] if len(model) > 2 else () for name, model in models.items()}):
+        kind, model = models[name][:2]
         if kind == "view":
             as_view(model(spark), name)
         elif kind == "table":
