@@ -12,7 +12,9 @@ import numpy as np
 
 POINTS = 8        # of the quadrature on the upper half circle
 PER_INTERVAL = 4  # eigenvalues wanted in an interval; ties stay together
-MOST_ROUNDS = 40
+WIDEST = 8        # how many times the smallest one of an interval the largest may be
+MOST_ROUNDS = 48
+WIDEN_EVERY = 8   # rounds after which a block that has not settled gets twice the columns
 _EPS = float(np.finfo(np.float64).eps)
 
 
@@ -74,7 +76,10 @@ class Spectrum:
         """``(low, high, count)`` from the top until the ``k`` largest are covered; eigenvalues closer than a millionth stay together."""
         size, found, done, top = len(self.tri[0]), [], 0, self.high
         while done < k:
-            last = min(done + PER_INTERVAL, k)
+            last = done + 1
+            least = self.bracket(last)[0] / WIDEST
+            while last < min(done + PER_INTERVAL, k) and self.bracket(last + 1)[0] >= least:
+                last += 1
             while last < size:
                 upper, lower = self.bracket(last), self.bracket(last + 1)
                 if upper[0] - lower[1] > 1e-6 * self.scale:
@@ -101,17 +106,21 @@ def eigenpairs_within(matrix: np.ndarray, low: float, high: float, count: int, s
     nodes, weights = np.polynomial.legendre.leggauss(POINTS)
     turns = np.exp(1j * np.pi / 2 * (nodes + 1))
     centre, radius = (low + high) / 2, (high - low) / 2
-    for _ in range(MOST_ROUNDS):
+    for round_ in range(MOST_ROUNDS):
+        if round_ and round_ % WIDEN_EVERY == 0:
+            more = min(block.shape[1], size - block.shape[1])
+            block = np.hstack([block, np.random.default_rng(seed + round_).normal(size=(size, more))])
         projected = np.zeros_like(block)
         for turn, weight in zip(turns, weights, strict=True):
             shifted = (centre + radius * turn) * np.eye(size) - matrix
             projected += weight / 2 * (radius * turn * np.linalg.solve(shifted, block.astype(complex))).real
         values, block = _ritz(matrix, projected)
-        inside = (values > low) & (values < high)
         left_over = np.linalg.norm(matrix @ block - block * values, axis=0)
-        if inside.sum() == count and left_over[inside].max(initial=0) <= 32 * _EPS * size ** 0.5 * scale:
-            return block[:, inside]
-    raise ArithmeticError(f"eigenvalues between {low} and {high} were not found: {int(inside.sum())} of {count}")
+        # columns beyond the count hold what the projection left of everything else: their residuals stay large
+        found = (values > low) & (values < high) & (left_over <= 32 * _EPS * size ** 0.5 * scale)
+        if found.sum() == count:
+            return block[:, found]
+    raise ArithmeticError(f"eigenvalues between {low} and {high} were not found: {int(found.sum())} of {count}")
 
 
 def largest_eigenpairs(matrix: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
