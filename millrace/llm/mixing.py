@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -87,9 +88,15 @@ def fit(labels: list[str], features: list[np.ndarray], epochs: int = 6, batch: i
     return DomainModel(domains, weights, bias, float(temperature))
 
 
+def shares_of_sample(counts: Mapping[str, int], most: int) -> dict[str, int]:
+    """How many rows of each domain a sample of ``most`` takes: in proportion, but of a rare one at least an equal part of half."""
+    total, least = max(1, sum(counts.values())), most // (2 * max(1, len(counts)))
+    return {x: min(n, max(least, (most // 2) * n // total)) for x, n in sorted(counts.items())}
+
+
 def learn_domains(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                   label_column: str = "domain", most: int = 4000, longest: int = 20_000) -> DomainModel:
-    """A classifier of domains from at most ``most`` labelled rows, chosen by a hash of the id.
+    """A classifier of domains from at most ``most`` labelled rows, as many of each domain, chosen by a hash of the id.
 
     Only rows whose text has up to ``longest`` characters are chosen. Labels without id or domain are left out; an id
     labelled twice counts with its alphabetically last domain.
@@ -98,11 +105,20 @@ def learn_domains(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
         "id IS NOT NULL AND domain IS NOT NULL").groupBy("id").agg(F.max("domain").alias("domain"))
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).filter(
         f"id IS NOT NULL AND length(text) <= {longest}")
-    chosen = rows.select("id").join(named, "id").distinct().orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(most)
+    usable = stored(rows.select("id").join(named, "id").distinct().withColumn("_luck", F.xxhash64(F.lit(3), "id")), "labelled")
+    counts = {r["domain"]: r["count"] for r in usable.groupBy("domain").count().collect()}  # a row per domain
+    wanted = shares_of_sample(counts, most)
+    parts = [usable.filter(F.col("domain") == x).orderBy("_luck", "id").limit(n).select("id", "domain") for x, n in wanted.items()]
+    chosen = functools.reduce(DataFrame.union, parts, usable.select("id", "domain").limit(0))
     texts = rows.join(F.broadcast(chosen), "id").groupBy("domain", "id").agg(F.max("text").alias("text"))
     sample = texts.select("domain", "text").mapInArrow(_labelled, "domain string, buckets binary").toPandas()
     sample = sample.sort_values(["domain", "buckets"])
-    return fit(sample["domain"].tolist(), [np.frombuffer(x, np.int32) for x in sample["buckets"]])
+    model = fit(sample["domain"].tolist(), [np.frombuffer(x, np.int32) for x in sample["buckets"]])
+    if not model.domains:
+        return model
+    drawn = sample["domain"].value_counts()
+    excess = np.array([np.log(drawn[x] / len(sample)) - np.log(counts[x] / sum(counts.values())) for x in model.domains])
+    return replace(model, bias=model.bias - model.temperature * excess)
 
 
 def _posteriors(model):
@@ -127,16 +143,17 @@ def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
 
 
 def _sums(moved: np.ndarray, width: int):
-    """Tokens, expected tokens per domain, and the moments of the posteriors of documents whose rate can still move."""
+    """Tokens, their rates squared, expected tokens per domain, and the moments of the posteriors of documents with a rate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, expected, moments = 0.0, np.zeros(width), np.zeros((width, width))
+        total, squares, expected, moments = 0.0, 0.0, np.zeros(width), np.zeros((width, width))
         for batch in batches:
             shares, tokens = _matrix(batch, width), np.asarray(batch.column("tokens"), np.float64)
             rate = rates_after(shares, moved)
             total += tokens.sum()
+            squares += tokens @ (rate * rate)
             expected += (tokens * rate) @ shares
             moments += shares.T @ (shares * (tokens * (rate > 0))[:, None])
-        values = np.concatenate([[total], expected, moments.ravel()])
+        values = np.concatenate([[total, squares], expected, moments.ravel()])
         yield pa.record_batch({"cell": pa.array(np.arange(len(values), dtype=np.int32)), "value": pa.array(values)})
     return run
 
@@ -149,44 +166,81 @@ def _rates(moved: np.ndarray, width: int):
     return run
 
 
-def solve_steps(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, most_steps: int = 40) -> np.ndarray:
-    """The steps per domain that give every row of ``members`` (tokens, posteriors) its nonnegative rate.
+@dataclass(frozen=True)
+class Fit:
+    moved: np.ndarray        # a document's rate is 1 less its posteriors times this, and at least 0
+    residual: np.ndarray     # expected share per domain less its target
+    reached: bool            # whether all targets are met; if not, this is the least-squares fit
+    passes: int
+
+
+@dataclass(frozen=True)
+class _Point:
+    moved: np.ndarray
+    squares: float
+    residual: np.ndarray
+    moments: np.ndarray
+
+    def gradient(self, hold: float) -> np.ndarray:
+        return hold * self.moved - self.residual
+
+    def value(self, hold: float, targets: np.ndarray) -> float:
+        return float(hold * self.moved @ self.moved + self.squares) / 2 + float(targets @ self.moved)
+
+
+def solve_steps(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, least_hold: float = 1e-9, most_passes: int = 200) -> Fit:
+    """What gives every row of ``members`` (tokens, posteriors) its nonnegative rate.
+
+    Least squares of the expected tokens per domain, sum(rate * tokens * posterior), against ``targets`` of the total, plus
+    ``hold`` times the squared distance of the rates from 1. The rates are always the projection of 1 less all steps so
+    far. A step is the residual, scaled by the inverse curvature of the rows whose rate is not 0, and halved as long as it
+    overshoots; without that scaling thousands of passes do not get there. ``hold`` begins at 0.01 and is divided by ten
+    until every domain is within ``tolerance`` of the total, which leaves the rates as near to 1 as the targets allow, or
+    until ``least_hold``: then no rates reach the targets, and these are, to about ``least_hold`` times the squares of the
+    rates, the nearest. Not settling within ``most_passes`` is an error.
 
-    Least squares of the expected tokens per domain, sum(rate * tokens * posterior), against ``targets`` of the total, by
-    projected gradient from a rate of 1: gradients add up per domain and the rates are their projection, so of all rates
-    that match, those nearest to 1 are found. The squares are weighted by the inverse moments of the posteriors of rates
-    that can still move, so that domains which are rare or alike do not slow it down; a step that makes the match worse
-    is halved. A step is one pass over ``members`` that sums a few numbers per task, and a row's rate is always computed
-    anew from a number per domain, so nothing else is kept between passes. It ends when every domain is within
-    ``tolerance`` of the total, or after ``most_steps``, which only targets that no rates can reach should need; the best
-    point found is then the result.
+    A pass over ``members`` sums a few numbers per task, and a row's rate follows from a number per domain, so nothing
+    else is kept between passes.
     """
-    width = len(targets)
-    best, least, move, length = np.zeros(width), np.inf, np.zeros(width), 1.0
-    for _ in range(most_steps):
-        tried = best + length * move
-        cells = members.mapInArrow(_sums(tried, width), "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value"))
-        found = {r["cell"]: r["value"] for r in cells.collect()}  # 1 + domains + domains squared
-        total = found.get(0, 0.0)
-        if total <= 0:
-            break
-        residual = np.array([found[1 + k] for k in range(width)]) / total - targets
-        if np.linalg.norm(residual) < least:
-            best, least, length = tried, np.linalg.norm(residual), 1.0
-            moments = np.array([found[1 + width + k] for k in range(width * width)]).reshape(width, width) / total
-            move = np.linalg.solve(moments + 1e-9 * np.eye(width), residual)
-        else:
-            length /= 2
-        if np.abs(residual).max() <= tolerance or length < 1e-4:
-            break
-    return best
-
-
-def solve_rates(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, most_steps: int = 40) -> DataFrame:
+    width, passes = len(targets), 0
+
+    def look(moved: np.ndarray) -> _Point | None:
+        nonlocal passes
+        if passes >= most_passes:
+            raise ArithmeticError(f"the rates did not settle in {most_passes} passes over the documents")
+        passes += 1
+        cells = members.mapInArrow(_sums(moved, width), "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+        found = np.array([value for _, value in sorted((r["cell"], r["value"]) for r in cells.collect())])  # 2 + domains + domains squared
+        if not len(found) or found[0] <= 0:
+            return None
+        found /= found[0]
+        return _Point(moved, found[1], found[2:2 + width] - targets, found[2 + width:].reshape(width, width))
+
+    at, hold = look(np.zeros(width)), 0.01
+    if at is None:  # no words, so any rates do
+        return Fit(np.zeros(width), np.zeros(width), True, passes)
+    while True:
+        while np.abs(at.gradient(hold)).max() > tolerance / 10:
+            slope = at.gradient(hold)
+            step, length = -np.linalg.solve(at.moments + hold * np.eye(width), slope), 1.0
+            tried = look(at.moved + step)
+            while tried.value(hold, targets) > at.value(hold, targets) + 1e-4 * length * float(slope @ step) and length > 1e-6:
+                length /= 2
+                tried = look(at.moved + length * step)
+            if length <= 1e-6:
+                break  # as good as rounding allows
+            at = tried
+        reached = bool(np.abs(at.residual).max() <= tolerance)
+        if reached or hold <= least_hold:
+            return Fit(at.moved, at.residual, reached, passes)
+        hold = max(least_hold, hold / 10)
+
+
+def solve_rates(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5) -> DataFrame:
     """``members`` with the ``rate`` of each row."""
-    steps = solve_steps(members, targets, tolerance, most_steps)
+    fit = solve_steps(members, targets, tolerance)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema) + ", rate double"
-    return members.mapInArrow(_rates(steps, len(targets)), schema)
+    return members.mapInArrow(_rates(fit.moved, len(targets)), schema)
 
 
 def domain_of_labels() -> Column:
@@ -200,13 +254,14 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float
                  tolerance: float = 1e-5, label_id: str | None = None) -> DataFrame:
     """Per row ``id_column, tokens, posteriors, rate``: how often a document is to be used so that the mix has ``targets``.
 
-    ``targets`` gives weights per domain, scaled to sum to 1; a learned domain that it does not name has weight 0, and a
-    named one that no label has is an error. ``tokens`` counts words; ``posteriors`` is a map of domain to probability. The
+    ``targets`` gives weights per domain, scaled to sum to 1; a learned domain that it does not name has weight 0, and the
+    weight of a named one that no label has goes to the others in proportion. Targets that no rates reach get the rates of
+    least squares. ``tokens`` counts words; ``posteriors`` is a map of domain to probability. The
     expected tokens of a domain are sum(rate * tokens * posterior), and their total stays that of the table.
 
     A null or empty text has 0 tokens and the prior as posteriors; its rate counts for nothing in the sums. Equal texts
-    get equal rates, whatever their ids; null ids are kept. Without usable labels every rate is 1 and ``posteriors`` is
-    empty. Other columns are ignored; an empty table gives an empty result.
+    get equal rates, whatever their ids; null ids are kept. Without a usable label of a named domain every rate is 1, and
+    without any label ``posteriors`` is empty. Other columns are ignored; an empty table gives an empty result.
 
     ``labels`` names documents by ``label_id``, a column of ``docs`` too and ``id_column`` by default.
     """
@@ -224,20 +279,17 @@ def _members(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], i
     members = stored(rows.mapInArrow(_posteriors(shared), "id long, tokens long, posteriors array<double>"), "members")
     if not model.domains:
         return model, members, None
-    unknown = set(targets) - set(model.domains)
-    if unknown:
-        raise ValueError(f"no label has the domains {sorted(unknown)}")
     weights = np.array([float(targets.get(x, 0.0)) for x in model.domains])
-    return model, members, weights / weights.sum()
+    return model, members, weights / weights.sum() if weights.sum() > 0 else None
 
 
-def _rated_rows(model, steps: np.ndarray | None):
+def _rated_rows(model, moved: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rate = np.ones(len(batch))
-            if steps is not None:
+            if moved is not None:
                 found, _ = features_of(*utf8(batch.column("text")))
-                rate = rates_after(model.value.posteriors(found), steps)
+                rate = rates_after(model.value.posteriors(found), moved)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], [*batch.schema.names, "rate"])
     return run
 
@@ -250,12 +302,12 @@ def mixed_rows(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float],
     rows apart; a row's fraction of a copy is decided by its hash.
     """
     model, members, weights = _members(docs, labels, targets, key, text_column, label_column, most_labelled, label_id)
-    steps = None if weights is None else solve_steps(members, weights)
+    moved = None if weights is None else solve_steps(members, weights).moved
     shared = docs.sparkSession.sparkContext.broadcast(model)
     carried = [x for x in columns if x != text_column]
     rows = docs.select(F.col(key).alias("key"), F.col(text_column).cast("string").alias("text"), *[F.col(x).alias(f"c{k}") for k, x in enumerate(carried)])
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", rate double"
-    rated = rows.mapInArrow(_rated_rows(shared, steps), schema).withColumn("n", copies(F.col("rate"), "key")).filter("n > 0")
+    rated = rows.mapInArrow(_rated_rows(shared, moved), schema).withColumn("n", copies(F.col("rate"), "key")).filter("n > 0")
     names = {"text": text_column} | {f"c{k}": x for k, x in enumerate(carried)}
     return rated.select(*[F.col(x).alias(name) for x, name in names.items()], F.explode(F.sequence(F.lit(1), "n")).alias("_copy")).select(*columns)
 

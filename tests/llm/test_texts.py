@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from millrace.llm.language import LanguageModel, fit, identify_languages, learn_languages
 from millrace.llm.licences import NOTICES, scan_licences
-from millrace.llm.mixing import copies, domain_of_labels, mixing_rates, rates_after, solve_rates
+from millrace.llm.mixing import copies, domain_of_labels, mixing_rates, rates_after, shares_of_sample, solve_rates, solve_steps
 from millrace.llm.packing import BestFit, WordTokens, pack_documents
-from millrace.llm.queries import QUERIES
+from millrace.llm.queries import QUERIES, TARGETS
 from tests.llm.test_jaccard import plain_components, plain_set
 
 SF = "/root/testdata/sf0.001"
@@ -135,6 +135,58 @@ def test_rates_match_targets(spark):
     assert np.abs(rates_after(shares, moved) - rate).max() < 1e-2
 
 
+def nonnegative_least_squares(a, b):
+    """Active sets, one more column at a time: the exact residual to hold the fit against."""
+    x, used = np.zeros(a.shape[1]), []
+    while True:
+        gain = a.T @ (b - a @ x)
+        best = int(gain.argmax())
+        if gain[best] <= 1e-12 or best in used:
+            return x
+        used.append(best)
+        while True:
+            z = np.linalg.lstsq(a[:, used], b, rcond=None)[0]
+            if (z > 0).all():
+                break
+            held = x[used]
+            share = (held[z <= 0] / np.maximum(held[z <= 0] - z[z <= 0], 1e-300)).min()
+            held = held + share * (z - held)
+            used = [k for k, v in zip(used, held) if v > 1e-14]
+            x[:] = 0
+            x[used] = [v for v in held if v > 1e-14]
+        x[:] = 0
+        x[used] = z
+
+
+@pytest.mark.parametrize("goal", [[0.0, 0.0, 1.0], [0.98, 0.01, 0.01], [0.3, 0.3, 0.4], [0.05, 0.9, 0.05]])
+def test_rates_of_targets_that_cannot_be_reached(spark, goal):
+    rng = np.random.default_rng(2)
+    shares = rng.dirichlet([8, 1, 1], 400) * 0.8 + np.array([0.12, 0.04, 0.04])   # no document is of one domain alone
+    tokens = rng.integers(0, 900, 400)
+    members = spark.createDataFrame([(k, int(t), s.tolist()) for k, (t, s) in enumerate(zip(tokens, shares, strict=True))],
+                                    "id long, tokens long, posteriors array<double>")
+    fit = solve_steps(members, np.array(goal))
+    a = (shares * (tokens / tokens.sum())[:, None]).T
+    best = a @ nonnegative_least_squares(a, np.array(goal)) - goal
+    assert abs(np.linalg.norm(fit.residual) - np.linalg.norm(best)) < 1e-4
+    assert fit.reached == (np.abs(best).max() < 1e-9)
+    if not fit.reached:
+        assert np.abs(fit.residual - best).max() < 1e-4
+
+
+def test_mixing_query_meets_its_targets(spark):
+    for scale in ("sf0.001", "sf0.01"):
+        got = QUERIES["op2_mixing_rates"](spark, f"/root/testdata/{scale}").toPandas()
+        shares = [(got["rate"] * got["tokens"] * got[x]).sum() / got["tokens"].sum() for x in TARGETS]
+        assert np.abs(np.array(shares) - list(TARGETS.values())).max() < 2e-5 and (got["rate"] >= 0).all()
+
+
+def test_rare_domains_are_in_the_sample():
+    assert shares_of_sample({"good": 99_990, "toxic": 10}, 4000) == {"good": 1999, "toxic": 10}
+    assert shares_of_sample({"a": 5000, "b": 5000, "c": 5000, "d": 5}, 400) == {"a": 66, "b": 66, "c": 66, "d": 5}
+    assert sum(shares_of_sample({str(k): 10**6 for k in range(7)}, 4000).values()) <= 4000 and shares_of_sample({}, 10) == {}
+
+
 def test_mixing(spark):
     good, bad = made(1, ["ka", "lo"], 80), made(2, ["zz", "xx"], 80)
     rows = [(k, t) for k, t in enumerate(good + bad)] + [(900, None), (901, ""), (None, good[0]), (5, good[5])]
@@ -148,8 +200,9 @@ def test_mixing(spark):
     assert np.mean([r["rate"] > 1 for r in got if r["doc_id"] is not None and r["doc_id"] < 80]) > 0.9
     assert {r["rate"] for r in mixing_rates(docs, labels.filter("false"), {"good": 1}).collect()} == {1.0}
     assert mixing_rates(docs.filter("false"), labels, {"good": 1}).count() == 0
-    with pytest.raises(ValueError):
-        mixing_rates(docs, labels, {"nowhere": 1})
+    assert {r["rate"] for r in mixing_rates(docs, labels, {"nowhere": 1}).collect()} == {1.0}
+    partly = mixing_rates(docs, labels, {"good": 3, "low": 1, "nowhere": 9}).collect()
+    assert sorted(r["rate"] for r in partly) == sorted(r["rate"] for r in got)
 
 
 def test_copies_have_the_rate_as_mean(spark):
