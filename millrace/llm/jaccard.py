@@ -166,7 +166,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
 
     ``component_id`` is the smallest id reachable by links, the row's own id included. A null or empty text has an empty
     set, links with nothing and is its own component; a text of fewer than ``n_words`` words is one shingle. Rows are
-    kept as they come: equal rows give equal results, texts whose smallest id is the same count as linked, and a row
+    kept as they come: equal rows give equal results, an id that has several texts links what they link with, and a row
     without id has a null component unless a row with the same words has an id. Other columns are ignored. An empty
     table gives an empty result.
 
@@ -188,7 +188,13 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         mates = float((counts["times"].to_numpy(np.float64).clip(max=1e4)).sum()) / total
     boundary = choose_boundary(sizes, num, mates)
 
-    again = stored(rows.join(classes.select("sign", "rep"), "sign").filter("id <> rep").select("id"), "copies")
+    told = stored(rows.join(classes.select("sign", "rep"), "sign").select("id", "rep"), "told")
+    # an id with several texts joins their classes, and stays in the search if one of them is its own
+    classes_of = told.filter("id IS NOT NULL AND rep IS NOT NULL").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"))
+    several = stored(classes_of.filter("a < z"), "several")
+    shared_ids = stored(told.join(several, "id").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "shared-ids")
+    own = told.filter("id = rep").join(several, "id", "left_semi").select("id")
+    again = stored(told.filter("id <> rep").select("id").join(own, "id", "left_anti"), "copies")
     levels = spark.sparkContext.broadcast(level)  # SKETCH bytes
     keyed = rows_without(texts, again, "id").mapInArrow(_keys(n_words, num, boundary, levels), "id long, n int, small boolean, keys array<long>")
     n, position = F.col("n"), F.col("pos")
@@ -218,7 +224,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         return ((F.least("rest", h_rest) * (100 + num) >= num * (n + h_n)) & (100 * F.least("n", h_n) >= num * F.greatest("n", h_n))
                 & (F.col("lists") & (n <= h_n) | h_lists & (h_n <= n)))
 
-    components, links, placed = None, None, lists.withColumn("component", F.col("id"))
+    components, links, placed = None, None if shared_ids.isEmpty() else shared_ids, lists.withColumn("component", F.col("id"))
     for turn in range(rounds + 1):
         if components is not None:
             placed = lists.join(components, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id")).drop("node")
@@ -253,6 +259,8 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         components = stored(connected_components(links), "components")
         if last:
             break
+    if components is None and links is not None:
+        components = stored(connected_components(links), "components")
     if components is None:
         components = lists.filter("false").select(F.col("id").alias("node"), F.col("id").alias("component"))
     named = classes.join(components, classes.rep == components.node, "left").select(

@@ -10,9 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.words import _LOWER, _SPACE, slices, utf8
+from millrace.session import stored
 
 BITS = 16
 GRAMS = (3, 4)          # bytes of a subword, white space at a word's ends included
+SLICE_BITS = 16  # of the order of a sample; a language has at most 65,536 slices
 GRAMS_PER_TEXT = 512    # of a training text, evenly spaced over the whole of it
 UNKNOWN = "und"
 
@@ -130,7 +132,12 @@ def learn_languages(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("lang"))
     rows = rows.filter("id IS NOT NULL AND lang IS NOT NULL AND length(text) BETWEEN 1 AND %d" % longest)
     luck = F.xxhash64(F.lit(11), "id")
-    ranked = rows.select("id", "lang", luck.alias("luck")).withColumn(
+    known = stored(rows.select("id", "lang", luck.alias("luck")).withColumn("slice", F.shiftright("luck", 64 - SLICE_BITS)), "labelled")
+    # slices of the order with their counts say where a language has enough, so that few more rows than wanted are ranked
+    counts = known.groupBy("lang", "slice").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("slice")) - F.col("n")
+    ends = counts.withColumn("before", before).filter(F.col("before") < per_language).groupBy("lang").agg(F.max("slice").alias("end"))
+    ranked = known.join(ends, "lang").filter(F.col("slice") <= F.col("end")).withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy("luck", "id")))
     chosen = ranked.filter(F.col("rank") <= per_language).orderBy("rank", "luck", "id").limit(most).select("id")
     texts = rows.join(F.broadcast(chosen.distinct()), "id", "left_semi").groupBy("id").agg(

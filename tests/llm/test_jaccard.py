@@ -84,6 +84,19 @@ def test_odd_rows(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_an_id_with_several_texts_unites_what_they_link_with(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    near = a.replace("a39", "a0")
+    cases = [
+        ([(5, a), (5, b), (3, b), (9, near)], {3: 3, 5: 3, 9: 3}),      # 5 is the first of one text and a copy of another
+        ([(7, a), (1, a), (7, b), (3, b), (9, near), (8, c)], {7: 1, 1: 1, 3: 1, 9: 1, 8: 8}),   # the first of neither
+        ([(2, a), (2, b)], {2: 2}),
+        ([(4, a), (4, a), (4, None), (6, b)], {4: 4, 6: 6})]
+    for rows, right in cases:
+        got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len(got) == len(rows) and {(r["doc_id"], r["component_id"]) for r in got} == set(right.items())
+
+
 def test_boundary_follows_cost():
     assert choose_boundary({8: 1000}, 80, 50.0) > 8
     assert choose_boundary({500: 1000}, 80, 0.1) <= 500
