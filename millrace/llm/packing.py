@@ -13,7 +13,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.words import slices, utf8
+from millrace.session import stored
 
+FULL_ENOUGH = 0.98        # of the capacity: a sequence that a task leaves with less is packed again with those of others
+SEQUENCES_PER_TASK = 1024  # about how many sequences a task of the second pass makes
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
@@ -21,12 +24,13 @@ class BestFit:
     """A fixed number of open bins, found by a bitset whose bit ``f`` says that a bin with ``f`` free places is open.
 
     An item goes to the open bin with the least sufficient space. When a new bin is needed and all are open, the fullest
-    closes first.
+    closes first. ``closed`` collects the bins that take no more.
     """
 
     def __init__(self, capacity: int, open_bins: int) -> None:
         self.capacity, self.most, self.open, self.made, self.free = capacity, open_bins, 0, 0, 0
         self.bins: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.closed: list[int] = []
 
     def _take(self, free: int) -> int:
         found = self.bins[free].pop()
@@ -43,13 +47,15 @@ class BestFit:
             chosen = self._take(free)
         else:
             if self.open == self.most:
-                self._take((self.free & -self.free).bit_length() - 1)
+                self.closed.append(self._take((self.free & -self.free).bit_length() - 1))
             chosen, free = self.made, self.capacity
             self.made += 1
         if rest := free - length:
             self.bins[rest].append(chosen)
             self.free |= 1 << rest
             self.open += 1
+        else:
+            self.closed.append(chosen)
         return chosen, self.capacity - free
 
 
@@ -119,24 +125,50 @@ class WordTokens:
         return b"".join(parts)
 
 
+class _Sequences:
+    """The pieces of open bins, until these close; a piece is a row up to ``ids_crc32``, with its ids if they are kept."""
+
+    def __init__(self, capacity: int, open_bins: int, with_ids: bool) -> None:
+        self.bins, self.held, self.with_ids = BestFit(capacity, open_bins), {}, with_ids
+
+    def place(self, pieces: list[tuple]) -> None:
+        for piece in pieces:
+            chosen, offset = self.bins.place(piece[3])
+            self.held.setdefault(chosen, []).append((offset, piece))
+
+    def closed(self, base: int) -> pa.RecordBatch:
+        done = self.bins.closed
+        self.bins.closed = []
+        return self._rows(done, base)
+
+    def rest(self, base: int, full_enough: float) -> Iterator[pa.RecordBatch]:
+        """What is left: sequences that are nearly full, and the pieces of the others without a sequence."""
+        lengths = {x: sum(piece[3] for _, piece in rows) for x, rows in self.held.items()}
+        yield self._rows([x for x, n in lengths.items() if n >= full_enough * self.bins.capacity], base)
+        yield self._rows(list(self.held), None)
+
+    def _rows(self, done: list[int], base: int | None) -> pa.RecordBatch:
+        rows = [(piece, None if base is None else base + x, offset) for x in done for offset, piece in self.held.pop(x)]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        arrays = [pa.array([piece[k] for piece, _, _ in rows], kind) for k, kind in enumerate(kinds)]
+        arrays += [pa.array([x for _, x, _ in rows], pa.int64()), pa.array([offset for _, _, offset in rows], pa.int64())]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+        if self.with_ids:
+            arrays.append(pa.array([piece[5] for piece, _, _ in rows], pa.binary()))
+            names.append("ids")
+        return pa.record_batch(arrays, names)
+
+
 def _pack(path: str, capacity: int, end_id: int, open_bins: int, lookahead: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, bins, waiting = WordTokens.shared(path), BestFit(capacity, open_bins), []
+        tokens, sequences, waiting = WordTokens.shared(path), _Sequences(capacity, open_bins, with_ids), []
         base, end = TaskContext.get().partitionId() << 40, np.array([end_id], "<u4").tobytes()
 
         def placed() -> pa.RecordBatch:
             waiting.sort(key=lambda piece: -piece[3])
-            where = [bins.place(piece[3]) for piece in waiting]
-            columns = list(zip(*waiting, strict=True))
-            arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()),
-                      *[pa.array(columns[k], pa.int64()) for k in (2, 3, 4)],
-                      pa.array([base + x for x, _ in where], pa.int64()), pa.array([x for _, x in where], pa.int64())]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-            if with_ids:
-                arrays.append(pa.array(columns[5], pa.binary()))
-                names.append("ids")
+            sequences.place(waiting)
             waiting.clear()
-            return pa.record_batch(arrays, names)
+            return sequences.closed(base)
 
         for batch in slices(batches, "text"):
             data, offsets = utf8(batch.column("text"))
@@ -148,8 +180,21 @@ def _pack(path: str, capacity: int, end_id: int, open_bins: int, lookahead: int,
                     waiting.append((doc, piece, start, len(part) // 4, zlib.crc32(part), part if with_ids else None))
                     if len(waiting) == lookahead:
                         yield placed()
-        if waiting:
-            yield placed()
+        yield placed()
+        yield from sequences.rest(base, FULL_ENOUGH)
+    return run
+
+
+def _pack_again(capacity: int, open_bins: int, with_ids: bool):
+    """Pieces that come longest first into sequences, all of which are final."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sequences = _Sequences(capacity, open_bins, with_ids)
+        base = (TaskContext.get().partitionId() << 40) + (1 << 39)  # apart from the numbers of the first pass
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+        for batch in batches:
+            sequences.place(list(zip(*[batch.column(x).to_pylist() for x in names], strict=True)))
+            yield sequences.closed(base)
+        yield from sequences.rest(base, 0.0)
     return run
 
 
@@ -159,8 +204,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_i
     """A row per piece of a document: its ids (little-endian unsigned 32-bit), its sequence and its place there.
 
     A document is its token ids and then ``end_id``. Only documents longer than ``capacity`` are cut, into pieces of
-    ``capacity`` ids; the last may be shorter. Each task packs the rows of its partition, without a shuffle, and a
-    repeated task makes the same sequences. It holds ``lookahead`` pieces, places the longest first, and keeps at most
+    ``capacity`` ids; the last may be shorter. Each task packs the rows of its partition, without a shuffle of
+    texts, and a repeated task makes the same sequences. Sequences that tasks leave unfinished are taken apart, and their
+    pieces packed again, longest first, in as many tasks as they fill ``SEQUENCES_PER_TASK`` sequences each, so the number
+    of sequences hardly depends on the number of partitions. A task holds ``lookahead`` pieces, places the longest first, and keeps at most
     ``open_bins`` unfinished sequences, so its memory does not depend on the partition. Sequences are filled without gaps
     from 0; their numbers are unique and otherwise arbitrary.
 
@@ -169,5 +216,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_i
     """
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     run = _pack(tokenizer_path, capacity, end_id, open_bins, lookahead, with_ids)
-    packed = rows.mapInArrow(run, SCHEMA + (", ids binary" if with_ids else ""))
-    return packed.withColumnRenamed("doc_id", id_column)
+    schema = SCHEMA + (", ids binary" if with_ids else "")
+    packed = stored(rows.mapInArrow(run, schema), "packed")
+    left = packed.filter("sequence_id IS NULL")
+    tasks = max(1, (left.agg(F.sum("length")).first()[0] or 0) // (capacity * SEQUENCES_PER_TASK))
+    order = [F.desc("length"), "doc_id", "piece", "ids_crc32", "start"]  # a repeated task sees the same order
+    again = left.repartition(tasks).sortWithinPartitions(*order).mapInArrow(
+        _pack_again(capacity, open_bins, with_ids), schema)
+    return packed.filter("sequence_id IS NOT NULL").unionByName(again).withColumnRenamed("doc_id", id_column)

@@ -117,6 +117,16 @@ def test_packing(spark):
     assert pack_documents(docs.filter("false"), TOKENS).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 8, 64, 211])
+def test_fill_hardly_depends_on_the_partitions(spark, partitions):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(partitions)
+    got = pack_documents(docs, TOKENS, with_ids=False).toPandas()
+    bound = -(-got["length"].sum() // 4096)
+    ends = got.assign(end=got["offset"] + got["length"]).groupby("sequence_id").agg({"end": "max", "length": "sum"})
+    assert (ends["end"] == ends["length"]).all() and ends["end"].max() <= 4096
+    assert len(ends) <= 1.02 * bound + 1 and len(got.drop_duplicates(["doc_id", "piece"])) == len(got)
+
+
 # mixing
 
 def test_rates_match_targets(spark):
