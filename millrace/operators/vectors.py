@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.operators.clean import first_per_key, top_per_key
+from millrace.operators.pivots import MAX_PIVOTS, SAMPLE_PER_PIVOT, Cells, as_euclidean, choose_pivots
+from millrace.session import stored
 
 # How many numbers of the query side may be sent to every task (8 MB as doubles).
 MAX_BROADCAST_NUMBERS = 1_000_000
@@ -64,10 +66,15 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2",
     ``cosine`` (1 - cosine).
 
     A small query side, whose size is counted first, is sent to the tasks and the
-    corpus is scanned where it lies. A larger one is cut into blocks that meet the
-    blocks of the corpus in a grouped join: each group holds two blocks of bounded
-    size. In both cases a task keeps only its ``k`` best rows per query, so pairs
-    are never emitted, and the last step ranks those few.
+    corpus is scanned where it lies. For a larger one the corpus is parted into cells
+    around pivots. A query first meets the cells around it, which bounds the distance
+    of its ``k``-th neighbour, and then only those other cells that may hold a nearer
+    row by the triangle inequality; it is not shuffled to the rest. Where that leaves
+    more than half of all pairs, as among many dimensions it may, all blocks of queries
+    meet all blocks of the corpus instead. Every group of the joins holds two blocks of
+    bounded size, and a task keeps only its ``k`` best rows per query, so pairs are never
+    emitted, and the last step ranks those few. Equal query vectors are searched once,
+    and of equal corpus vectors only the ``k`` first are.
     """
     queries = queries.select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
     corpus = corpus.select("id", "embedding")
@@ -81,8 +88,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2",
     if (size["numbers"] or 0) <= max_broadcast_numbers:
         found = _scan_corpus(queries, corpus, k, metric, found_schema)
     else:
-        block_rows = max(1, block_numbers * size["n"] // size["numbers"])
-        found = _join_blocks(queries, size["n"], corpus, corpus.count(), k, metric, found_schema, block_rows)
+        found = _join_pivots(queries, corpus, k, metric, found_schema, max(1, block_numbers // dims))
     return top_per_key(found, ["query_id"], [F.col("distance"), F.col("id")], k)
 
 
@@ -103,20 +109,8 @@ def _scan_corpus(queries: DataFrame, corpus: DataFrame, k: int, metric: str, sch
     return corpus.mapInArrow(search, schema)
 
 
-def _join_blocks(queries: DataFrame, n_queries: int, corpus: DataFrame, n_corpus: int, k: int, metric: str,
-                 schema: T.StructType, block_rows: int) -> DataFrame:
-    """Block by block search, for a query side of any size."""
-    q_blocks = max(1, -(-n_queries // block_rows))
-    c_blocks = max(1, -(-n_corpus // block_rows))
-
-    def block(id_column: str, blocks: int) -> Column:
-        return F.pmod(F.xxhash64(id_column), F.lit(blocks)).cast("int")
-
-    def every(blocks: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    left = (queries.withColumn("q_block", block("query_id", q_blocks)).withColumn("c_block", every(c_blocks)))
-    right = (corpus.withColumn("c_block", block("id", c_blocks)).withColumn("q_block", every(q_blocks)))
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], k: int, metric: str, schema: T.StructType) -> DataFrame:
+    """The ``k`` best rows per query of each group: two blocks of bounded size."""
     arrow_schema = _arrow_schema(schema)
 
     def search(query_rows: pa.Table, corpus_rows: pa.Table) -> pa.Table:
@@ -127,8 +121,122 @@ def _join_blocks(queries: DataFrame, n_queries: int, corpus: DataFrame, n_corpus
         best.offer(corpus_rows.column("id"), corpus_rows.column("embedding"))
         return pa.Table.from_batches([best.as_batch(arrow_schema)])
 
-    pair = ["q_block", "c_block"]
-    return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInArrow(search, schema)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
+
+
+def _part(id_column: str, parts: Column | int) -> Column:
+    return F.pmod(F.xxhash64(id_column), parts if isinstance(parts, Column) else F.lit(parts)).cast("int")
+
+
+def _every(parts: Column | int) -> Column:
+    return F.explode(F.sequence(F.lit(0), (parts if isinstance(parts, Column) else F.lit(parts)).cast("int") - 1))
+
+
+def _join_blocks(queries: DataFrame, n_queries: int, corpus: DataFrame, n_corpus: int, k: int, metric: str,
+                 schema: T.StructType, block_rows: int) -> DataFrame:
+    """Every block of queries with every block of the corpus."""
+    q_blocks = max(1, -(-n_queries // block_rows))
+    c_blocks = max(1, -(-n_corpus // block_rows))
+    left = queries.withColumn("q_block", _part("query_id", q_blocks)).withColumn("c_block", _every(c_blocks))
+    right = corpus.withColumn("c_block", _part("id", c_blocks)).withColumn("q_block", _every(q_blocks))
+    return _meet(left, right, ["q_block", "c_block"], k, metric, schema)
+
+
+def place_in_cells(corpus: DataFrame, dims: int, metric: str) -> tuple[DataFrame, Cells] | None:
+    """The corpus with the ``cell`` of each row, and what is known of the cells; None if it is empty.
+
+    Pivots come from a sample by a hash of the id, of at most ``MAX_PIVOTS * SAMPLE_PER_PIVOT`` rows and
+    ``MAX_BROADCAST_NUMBERS`` numbers; all rows are placed.
+    """
+    spark = corpus.sparkSession
+    n = corpus.count()
+    if not n:
+        return None
+    wanted = max(1, min(MAX_PIVOTS, int(n ** 0.5), MAX_BROADCAST_NUMBERS // (dims * SAMPLE_PER_PIVOT)))
+    sample = corpus.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_PIVOT * wanted).select("embedding").toArrow()
+    pivots = choose_pivots(_matrix(sample.column("embedding")), wanted, metric)
+    shared = spark.sparkContext.broadcast(pivots)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                cell, distance, slack = shared.value.place(_matrix(batch.column("embedding")))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(distance), pa.array(np.full(len(cell), slack))],
+                    [*batch.schema.names, "cell", "gap", "slack"])
+
+    placed = stored(corpus.mapInArrow(place, T.StructType(
+        [*corpus.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType()), T.StructField("slack", T.DoubleType())])), "cells")
+    counts, least, most = np.zeros(pivots.cells, np.int64), np.zeros(pivots.cells), np.zeros(pivots.cells)
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("gap") - F.col("slack")).alias("least"),
+                                        F.max(F.col("gap") + F.col("slack")).alias("most")).collect():   # a row per cell
+        counts[r["cell"]], least[r["cell"]], most[r["cell"]] = r["n"], r["least"], r["most"]
+    return placed.select("id", "embedding", "cell"), Cells(pivots, counts, least, most)
+
+
+def routes(queries: DataFrame, cells: Cells, k: int) -> DataFrame:
+    """``query_id, query, cell``: the cells to search for each query. Without a column ``bound`` the nearest ones, which hold
+    ``k`` rows, and with it the others that may hold a row within it."""
+    shared = queries.sparkSession.sparkContext.broadcast(cells)
+    bounded = "bound" in queries.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Cells = shared.value
+        step = max(1, 4_000_000 // known.pivots.cells)
+        for whole in batches:
+            for at in range(0, len(whole), step):
+                batch = whole.slice(at, step)
+                distances, slack = known.pivots.distances(_matrix(batch.column("query")))
+                wanted = known.first(distances, k)
+                if bounded:
+                    limit = as_euclidean(np.asarray(batch.column("bound"), np.float64), known.pivots.metric)
+                    wanted = known.possible(distances, slack, limit) & ~wanted
+                row, cell = np.nonzero(wanted)
+                rows = batch.select(["query_id", "query"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cell.astype(np.int32))], ["query_id", "query", "cell"])
+
+    fields = [queries.schema[x] for x in ("query_id", "query")]
+    return queries.mapInArrow(run, T.StructType([*fields, T.StructField("cell", T.IntegerType())]))
+
+
+def _search_cells(routed: DataFrame, corpus: DataFrame, cells: Cells, k: int, metric: str, schema: T.StructType, block_rows: int) -> DataFrame:
+    """Queries with the rows of the cells they were sent to. Large cells and crowded ones are cut into parts."""
+    wanted = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("asked"))
+    sizes = corpus.sparkSession.createDataFrame([(c, int(n)) for c, n in enumerate(cells.counts) if n], "cell int, held long")
+    parts = F.broadcast(stored(wanted.join(sizes, "cell").select(    # a row per cell
+        "cell", F.ceil(F.col("asked") / block_rows).alias("q_parts"), F.ceil(F.col("held") / block_rows).alias("c_parts")), "parts"))
+    left = routed.join(parts, "cell").withColumn("q_part", _part("query_id", F.col("q_parts"))).withColumn("c_part", _every(F.col("c_parts")))
+    right = corpus.join(parts, "cell").withColumn("c_part", _part("id", F.col("c_parts"))).withColumn("q_part", _every(F.col("q_parts")))
+    return _meet(left.drop("q_parts", "c_parts"), right.drop("q_parts", "c_parts"), ["cell", "q_part", "c_part"], k, metric, schema)
+
+
+def pairs_to_meet(routed: DataFrame, cells: Cells) -> int:
+    """How many pairs of a query and a corpus row a search of these routes computes."""
+    return sum(r["n"] * int(cells.counts[r["cell"]]) for r in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def _join_pivots(queries: DataFrame, corpus: DataFrame, k: int, metric: str, schema: T.StructType, block_rows: int) -> DataFrame:
+    """Search by cells, for a query side of any size."""
+    dims = queries.select(F.max(F.size("query"))).first()[0]
+    asked = stored(queries.groupBy("query").agg(F.min("query_id").alias("query_id")), "queries")
+    fewer = stored(top_per_key(corpus, ["embedding"], [F.col("id")], k).select("id", "embedding"), "corpus")
+    placed = place_in_cells(fewer, dims, metric)
+    if placed is None:
+        return queries.sparkSession.createDataFrame([], schema)
+    rows, cells = placed
+    n_queries, n_corpus = asked.count(), int(cells.counts.sum())
+    first = stored(routes(asked.select("query_id", "query"), cells, k), "routes")
+    near = stored(_search_cells(first, rows, cells, k, metric, schema, block_rows), "near")
+    ranked = top_per_key(near, ["query_id"], [F.col("distance"), F.col("id")], k)
+    bounds = ranked.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).otherwise(float("inf")).alias("bound"))
+    more = stored(routes(asked.join(bounds, "query_id"), cells, k), "routes")
+    if 2 * pairs_to_meet(more, cells) > n_queries * n_corpus:
+        found = _join_blocks(asked, n_queries, fewer, n_corpus, k, metric, schema, block_rows)
+    else:
+        found = near.union(_search_cells(more, rows, cells, k, metric, schema, block_rows))
+    best = top_per_key(found, ["query_id"], [F.col("distance"), F.col("id")], k).select(F.col("query_id").alias("asked_as"), "id", "distance")
+    same = queries.join(asked.select(F.col("query_id").alias("asked_as"), "query"), "query").select("query_id", "asked_as")
+    return same.join(best, "asked_as").select("query_id", "id", "distance")
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:

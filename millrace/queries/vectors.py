@@ -84,3 +84,10 @@ def vec_search(spark, sf_dir):
     embedded = table(spark, sf_dir, "embeddings").join(documents, "vec_id")
     stored = collection(embedded, "vec_id", "embedding", F.col("text"))
     return search(stored, _stored(spark, sf_dir), 2).withColumn("distance", F.round("distance", 6))
+
+
+@query(NEAREST_SQL.format(distance=L2, keep="true"))
+def vec_topk_cells(spark, sf_dir):
+    """The two nearest vectors of every vector, as for a query side too large to be sent to the tasks: by cells around pivots."""
+    vectors = _vectors(spark, sf_dir)
+    return nearest(vectors, vectors, 2, max_broadcast_numbers=0).withColumn("distance", F.round("distance", 6))

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import vectors
+from millrace.operators.pivots import Cells, choose_pivots
 from millrace.operators.vectors import add_documents, collection, get_documents, nearest
 from millrace.plans import vector_search
 
@@ -24,15 +26,15 @@ def brute_force(queries, corpus, k, metric):
 @pytest.mark.parametrize("limit", [1_000_000, 0])
 def test_nearest(spark, metric, limit):
     dice = np.random.default_rng(3)
-    vectors = {i: [float(np.float32(x)) for x in dice.normal(size=8)] for i in range(300)}
-    vectors.update({i: vectors[7] for i in range(300, 400)})   # a quarter of the rows are copies of one
-    queries = {i: vectors[i] for i in (0, 7, 33, 350)}
+    data = {i: [float(np.float32(x)) for x in dice.normal(size=8)] for i in range(300)}
+    data.update({i: data[7] for i in range(300, 400)})   # a quarter of the rows are copies of one
+    queries = {i: data[i] for i in (0, 7, 33, 350)}
     schema = "id bigint, embedding array<float>"
-    corpus = spark.createDataFrame(list(vectors.items()), schema).repartition(5)
+    corpus = spark.createDataFrame(list(data.items()), schema).repartition(5)
     asked = spark.createDataFrame(list(queries.items()), schema)
     found = nearest(asked, corpus, 3, metric, max_broadcast_numbers=limit, block_numbers=8 * 50).collect()
     got = {q: [r["id"] for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])] for q in queries}
-    assert got == brute_force(queries, vectors, 3, metric)
+    assert got == brute_force(queries, data, 3, metric)
     assert all(r["distance"] >= -1e-12 for r in found)
 
 
@@ -83,3 +85,63 @@ def test_search_job(spark, folder):
                         "--output", f"{folder}/out"])
     assert sorted(r[0] for r in spark.read.text(f"{folder}/out").collect()) == [
         "q1 | Result 1 (Distance: 0.01): fee", "q1 | Result 2 (Distance: 1.81): rise"]
+
+
+def clustered(n, centres=40, dims=8, seed=1):
+    dice = np.random.default_rng(seed)
+    middle = dice.normal(size=(centres, dims)) * 10
+    rows = (middle[dice.integers(centres, size=n)] + dice.normal(size=(n, dims)) * 0.3).astype(np.float32)
+    return {i: [float(x) for x in row] for i, row in enumerate(rows)}
+
+
+def met(queries, corpus, k, metric="l2"):
+    """Pairs that a search by cells computes, in both of its passes, and all pairs."""
+    asked = queries.select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
+    rows, cells = vectors.place_in_cells(corpus.select("id", "embedding"), 8, metric)
+    first = vectors.routes(asked, cells, k)
+    bounds = nearest(queries, corpus, k, metric).groupBy("query_id").agg(F.max("distance").alias("bound"))
+    more = vectors.routes(asked.join(bounds, "query_id"), cells, k)
+    return vectors.pairs_to_meet(first, cells) + vectors.pairs_to_meet(more, cells), asked.count() * rows.count()
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_cells_that_hold_no_neighbour_are_not_met(spark, metric):
+    found = spark.createDataFrame(list(clustered(3000).items()), "id bigint, embedding array<float>").repartition(4)
+    some, every = met(found, found, 3, metric)
+    assert some < every / 4      # under half of all pairs, by far
+    by_cells = nearest(found, found, 3, metric, max_broadcast_numbers=0, block_numbers=8 * 100)
+    whole = nearest(found, found, 3, metric)
+    assert sorted(map(tuple, by_cells.collect())) == sorted(map(tuple, whole.collect()))
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_cells_with_copies_zeros_ties_and_no_structure(spark, metric):
+    dice = np.random.default_rng(7)
+    data = {i: [float(np.float32(x)) for x in dice.normal(size=8)] for i in range(400)}                # nothing to prune
+    data |= {i: [0.0] * 8 for i in range(400, 450)} | {i: data[3] for i in range(450, 700)}              # hot copies, zeros
+    data |= {i: [float(i % 3), 1.0] + [0.0] * 6 for i in range(700, 760)}                                # ties
+    data |= {i: [2.0 * x for x in data[i - 760]] for i in range(760, 780)}                               # one direction, other lengths
+    found = spark.createDataFrame(list(data.items()), "id bigint, embedding array<float>").repartition(5)
+    for k in (1, 4):
+        by_cells = nearest(found, found, k, metric, max_broadcast_numbers=0, block_numbers=8 * 64)
+        whole = nearest(found, found, k, metric)
+        assert sorted(map(tuple, by_cells.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_bounds_never_exceed_a_distance():
+    """The cells left out hold no row within the bound, whatever the scale and the offset of the vectors."""
+    dice = np.random.default_rng(9)
+    for scale, offset in ((1.0, 0.0), (1e-6, 0.0), (1.0, 1e6), (1e8, -1e8)):
+        rows = dice.normal(size=(600, 5)) * scale + offset
+        pivots = choose_pivots(rows[:100], 20, "l2")
+        cell, gap, slack = pivots.place(rows)
+        counts = np.bincount(cell, minlength=pivots.cells)
+        least, most = (np.array([f(gap[cell == c]) if counts[c] else 0.0 for c in range(pivots.cells)]) for f in (np.min, np.max))
+        cells = Cells(pivots, counts, least - slack, most + slack)
+        asked = rows[:50] + dice.normal(size=(50, 5)) * scale * 0.1
+        exact = np.sqrt(((asked[:, None, :] - rows[None]) ** 2).sum(axis=2))
+        bounds = np.sort(exact, axis=1)[:, 4]
+        allowed = cells.possible(*pivots.distances(asked), bounds)
+        for q in range(50):
+            assert allowed[q][cell[exact[q] <= bounds[q]]].all()
+        assert ((cells.first(pivots.distances(asked)[0], 7) * counts).sum(axis=1) >= 7).all()
