@@ -6,8 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.operators.clean import concat_rows
-
 
 @dataclass(frozen=True)
 class Check:
@@ -59,38 +57,32 @@ def offending(df: DataFrame, check: Check) -> DataFrame:
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """One report row per check: ``check, column, failures``.
 
-    All rules share one scan: a row sends an entry only for a rule it breaks, and
-    entries are counted per task before the shuffle, so a rule that every row breaks
-    makes no large group. Each uniqueness check scans its own column only and counts
-    its values, in their own type, before the shuffle as well.
+    All checks share one scan and one shuffle: a row sends an entry only for a rule it breaks, and one for each of its
+    values that must be unique, and entries are counted per task before the shuffle, so neither a rule that every row
+    breaks nor a value that most rows have makes a large group.
     """
-    parts = []
-    rules = [check for check in checks if not check.repeated]
-    if rules:
-        parts.append(_broken_rules(df, rules))
-    for check in checks:
-        if check.repeated:
-            parts.append(offending(df, check).agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(check.name).alias("check"), F.lit(check.column).alias("column"), "failures"))
-    return concat_rows(*parts)
-
-
-def _broken_rules(df: DataFrame, rules: list[Check]) -> DataFrame:
+    kinds = {c.column: df.select(c.column).schema[0].dataType for c in checks if c.repeated}   # compared in their own type
+
     def entry(position: int, check: Check) -> Column:
-        value = F.col(check.column).cast("string") if check.grouped else F.lit(None).cast("string")
-        return F.when(check.rule, F.struct(F.lit(position).alias("position"), value.alias("value")))
+        text = F.col(check.column).cast("string") if check.grouped and not check.repeated else F.lit(None).cast("string")
+        values = [(F.col(name) if check.repeated and name == check.column else F.lit(None).cast(kind)).alias(f"v{i}")
+                  for i, (name, kind) in enumerate(kinds.items())]
+        hit = F.col(check.column).isNotNull() if check.repeated else check.rule
+        return F.when(hit, F.struct(F.lit(position).alias("position"), text.alias("text"), *values))
 
     def failures(position: int, check: Check) -> Column:
         mine = F.col("position") == position
-        return F.count_if(mine) if check.grouped else F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
-
-    entries = F.array(*[entry(i, check) for i, check in enumerate(rules)])
-    broken = df.select(F.inline(entries)).filter(F.col("position").isNotNull())
-    counted = broken.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.agg(*[failures(i, check).alias(f"c{i}") for i, check in enumerate(rules)])
+        if check.grouped:
+            return F.count_if(mine & (F.col("n") > 1) if check.repeated else mine)
+        return F.coalesce(F.sum(F.when(mine, F.col("n"))), F.lit(0))
+
+    entries = F.array(*[entry(i, check) for i, check in enumerate(checks)])
+    found = df.select(F.inline(entries)).filter(F.col("position").isNotNull())
+    counted = found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.agg(*[failures(i, check).alias(f"c{i}") for i, check in enumerate(checks)])
     return totals.select(F.inline(F.array(*[
         F.struct(F.lit(check.name).alias("check"), F.lit(check.column).alias("column"), F.col(f"c{i}").alias("failures"))
-        for i, check in enumerate(rules)])))
+        for i, check in enumerate(checks)])))
 
 
 # The two routes of the quality decision.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.records import required_key
 from millrace.operators.clean import fan_out, split_valid
 from millrace.operators.quality import accepted_range, accepted_values, not_null, run_checks, unique, verdict
 from millrace.operators.routing import level, score_route
@@ -77,3 +78,12 @@ def route_score(spark, sf_dir):
     failed = F.concat("p_name", F.lit(" has to apply again"))
     return table(spark, sf_dir, "part").select(
         "p_partkey", score_route(F.col("p_size").cast("string"), passed, failed).alias("message"))
+
+
+@query("""
+SELECT event_id, 'user ' || user_id AS key FROM events
+""")
+def filter_required_key(spark, sf_dir):
+    """A key that every row must have: a row without it would fail the job."""
+    key = required_key(F.concat(F.lit("user "), "user_id"), "event without a user")
+    return table(spark, sf_dir, "events").select("event_id", key.alias("key"))
