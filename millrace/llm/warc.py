@@ -16,6 +16,8 @@ BREAK = "\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = ("type string, record_id string, concurrent_to string, refers_to string, uri string, page_id long, "
           "payload_bytes long, payload_digest string, payload binary")
+SALTS = 32           # of the revisits of one capture
+HEAD_BYTES = 800     # about, of a record without its payload
 
 
 def _urn(kind: str, row: Column) -> Column:
@@ -37,8 +39,8 @@ def write_archives(pages: DataFrame, path: str, id_column: str = "page_id", url_
     Of rows with equal payloads of at least ``least_bytes`` bytes the one with the largest id is the response (the last
     row in the order read, if that id is repeated; a null id comes first of all); the others revisit it and carry no
     payload. Smaller payloads are all responses, and null html is an empty payload. The id is kept in the metadata
-    record, and left out if it is null. Line breaks in a url are percent-encoded; a null url is left out. Files hold
-    about ``file_bytes``, because a file is read as a whole. An empty table writes no record.
+    record, and left out if it is null. Line breaks in a url are percent-encoded; a null url is left out. Files hold at most
+    some times ``file_bytes``, or one record, because a file is read as a whole: payloads of about one size share files. An empty table writes no record.
     """
     html, url = F.coalesce(F.col(html_column).cast("string"), F.lit("")), F.col(url_column).cast("string")
     rows = pages.withColumn("_row", F.monotonically_increasing_id()).select(
@@ -56,7 +58,7 @@ def write_archives(pages: DataFrame, path: str, id_column: str = "page_id", url_
 
     common = [("WARC-Target-URI", F.col("url")), ("WARC-Date", date)]
     size = F.octet_length("html")
-    responses = rows_without(rows, revisits, "row").select(_record(
+    responses = rows_without(rows, revisits, "row").select(size.alias("size"), _record(
         [("WARC-Type", "response"), ("WARC-Record-ID", _urn("capture", F.col("row"))), *common,
          ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.sha1("html"))), ("Content-Type", "application/http;msgtype=response")],
         F.concat(http(size), "html"), F.octet_length(http(size)) + size).alias("value"))
@@ -77,12 +79,28 @@ def write_archives(pages: DataFrame, path: str, id_column: str = "page_id", url_
         _record([("WARC-Type", "metadata"), ("WARC-Record-ID", _urn("metadata", F.col("row"))), *common,
                  ("WARC-Concurrent-To", _urn("capture", F.col("row"))), ("Content-Type", "application/warc-fields")],
                 note, F.octet_length(note)))).alias("value"))
-    mean = facts.agg(F.coalesce(F.avg("bytes"), F.lit(0.0))).first()[0]
-    for part, records in (("responses", responses), ("revisits", repeats), ("sides", sides)):
-        most = max(1, int(file_bytes / (800 + (mean if part == "responses" else 0))))
+    sizes = facts.agg(F.coalesce(F.avg("bytes"), F.lit(0.0)).alias("mean"), F.coalesce(F.max("bytes"), F.lit(0)).alias("most")).first()
+    parts = [(f"responses-{k}", responses.filter((F.col("size") > low) & (F.col("size") <= high)).select("value"), typical)
+             for k, (low, high, typical) in enumerate(size_tiers(sizes["mean"], sizes["most"]))]
+    for part, records, typical in [*parts, ("revisits", repeats, 0), ("sides", sides, 0)]:
+        most = max(1, int(file_bytes / (HEAD_BYTES + typical)))
         records.write.option("lineSep", BREAK * 2).option("maxRecordsPerFile", most).text(f"{path}/{part}")
 
 
+def size_tiers(mean: float, most: int) -> list[tuple[float, float, float]]:
+    """``(over, up to, typical)`` sizes of payloads that share files.
+
+    A tier reaches to eight times its typical size, the first one's being the mean, so no file is over eight times the
+    wanted size unless one record is. Each later tier is 64 times the one before: a few of them cover any size.
+    """
+    typical = max(mean, HEAD_BYTES)
+    tiers = [(-1.0, 8 * typical, mean)]
+    while tiers[-1][1] < most:
+        low = tiers[-1][1]
+        tiers.append((low, 64 * low, 8 * low))
+    return tiers
+
+
 def _fields(head: bytes) -> dict[str, str]:
     lines = head.decode("utf-8", "replace").split(BREAK)
     return {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines[1:])}
@@ -158,7 +176,14 @@ def assemble(records: DataFrame) -> DataFrame:
     capture = F.struct("type", "uri", "refers_to", "payload_bytes", "payload_digest", "payload").alias("capture")
     whole = captures.select(F.col("record_id").alias("capture_id"), capture).join(requests, "capture_id", "left").join(metadata, "capture_id", "left")
     original = metadata.select(F.col("capture_id").alias("refers_to"), F.col("metadata").alias("original"))
-    return whole.withColumn("refers_to", F.col("capture.refers_to")).join(original, "refers_to", "left").drop("refers_to")
+    # responses refer to nothing, and many revisits may refer to one: these are parted by salts, and only what is referred to is copied
+    salt = F.pmod(F.xxhash64("capture_id"), F.lit(SALTS)).cast("int")
+    revisits = whole.filter("capture.refers_to IS NOT NULL").withColumn("refers_to", F.col("capture.refers_to")).withColumn("salt", salt)
+    wanted = captures.filter("refers_to IS NOT NULL").select("refers_to").distinct()
+    copied = original.join(wanted, "refers_to", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = revisits.join(copied, ["refers_to", "salt"], "left").drop("refers_to", "salt")
+    none = F.lit(None).cast(original.schema["original"].dataType).alias("original")
+    return whole.filter("capture.refers_to IS NULL").select("*", none).unionByName(known)
 
 
 def archived_captures(pages: DataFrame, with_payload: bool = True, **columns: str) -> DataFrame:

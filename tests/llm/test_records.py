@@ -1,6 +1,7 @@
 """Chat pairs, URL rules, WARC captures and vectors against plain versions."""
 
 import hashlib
+import os
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from millrace.llm.near_vectors import estimates, near_vectors, rotation, unit
 from millrace.llm.queries import ORACLES, QUERIES
 from millrace.llm.topk import exact_topk, upper_bounds
 from millrace.llm.urls import judge_urls, open_prefixes
-from millrace.llm.warc import archived_captures, assemble, read_archives, read_records, write_archives
+from millrace.llm.warc import archived_captures, assemble, read_archives, read_records, size_tiers, write_archives
 from tools.check_oracles import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -144,6 +145,23 @@ def test_transactions_through_requests(spark):
     assert (got["r2"]["request"], got["r2"]["metadata"]["page_id"]) == (None, 6)
 
 
+def test_files_stay_small_whatever_the_pages(spark, folder):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("http://a.b/").alias("url"), F.when(
+        F.col("id") % 100 == 7, F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 400_000))).otherwise(F.col("id").cast("string")).alias("html"))
+    write_archives(pages.coalesce(1), folder, file_bytes=1 << 20)
+    files = [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.startswith("part-")]
+    assert max(map(os.path.getsize, files)) <= 8 * (1 << 20) + 401_000 and len(files) < 60
+    assert read_archives(spark, folder, False).groupBy("type").count().collect().__len__() == 3
+    assert read_archives(spark, folder, False).filter("type = 'response'").agg(F.sum("payload_bytes")).first()[0] == 30 * 400_000 + sum(len(str(k)) for k in range(3000))
+
+
+def test_size_tiers():
+    for mean, most in ((0.0, 0), (5.0, 100), (2000.0, 10**6), (10.0, 2**31)):
+        tiers = size_tiers(mean, most)
+        assert tiers[0][0] < 0 and tiers[-1][1] >= most and len(tiers) <= 6
+        assert all(a[1] == b[0] and b[1] <= 8 * b[2] for a, b in zip(tiers, tiers[1:]))
+
+
 def test_damaged_archives():
     for content in (b"junk", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort"):
         with pytest.raises(ValueError):
