@@ -15,6 +15,7 @@ from millrace.schemas import RACE_EVENT, TELEMETRY_MESSAGE, TELEMETRY_TABLE
 from millrace.session import build_session
 from millrace.sinks.keyed_log import merge_levels, read_current, upsert_batch
 from millrace.sinks.relational import Database, create_table, telemetry_fault, telemetry_rows, write_upserts
+from millrace.sinks.staged_writer import Target, write_staged
 from millrace.sources.kafka import decode_records, read_topic, with_random_key, write_topic
 from millrace.sources.paths import spark_path, use_endpoint
 from millrace.streaming.runs import to_sinks, wait_all, write_stream_batches
@@ -64,7 +65,8 @@ def rejected_telemetry(records: DataFrame) -> DataFrame:
 
 
 def start(events: DataFrame, telemetry: DataFrame, root: str, checkpoints: str,
-          once: bool = False, database: Database | None = None, delay: timedelta = timedelta(minutes=1), fan: int = 8) -> list[StreamingQuery]:
+          once: bool = False, database: Database | None = None, delay: timedelta = timedelta(minutes=1), fan: int = 8,
+          staged_with: str | None = None) -> list[StreamingQuery]:
     """Start all streams over two frames of ``key, value, timestamp`` records.
 
     Both topics go to files by window, which are sealed ``delay`` after its end (rows
@@ -72,7 +74,8 @@ def start(events: DataFrame, telemetry: DataFrame, root: str, checkpoints: str,
     telemetry to a table with the layout of the relational target, and to the
     relational ``database`` itself if there is one. Messages that cannot be rows of
     it are kept with the reason in ``telemetry_rejects``, a folder per batch. Every
-    ``fan`` batches of a table are merged.
+    ``fan`` batches of a table are merged. With ``staged_with``, how the database's
+    driver marks a value in a statement, a batch reaches it whole or not at all.
     """
     text = decode_text(F.col("value"))
     if database is not None:
@@ -90,7 +93,11 @@ def start(events: DataFrame, telemetry: DataFrame, root: str, checkpoints: str,
         upsert_batch(rejected_telemetry(batch), f"{root}/telemetry_rejects", batch_id)
 
     def save_rows(batch: DataFrame, batch_id: int) -> None:
-        write_upserts(telemetry_rows(decode_records(batch, TELEMETRY_MESSAGE)), database, "id")
+        rows = telemetry_rows(decode_records(batch, TELEMETRY_MESSAGE))
+        if staged_with is None:
+            write_upserts(rows, database, "id")
+        else:
+            write_staged(rows, Target(database, TELEMETRY_TABLE, "id", staged_with))
 
     saves = [save_telemetry, save_rejects] + ([save_rows] if database is not None else [])
     def to_windows(records: DataFrame, name: str) -> StreamingQuery:
@@ -119,6 +126,7 @@ def main(argv=None) -> None:
     parser.add_argument("--endpoint", help="address of an S3-compatible store for s3:// outputs")
     parser.add_argument("--connect", help="module:function that opens a DB-API connection, for telemetry in a database")
     parser.add_argument("--table", default="telemetry", help="the table there")
+    parser.add_argument("--staged-with", help="the driver's mark for a value, as %%s or ?: load each batch through a staging table, whole or not at all")
     parser.add_argument("--connections", type=int, default=8, help="how many tasks may write to it at once")
     args = parser.parse_args(argv)
     spark = build_session("race-stream")
@@ -132,7 +140,7 @@ def main(argv=None) -> None:
         read_topic(spark, args.brokers, topic, args.start, max_records=args.records_per_batch)
         for topic in (args.events_topic, args.telemetry_topic))
     queries = start(events, telemetry, spark_path(args.output), args.checkpoints, database=database,
-                    delay=timedelta(seconds=args.delay_seconds))
+                    delay=timedelta(seconds=args.delay_seconds), staged_with=args.staged_with)
     if args.copy_topic:
         queries.append(write_topic(with_random_key(events, F.col("value")), args.brokers, args.copy_topic,
                                    f"{args.checkpoints}/copy"))

@@ -3,6 +3,7 @@
 import functools
 import os
 import sqlite3
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F, types as T
 
 from millrace.operators.combiners import Combiner, Mean, Moments, combine_per_key
 from millrace.operators.table_functions import Lines, RowMaker, Sessions, table_function
+from millrace.plans import race_stream
 from millrace.plans.race_history import race_histories
 from millrace.plans.stages import Source, Stage, run_stages
 from millrace.schemas import RACE_EVENT, TELEMETRY_V2
@@ -17,6 +19,8 @@ from millrace.sinks import keyed_log, tables
 from millrace.sinks.manifests import SharedFiles, add_version, newest
 from millrace.sinks.relational import Database
 from millrace.sinks.staged_writer import StagedWriter, Target, write_staged
+from millrace.streaming.runs import wait_all
+from tests.test_streams import race_records
 
 
 def rows(df):
@@ -281,6 +285,25 @@ def test_only_attempts_that_the_driver_knows_are_moved(folder):
     assert table_rows(folder) == [("a", 1), ("b", 2), ("c", 3)] and table_rows(folder, "laps_staging") == []
 
 
+def open_with_decimals(path):
+    sqlite3.register_adapter(Decimal, float)
+    return open_file(path)
+
+
+def test_race_telemetry_through_staging(spark, folder):
+    record = {"HelicopterID": "HEL001", "RaceID": "r", "LapNumber": 1, "Time_s": 9.3, "Speed_km_h": 253.1}
+    records = race_records(spark, folder, "telemetry_in", [record, dict(record, Speed_km_h=9.5), dict(record, Time_s=10.0), dict(record, HelicopterID=None)])
+    database = Database(functools.partial(open_with_decimals, f"{folder}/t.db"), "telemetry", 2)
+    wait_all(*race_stream.start(race_records(spark, folder, "events_in", []), records, f"{folder}/out", f"{folder}/state", once=True,
+                                database=database, staged_with="?"))
+    connection = open_file(f"{folder}/t.db")
+    try:
+        assert connection.execute("SELECT HelicopterID, Speed_km_h FROM telemetry ORDER BY Speed_km_h").fetchall() == [("HEL001", 9.5), ("HEL001", 253.1)]
+        assert connection.execute("SELECT count(*) FROM telemetry_staging").fetchone() == (0,)
+    finally:
+        connection.close()
+
+
 # repeated teams
 
 @pytest.mark.parametrize("scope", ["all", "telemetry"])
