@@ -292,7 +292,7 @@ def open_with_decimals(path):
 
 def test_race_telemetry_through_staging(spark, folder):
     record = {"HelicopterID": "HEL001", "RaceID": "r", "LapNumber": 1, "Time_s": 9.3, "Speed_km_h": 253.1}
-    records = race_records(spark, folder, "telemetry_in", [record, dict(record, Speed_km_h=9.5), dict(record, Time_s=10.0), dict(record, HelicopterID=None)])
+    records = race_records(spark, folder, "telemetry_in", [record, record, dict(record, Time_s=10.0, Speed_km_h=9.5), dict(record, HelicopterID=None)])
     database = Database(functools.partial(open_with_decimals, f"{folder}/t.db"), "telemetry", 2)
     wait_all(*race_stream.start(race_records(spark, folder, "events_in", []), records, f"{folder}/out", f"{folder}/state", once=True,
                                 database=database, staged_with="?"))
