@@ -188,16 +188,19 @@ class _Point:
         return float(hold * self.moved @ self.moved + self.squares) / 2 + float(targets @ self.moved)
 
 
-def solve_steps(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, least_hold: float = 1e-9, most_passes: int = 200) -> Fit:
+def solve_steps(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5, least_hold: float = 1e-9, most_passes: int = 200,
+                most_squares: float | None = None) -> Fit:
     """What gives every row of ``members`` (tokens, posteriors) its nonnegative rate.
 
     Least squares of the expected tokens per domain, sum(rate * tokens * posterior), against ``targets`` of the total, plus
     ``hold`` times the squared distance of the rates from 1. The rates are always the projection of 1 less all steps so
     far. A step is the residual, scaled by the inverse curvature of the rows whose rate is not 0, and halved as long as it
-    overshoots; without that scaling thousands of passes do not get there. ``hold`` begins at 0.01 and is divided by ten
+    overshoots; without that scaling thousands of passes do not get there. ``hold`` begins at 0.01 (1 with ``most_squares``) and is divided by ten
     until every domain is within ``tolerance`` of the total, which leaves the rates as near to 1 as the targets allow, or
     until ``least_hold``: then no rates reach the targets, and these are, to about ``least_hold`` times the squares of the
-    rates, the nearest. Not settling within ``most_passes`` is an error.
+    rates, the nearest. Such a fit may rest on a handful of documents; with ``most_squares`` it stops at the last ``hold``
+    whose rates have at most that mean square over the tokens (the reciprocal of the share of the corpus that counts, in
+    effect). Not settling within ``most_passes`` is an error.
 
     A pass over ``members`` sums a few numbers per task, and a row's rate follows from a number per domain, so nothing
     else is kept between passes.
@@ -216,7 +219,7 @@ def solve_steps(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5
         found /= found[0]
         return _Point(moved, found[1], found[2:2 + width] - targets, found[2 + width:].reshape(width, width))
 
-    at, hold = look(np.zeros(width)), 0.01
+    at, hold, kept = look(np.zeros(width)), 0.01 if most_squares is None else 1.0, None
     if at is None:  # no words, so any rates do
         return Fit(np.zeros(width), np.zeros(width), True, passes)
     while True:
@@ -230,7 +233,9 @@ def solve_steps(members: DataFrame, targets: np.ndarray, tolerance: float = 1e-5
             if length <= 1e-6:
                 break  # as good as rounding allows
             at = tried
-        reached = bool(np.abs(at.residual).max() <= tolerance)
+        if most_squares is not None and at.squares > most_squares and kept is not None:
+            return Fit(kept.moved, kept.residual, False, passes)
+        kept, reached = at, bool(np.abs(at.residual).max() <= tolerance)
         if reached or hold <= least_hold:
             return Fit(at.moved, at.residual, reached, passes)
         hold = max(least_hold, hold / 10)
@@ -295,14 +300,15 @@ def _rated_rows(model, moved: np.ndarray | None):
 
 
 def mixed_rows(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], key: str, columns: list[str], label_id: str,
-               text_column: str = "text", label_column: str = "domain", most_labelled: int = 4000) -> DataFrame:
+               text_column: str = "text", label_column: str = "domain", most_labelled: int = 4000, most_squares: float = 4.0) -> DataFrame:
     """``columns`` of the rows of ``docs``, each as often as its rate says: a mix with ``targets``.
 
-    The rates are those of ``mixing_rates``, computed again where the text is, so no text is shuffled. ``key`` tells the
-    rows apart; a row's fraction of a copy is decided by its hash.
+    The rates are those of ``mixing_rates``, computed again where the text is, so no text is shuffled; targets out
+    of reach are followed only as far as ``most_squares`` of ``solve_steps`` allows, lest a few documents make up the mix.
+    ``key`` tells the rows apart; a row's fraction of a copy is decided by its hash.
     """
     model, members, weights = _members(docs, labels, targets, key, text_column, label_column, most_labelled, label_id)
-    moved = None if weights is None else solve_steps(members, weights).moved
+    moved = None if weights is None else solve_steps(members, weights, most_squares=most_squares).moved
     shared = docs.sparkSession.sparkContext.broadcast(model)
     carried = [x for x in columns if x != text_column]
     rows = docs.select(F.col(key).alias("key"), F.col(text_column).cast("string").alias("text"), *[F.col(x).alias(f"c{k}") for k, x in enumerate(carried)])

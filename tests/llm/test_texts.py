@@ -182,6 +182,9 @@ def test_rates_of_targets_that_cannot_be_reached(spark, goal):
     assert fit.reached == (np.abs(best).max() < 1e-9)
     if not fit.reached:
         assert np.abs(fit.residual - best).max() < 1e-4
+    held = solve_steps(members, np.array(goal), most_squares=4.0)
+    rate = rates_after(shares, held.moved)
+    assert tokens @ rate ** 2 / tokens.sum() <= 4.0 and np.linalg.norm(held.residual) <= np.linalg.norm((tokens @ shares) / tokens.sum() - goal) + 1e-9
 
 
 def test_mixing_query_meets_its_targets(spark):
