@@ -1,6 +1,6 @@
 """Joins.
 
-No join forces a broadcast. Spark broadcasts a dimension when its size estimate,
+No join forces a broadcast, and only a salted one rules it out. Spark broadcasts a dimension when its size estimate,
 or under adaptive execution its measured size, is below
 ``spark.sql.autoBroadcastJoinThreshold``; above it the join is a shuffle whose
 skewed partitions adaptive execution splits. ``salts`` spreads a hot key ahead of
@@ -35,8 +35,8 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left
                 salt_by: list[str] | None = None, dim_order: list[str] | None = None) -> DataFrame:
     """Attach the columns of a dimension: of several rows of a key the first by ``dim_order``, so facts keep their number.
 
-    ``salts`` copies the dimension and is only for a shuffle join without adaptive execution; ``salt_by`` names the fact
-    columns that tell the rows of a hot key apart.
+    ``salts`` copies the dimension and is only for a shuffle join without adaptive execution, so that is what it gets;
+    ``salt_by`` names the fact columns that tell the rows of a hot key apart.
     """
     dim = one_per_key(dim, on, dim_order)
     if salts <= 1:
@@ -44,7 +44,8 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left
     if not salt_by:
         raise ValueError("salts need salt_by, columns that differ between the rows of a key")
     fact, dim = _salted(fact, dim, salts, salt_by)
-    return fact.join(dim, [*on, "_salt"], how).drop("_salt")
+    # Size estimates leave out the copies, so a salted dimension would be broadcast at many times the threshold.
+    return fact.join(dim.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_struct(fact: DataFrame, dim: DataFrame, on: str, into: str, default: dict,

@@ -46,6 +46,11 @@ def test_large_dimensions_are_not_broadcast(spark):
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
+def test_a_salted_dimension_is_not_broadcast(spark):
+    plan = plan_of(QUERIES["join_salted_lookup"](spark, SF))
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
 @pytest.mark.parametrize("name", ["agg_dedup", "topk_per_key", "join_inner_first"])
 def test_ranks_are_limited_before_the_shuffle(spark, name):
     assert plan_of(QUERIES[name](spark, SF)).count("WindowGroupLimit") >= 2
