@@ -6,7 +6,9 @@ both kinds of work over all documents. Every pair that meets this way is a candi
 always decided on the two whole sets.
 
 Only components are wanted, so pairs inside a component that is already known are never made. Rounds pair the members
-of a list with one random member of it, and the last round compares what is still apart, all of it.
+of a list with one random member of it, and the last round compares what is still apart, all of it. Lists with the same
+members are searched once. A pair is left out if the parity bits of its two sets differ in more places than the sets of
+a link can: each shingle that only one set holds changes at most one bit, so no link is lost.
 """
 
 from __future__ import annotations
@@ -28,8 +30,10 @@ SKETCH = 1 << 18        # counters of shingles that repeat, for the order only;
 COUNTED_AT_ONCE = 1 << 20
 SUBSET = 2
 EASY = 8                # complete comparisons per list entry that are not worth a round of trials
+STILL_EASY = 64         # the same after the first round, which has joined most of what is linked
 HOT = 13                # level, 1 + log2 of a sketch counter, from which a shingle's entries are salted
 SALTS = 64
+PARITY_BITS = 512       # of each set; those of a link differ in at most as many places as its sets do
 SET_BYTES = 6           # of each hash in the sets that pairs are decided on
 
 
@@ -59,12 +63,13 @@ def _signatures(n_words: int):
                 size = 0
             lengths = np.array([len(x) for x in sets], np.int32)
             signs = pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary())
-            yield pa.record_batch({"id": batch.column("id"), "n": pa.array(lengths), "sign": signs,
+            bits = pa.array([parities(x) for x in sets], pa.list_(pa.int64()))
+            yield pa.record_batch({"id": batch.column("id"), "n": pa.array(lengths), "sign": signs, "bits": bits,
                                    "bucket": pa.nulls(len(sets), pa.int32()), "times": pa.nulls(len(sets), pa.int64())})
         count()
         used = np.flatnonzero(sketch)
         yield pa.record_batch({"id": pa.nulls(len(used), pa.int64()), "n": pa.nulls(len(used), pa.int32()),
-                               "sign": pa.nulls(len(used), pa.binary()), "bucket": pa.array(used.astype(np.int32)),
+                               "sign": pa.nulls(len(used), pa.binary()), "bits": pa.nulls(len(used), pa.list_(pa.int64())), "bucket": pa.array(used.astype(np.int32)),
                                "times": pa.array(sketch[used])})
     return run
 
@@ -113,6 +118,12 @@ def _whole_sets(n_words: int):
     return run
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """For each of ``PARITY_BITS`` classes of hashes whether the set holds an odd number of them, in 64-bit words."""
+    held = np.bincount((found >> np.uint64(64 - PARITY_BITS.bit_length() + 1)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits(held.astype(np.uint8) & 1).view(np.int64)
+
+
 def packed(found: np.ndarray) -> bytes:
     """The upper ``SET_BYTES`` bytes of each hash; two of one pair of sets are equal by chance once in about 10**9 pairs."""
     return found.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
@@ -174,7 +185,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    first = stored(texts.mapInArrow(_signatures(n_words), "id long, n int, sign binary, bucket int, times long"), "signatures")
+    first = stored(texts.mapInArrow(_signatures(n_words), "id long, n int, sign binary, bits array<long>, bucket int, times long"), "signatures")
     rows = first.filter("bucket IS NULL").select("id", "n", "sign")
     classes = stored(rows.filter("n > 0").groupBy("sign").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
 
@@ -206,10 +217,15 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     entries = entries.withColumn("salt", F.when(frequent, F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
     shared = F.count(F.lit(1)).over(Window.partitionBy("key", "salt"))  # frequent keys stay in any case, so salts may part them
     lists = stored(entries.withColumn("c", shared).filter((F.col("c") > 1) | frequent).drop("c", "salt"), "lists")
+    members = F.sum(F.xxhash64("id", "n").cast("decimal(38,0)")).alias("total"), F.bit_xor(F.xxhash64("n", "id")).alias("parity")
     span = lists.groupBy("key").agg(F.max("lists").alias("any"), F.min("n").alias("least"), F.max("rest").alias("most"),
-                                    F.min("id").alias("lo"), F.max("id").alias("hi")).filter("any AND lo < hi")
+                                    F.min("id").alias("lo"), F.max("id").alias("hi"), *members).filter("any AND lo < hi")
     possible = F.least("rest", "most") * (100 + num) >= num * (n + F.greatest(F.col("least"), F.ceil(n * num / 100 - 1e-9)))
-    lists = stored(lists.join(span, "key").filter(possible).select("key", "id", "n", "rest", "lists"), "lists")
+    # lists with the same members become one; where a list lacks some of them, it searches more than it must
+    lists = lists.join(span, "key").filter(possible).groupBy(F.xxhash64("total", "parity").alias("key"), "id", "n").agg(
+        F.max("rest").alias("rest"), F.max("lists").alias("lists"))
+    bits = first.filter("id IS NOT NULL AND n > 0").select("id", "n", "bits").distinct()   # an id with several texts meets with the bits of each
+    lists = stored(lists.join(bits, ["id", "n"]), "lists")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
@@ -220,9 +236,10 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
         return stored(both.mapInArrow(_linked(num), "a long, b long"), "links")
 
-    def fits(h_n, h_rest, h_lists):
+    def fits(h_n, h_rest, h_lists, h_bits):
+        differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(h_bits[k])) for k in range(PARITY_BITS // 64)), F.lit(0))
         return ((F.least("rest", h_rest) * (100 + num) >= num * (n + h_n)) & (100 * F.least("n", h_n) >= num * F.greatest("n", h_n))
-                & (F.col("lists") & (n <= h_n) | h_lists & (h_n <= n)))
+                & (F.col("lists") & (n <= h_n) | h_lists & (h_n <= n)) & (differ * (100 + num) <= (n + h_n) * (100 - num)))
 
     components, links, placed = None, None if shared_ids.isEmpty() else shared_ids, lists.withColumn("component", F.col("id"))
     for turn in range(rounds + 1):
@@ -235,24 +252,25 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         work = apart.agg(F.sum(F.col("c").cast("double")), F.sum((F.col("c") - F.col("most")) * F.col("c").cast("double"))).first()
         if work[0] is None:
             break
-        last = turn == rounds or work[1] <= EASY * work[0]
+        last = turn == rounds or work[1] <= (STILL_EASY if turn else EASY) * work[0]
         placed = placed.join(apart.select("key", "largest"), "key")
         if last:  # all that are apart: members outside a list's largest component against the whole list
             placed = stored(placed, "placed")
-            hub = placed.filter("component <> largest").select("key", *[F.col(x).alias(f"h_{x}") for x in ("id", "n", "rest", "lists", "component")])
-            met = placed.join(hub, "key").filter((F.col("component") != F.col("h_component")) & fits(F.col("h_n"), F.col("h_rest"), F.col("h_lists")))
+            hub = placed.filter("component <> largest").select("key", *[F.col(x).alias(f"h_{x}") for x in ("id", "n", "rest", "lists", "bits", "component")])
+            met = placed.join(hub, "key").filter((F.col("component") != F.col("h_component")) & fits(*[F.col(f"h_{x}") for x in ("n", "rest", "lists", "bits")]))
             pairs = met.select(F.least("id", "h_id").alias("a"), F.greatest("id", "h_id").alias("b")).distinct()
         else:  # every member with a few members of its lists, the same for lists with the same members
             placed = stored(placed, "placed")
-            luck = [F.xxhash64("id", F.lit(turn * partners + k)) for k in range(partners)]
-            hubs = placed.groupBy("key").agg(*[F.min(F.struct(x.alias("luck"), "id", "n", "rest", "lists", "component")).alias(f"h{k}") for k, x in enumerate(luck)])
+            tries = min(partners, 2 ** turn)   # most of a group is linked to its first one, and then left out
+            luck = [F.xxhash64("id", F.lit(turn * partners + k)) for k in range(tries)]
+            hubs = placed.groupBy("key").agg(*[F.min(F.struct(x.alias("luck"), "id", "n", "rest", "lists", "bits", "component")).alias(f"h{k}") for k, x in enumerate(luck)])
             tried = []
-            for k in range(partners):
+            for k in range(tries):
                 h = F.col(f"h{k}")
-                good = (F.col("component") != h["component"]) & fits(h["n"], h["rest"], h["lists"])
+                good = (F.col("component") != h["component"]) & fits(h["n"], h["rest"], h["lists"], h["bits"])
                 tried.append(F.min(F.when(good, F.struct(h["luck"].alias("luck"), h["id"].alias("id")))).alias(f"t{k}"))
             chosen = placed.join(hubs, "key").groupBy("id").agg(*tried)
-            pairs = chosen.select("id", F.explode(F.array(*[F.col(f"t{k}.id") for k in range(partners)])).alias("h")).filter("h IS NOT NULL").select(
+            pairs = chosen.select("id", F.explode(F.array(*[F.col(f"t{k}.id") for k in range(tries)])).alias("h")).filter("h IS NOT NULL").select(
                 F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
         found = verified(pairs)
         links = found if links is None else links.union(found)

@@ -2,11 +2,14 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from millrace.llm import jaccard
 from millrace.llm.components import connected_components
-from millrace.llm.jaccard import choose_boundary, jaccard_components, packed
+from millrace.llm.jaccard import choose_boundary, jaccard_components, packed, parities
 from millrace.llm.words import shingle_sets, utf8
+from millrace.session import stored
 
 
 def plain_set(text, n=5):
@@ -116,3 +119,31 @@ def test_words_across_segments():
     whole, parts = (shingle_sets(*utf8(pa.array(x)))[-1] for x in ([text], ["zz", text]))
     assert (whole == parts).all() and len(whole) == len(plain_set(text))
     assert len(packed(whole)) == 6 * len(whole)
+
+
+def test_near_copies_share_few_lists_and_make_few_pairs(spark, monkeypatch):
+    """A group of near copies has a list for nearly every shingle, with nearly the same members in each."""
+    rng = random.Random(4)
+    base, rows = [f"w{k}" for k in range(200)], []
+    for key in range(60):
+        own = list(base)
+        own[rng.randrange(200)] = f"x{key}"
+        rows.append((key, " ".join(own)))
+    made = {}
+
+    def counted(df, label):
+        out = stored(df, label)
+        made.setdefault(label, []).append(out.count())
+        return out
+    monkeypatch.setattr(jaccard, "stored", counted)
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in got} == {0}
+    assert made["lists"][-1] < 0.5 * made["lists"][0] and sum(made["pairs"]) <= 2 * len(rows)
+
+
+def test_parity_bits_differ_in_no_more_places_than_the_sets():
+    dice = np.random.default_rng(3)
+    for n in (1, 5, 100, 3000):
+        both, one, other = (np.unique(dice.integers(0, 2 ** 63, k, dtype=np.uint64) * np.uint64(2)) for k in (n, n // 3, n // 5 + 1))
+        left, right = parities(np.concatenate([both, one])), parities(np.concatenate([both, other]))
+        assert sum(int(x).bit_count() for x in (left ^ right).view(np.uint64)) <= len(one) + len(other)
