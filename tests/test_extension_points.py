@@ -115,6 +115,19 @@ def test_a_table_function_takes_any_schema(spark):
     assert rows(grouped(df)) == [(None, 0), (None, 1)]
 
 
+def test_grouped_rows_reach_python_in_batches_and_keys_may_span_them(spark):
+    visits = spark.createDataFrame([("u", m) for m in range(0, 500, 50)] + [("v", 1), (None, 2), (None, 300)], "user string, m int").withColumn(
+        "at", F.timestamp_seconds(F.col("m") * 60).cast("timestamp_ntz"))
+    step = table_function(lambda: Sessions("at", 3600), Sessions.made, ["user"], ["user"], ["at"])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert rows(step(visits).select("user", "n")) == rows(spark.createDataFrame([("u", 10), ("v", 1), (None, 1), (None, 1)], "user string, n int"))
+        plan = step(visits)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "MapInArrow" in plan and "UDTF" not in plan   # one call per row and key took 300 microseconds a row
+
+
 # staged jobs and model order
 
 def test_a_rerun_starts_at_the_first_stale_stage(spark, folder):
