@@ -16,6 +16,11 @@ from millrace.session import stored
 MAX_BROADCAST_NUMBERS = 1_000_000
 # How many numbers one block of a grouped join may hold (32 MB as doubles).
 BLOCK_NUMBERS = 4_000_000
+# How many numbers a table of distances, or a batch that a task puts out, may hold (8 MB as doubles).
+TABLE_NUMBERS = 1_000_000
+# Of one block of the corpus, how many queries are searched together, and so many tasks it is cut into before they hold fewer.
+QUERIES_AT_ONCE = 2048
+TASKS_PER_BLOCK = 8
 
 
 def collection(rows: DataFrame, id_column: str, embedding: str, document: Column | None = None,
@@ -68,13 +73,13 @@ def nearest(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2",
     A small query side, whose size is counted first, is sent to the tasks and the
     corpus is scanned where it lies. For a larger one the corpus is parted into cells
     around pivots. A query first meets the cells around it, which bounds the distance
-    of its ``k``-th neighbour, and then only those other cells that may hold a nearer
-    row by the triangle inequality; it is not shuffled to the rest. Where that leaves
-    more than half of all pairs, as among many dimensions it may, all blocks of queries
-    meet all blocks of the corpus instead. Every group of the joins holds two blocks of
-    bounded size, and a task keeps only its ``k`` best rows per query, so pairs are never
-    emitted, and the last step ranks those few. Equal query vectors are searched once,
-    and of equal corpus vectors only the ``k`` first are.
+    of its ``k``-th neighbour, and then only those cells that may hold a nearer row by
+    the triangle inequality. Cells are gathered into blocks for that, and a query is
+    shuffled once to each block that holds a cell it needs, with a bit per cell: never
+    more rows than blocks that all meet would take. Every group of the joins holds two
+    blocks of bounded size, and a task keeps only its ``k`` best rows per query, so pairs
+    are never emitted, and the last step ranks those few. Equal query vectors are searched
+    once, and of equal corpus vectors only the ``k`` first are.
     """
     queries = queries.select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
     corpus = corpus.select("id", "embedding")
@@ -132,16 +137,6 @@ def _every(parts: Column | int) -> Column:
     return F.explode(F.sequence(F.lit(0), (parts if isinstance(parts, Column) else F.lit(parts)).cast("int") - 1))
 
 
-def _join_blocks(queries: DataFrame, n_queries: int, corpus: DataFrame, n_corpus: int, k: int, metric: str,
-                 schema: T.StructType, block_rows: int) -> DataFrame:
-    """Every block of queries with every block of the corpus."""
-    q_blocks = max(1, -(-n_queries // block_rows))
-    c_blocks = max(1, -(-n_corpus // block_rows))
-    left = queries.withColumn("q_block", _part("query_id", q_blocks)).withColumn("c_block", _every(c_blocks))
-    right = corpus.withColumn("c_block", _part("id", c_blocks)).withColumn("q_block", _every(q_blocks))
-    return _meet(left, right, ["q_block", "c_block"], k, metric, schema)
-
-
 def place_in_cells(corpus: DataFrame, dims: int, metric: str) -> tuple[DataFrame, Cells] | None:
     """The corpus with the ``cell`` of each row, and what is known of the cells; None if it is empty.
 
@@ -155,11 +150,13 @@ def place_in_cells(corpus: DataFrame, dims: int, metric: str) -> tuple[DataFrame
     wanted = max(1, min(MAX_PIVOTS, int(n ** 0.5), MAX_BROADCAST_NUMBERS // (dims * SAMPLE_PER_PIVOT)))
     sample = corpus.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_PIVOT * wanted).select("embedding").toArrow()
     pivots = choose_pivots(_matrix(sample.column("embedding")), wanted, metric)
-    shared = spark.sparkContext.broadcast(pivots)
+    shared, pivots_at_once = spark.sparkContext.broadcast(pivots), pivots.cells
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch):
+        step = max(1, TABLE_NUMBERS // pivots_at_once)
+        for whole in batches:
+            for at in range(0, len(whole), step):
+                batch = whole.slice(at, step)
                 cell, distance, slack = shared.value.place(_matrix(batch.column("embedding")))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(distance), pa.array(np.full(len(cell), slack))],
@@ -182,7 +179,7 @@ def routes(queries: DataFrame, cells: Cells, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Cells = shared.value
-        step = max(1, 4_000_000 // known.pivots.cells)
+        step = max(1, TABLE_NUMBERS // known.pivots.cells)
         for whole in batches:
             for at in range(0, len(whole), step):
                 batch = whole.slice(at, step)
@@ -192,13 +189,97 @@ def routes(queries: DataFrame, cells: Cells, k: int) -> DataFrame:
                     limit = as_euclidean(np.asarray(batch.column("bound"), np.float64), known.pivots.metric)
                     wanted = known.possible(distances, slack, limit) & ~wanted
                 row, cell = np.nonzero(wanted)
-                rows = batch.select(["query_id", "query"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cell.astype(np.int32))], ["query_id", "query", "cell"])
+                for some in _few_numbers(row, batch.column("query")):
+                    rows = batch.select(["query_id", "query"]).take(pa.array(row[some]))
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cell[some].astype(np.int32))], ["query_id", "query", "cell"])
 
     fields = [queries.schema[x] for x in ("query_id", "query")]
     return queries.mapInArrow(run, T.StructType([*fields, T.StructField("cell", T.IntegerType())]))
 
 
+def _few_numbers(rows: np.ndarray, vectors) -> Iterator[slice]:
+    """Stretches of ``rows`` whose vectors hold at most ``TABLE_NUMBERS`` numbers, so that a batch stays small however many rows there are."""
+    step = max(1, TABLE_NUMBERS * len(vectors) // max(1, len(vectors.flatten())))
+    return (slice(at, at + step) for at in range(0, len(rows), step))
+
+
+def blocks_of_cells(cells: Cells, block_rows: int) -> list[tuple[np.ndarray, int]]:
+    """Whole cells of together at most ``block_rows`` rows, and 1; or one larger cell, and into how many parts it is cut."""
+    blocks, gathered, held = [], [], 0
+    for cell in np.flatnonzero(cells.counts):
+        n = int(cells.counts[cell])
+        if gathered and held + n > block_rows:
+            blocks.append((np.array(gathered), -(-held // block_rows)))
+            gathered, held = [], 0
+        gathered.append(cell)
+        held += n
+    return [*blocks, (np.array(gathered), -(-held // block_rows))] if gathered else blocks
+
+
+def _search_blocks(asked: DataFrame, n_queries: int, corpus: DataFrame, cells: Cells, k: int, metric: str, schema: T.StructType,
+                   block_rows: int) -> DataFrame:
+    """Queries, each with a ``bound``, with all cells that may hold a row within it; a query goes once to each block of cells."""
+    blocks = blocks_of_cells(cells, block_rows)
+    q_parts = max(-(-n_queries // block_rows), min(TASKS_PER_BLOCK, -(-n_queries // QUERIES_AT_ONCE)))
+    shared = asked.sparkSession.sparkContext.broadcast((cells, blocks))
+    block_of, parts_of = np.full(len(cells.counts), -1, np.int32), np.array([n for _, n in blocks], np.int32)
+    for b, (members, _) in enumerate(blocks):
+        block_of[members] = b
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, gathered = shared.value
+        step = max(1, TABLE_NUMBERS // known.pivots.cells)
+        for whole in batches:
+            for at in range(0, len(whole), step):
+                batch = whole.slice(at, step)
+                distances, slack = known.pivots.distances(_matrix(batch.column("query")))
+                limit = as_euclidean(np.asarray(batch.column("bound"), np.float64), known.pivots.metric)
+                wanted = known.possible(distances, slack, limit)
+                for b, (members, parts) in enumerate(gathered):
+                    row = np.flatnonzero(wanted[:, members].any(axis=1))
+                    bits = np.packbits(wanted[row][:, members], axis=1)
+                    for some in _few_numbers(row, batch.column("query")):
+                        rows = batch.select(["query_id", "query", "bound"]).take(pa.array(row[some]))
+                        for part in range(parts):
+                            here = [pa.array(np.full(rows.num_rows, x, np.int32)) for x in (b, part)]
+                            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([x.tobytes() for x in bits[some]], pa.binary()), *here],
+                                                             ["query_id", "query", "bound", "wanted", "block", "c_part"])
+
+    numbered = asked.sparkSession.createDataFrame(      # a row per cell
+        [(int(c), int(block_of[c]), int(parts_of[block_of[c]])) for c in np.flatnonzero(cells.counts)], "cell int, block int, c_parts int")
+    fields = [asked.schema[x] for x in ("query_id", "query", "bound")]
+    left = asked.select("query_id", "query", "bound").mapInArrow(route, T.StructType([
+        *fields, T.StructField("wanted", T.BinaryType()), T.StructField("block", T.IntegerType()), T.StructField("c_part", T.IntegerType())]))
+    left = left.withColumn("q_part", _part("query_id", q_parts))
+    right = corpus.join(F.broadcast(numbered), "cell").withColumn("c_part", _part("id", F.col("c_parts"))).drop("c_parts").withColumn(
+        "q_part", _every(q_parts))
+    arrow_schema, keys = _arrow_schema(schema), ["block", "c_part", "q_part"]
+
+    def search(key: tuple, query_rows: pa.Table, corpus_rows: pa.Table) -> pa.Table:
+        found = []
+        if query_rows.num_rows and corpus_rows.num_rows:
+            members = shared.value[1][key[0].as_py()][0]
+            cell = corpus_rows.column("cell").to_numpy()
+            order = np.argsort(cell, kind="stable")
+            starts, ends = (np.searchsorted(cell[order], members, side) for side in ("left", "right"))
+            ids, rows = np.array(corpus_rows.column("id").to_pylist())[order], _matrix(corpus_rows.column("embedding"))[order]
+            for at in range(0, query_rows.num_rows, QUERIES_AT_ONCE):
+                some = query_rows.slice(at, QUERIES_AT_ONCE)
+                best = _Best(np.array(some.column("query_id").to_pylist(), dtype=object), _matrix(some.column("query")), k, metric,
+                             some.column("bound").to_numpy())
+                bits = np.frombuffer(b"".join(some.column("wanted").to_pylist()), np.uint8).reshape(some.num_rows, -1)
+                wanted = np.unpackbits(bits, axis=1, count=len(members)).astype(bool)
+                for c in np.flatnonzero(ends > starts):
+                    best.offer_to(np.flatnonzero(wanted[:, c]), ids[starts[c]:ends[c]], rows[starts[c]:ends[c]])
+                found.append(best.as_batch(arrow_schema))
+        return pa.Table.from_batches(found, arrow_schema)
+
+    # little data may mean much work, so few rows do not share a task
+    groups = min(2 * q_parts * int(parts_of.sum()), max(200, int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    left, right = left.repartition(groups, *keys), right.repartition(groups, *keys)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
+
+
 def _search_cells(routed: DataFrame, corpus: DataFrame, cells: Cells, k: int, metric: str, schema: T.StructType, block_rows: int) -> DataFrame:
     """Queries with the rows of the cells they were sent to. Large cells and crowded ones are cut into parts."""
     wanted = routed.groupBy("cell").agg(F.count(F.lit(1)).alias("asked"))
@@ -224,16 +305,12 @@ def _join_pivots(queries: DataFrame, corpus: DataFrame, k: int, metric: str, sch
     if placed is None:
         return queries.sparkSession.createDataFrame([], schema)
     rows, cells = placed
-    n_queries, n_corpus = asked.count(), int(cells.counts.sum())
     first = stored(routes(asked.select("query_id", "query"), cells, k), "routes")
-    near = stored(_search_cells(first, rows, cells, k, metric, schema, block_rows), "near")
+    near = _search_cells(first, rows, cells, k, metric, schema, block_rows)
     ranked = top_per_key(near, ["query_id"], [F.col("distance"), F.col("id")], k)
     bounds = ranked.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).otherwise(float("inf")).alias("bound"))
-    more = stored(routes(asked.join(bounds, "query_id"), cells, k), "routes")
-    if 2 * pairs_to_meet(more, cells) > n_queries * n_corpus:
-        found = _join_blocks(asked, n_queries, fewer, n_corpus, k, metric, schema, block_rows)
-    else:
-        found = near.union(_search_cells(more, rows, cells, k, metric, schema, block_rows))
+    bounded = stored(asked.join(bounds, "query_id"), "bounds")
+    found = _search_blocks(bounded, bounded.count(), rows, cells, k, metric, schema, block_rows)
     best = top_per_key(found, ["query_id"], [F.col("distance"), F.col("id")], k).select(F.col("query_id").alias("asked_as"), "id", "distance")
     same = queries.join(asked.select(F.col("query_id").alias("asked_as"), "query"), "query").select("query_id", "asked_as")
     return same.join(best, "asked_as").select("query_id", "id", "distance")
@@ -252,10 +329,14 @@ def _matrix(vectors) -> np.ndarray:
     return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
 
 
-def _distances(queries: np.ndarray, rows: np.ndarray, metric: str) -> tuple[np.ndarray, float]:
+def _squares(rows: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", rows, rows)
+
+
+def _distances(queries: np.ndarray, q_squares: np.ndarray, rows: np.ndarray, metric: str) -> tuple[np.ndarray, float]:
     """Fast distances by one matrix product, and how far off they may be."""
     products = queries @ rows.T
-    q_squares, r_squares = (queries * queries).sum(axis=1)[:, None], (rows * rows).sum(axis=1)[None, :]
+    q_squares, r_squares = q_squares[:, None], _squares(rows)[None, :]
     rounding = 8 * (queries.shape[1] + 1) * np.finfo(np.float64).eps
     if metric == "cosine":
         lengths = np.sqrt(q_squares) * np.sqrt(r_squares)
@@ -283,20 +364,26 @@ def _rank_in_group(groups: np.ndarray) -> np.ndarray:
 class _Best:
     """The ``k`` nearest rows seen so far for each query of a block."""
 
-    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, metric: str):
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, metric: str, bound: np.ndarray | None = None):
+        """``bound``, if known: a distance within which each query has ``k`` rows of the corpus."""
         if metric not in ("l2", "cosine"):
             raise ValueError(f"unknown metric: {metric}")
         self.query_ids, self.queries, self.k, self.metric = query_ids, queries, k, metric
+        self.squares = _squares(queries)
         self.position, self.distance, self.ids = np.zeros(0, dtype=np.int64), np.zeros(0), None
-        self.bound = np.full(len(query_ids), np.inf)
+        self.bound = np.full(len(query_ids), np.inf) if bound is None else np.array(bound)
 
     def offer(self, ids, embeddings) -> None:
-        if not len(self.query_ids) or not len(ids):
-            return
-        ids, rows = self._few_copies(np.array(ids.to_pylist()), _matrix(embeddings))
-        step = max(64, 4_000_000 // len(self.query_ids))  # keeps the distance table near 32 MB
-        for start in range(0, len(ids), step):
-            self._offer(ids[start:start + step], rows[start:start + step])
+        if len(self.query_ids) and len(ids):
+            self.offer_to(slice(None), *self._few_copies(np.array(ids.to_pylist()), _matrix(embeddings)))
+
+    def offer_to(self, which: np.ndarray | slice, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Rows for some of the queries."""
+        asked = np.arange(len(self.query_ids))[which]
+        if len(asked):
+            step = max(64, TABLE_NUMBERS // len(asked))
+            for start in range(0, len(ids), step):
+                self._offer(asked, which, ids[start:start + step], rows[start:start + step])
 
     def _few_copies(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of equal vectors only the first ``k`` ids can be among the nearest."""
@@ -305,15 +392,18 @@ class _Best:
         kept = order[_rank_in_group(same[order]) < self.k]
         return ids[kept], rows[kept]
 
-    def _offer(self, ids: np.ndarray, rows: np.ndarray) -> None:
-        rough, slack = _distances(self.queries, rows, self.metric)
-        last = min(self.k, len(ids)) - 1
-        bound = np.minimum(np.partition(rough, last, axis=1)[:, last], self.bound) + slack
-        query, row = np.nonzero(rough <= bound[:, None])
-        step = max(1, 4_000_000 // rows.shape[1])
-        exact = [_pair_distances(self.queries[query[i:i + step]], rows[row[i:i + step]], self.metric)
-                 for i in range(0, len(query), step)]
-        self._merge(query, np.concatenate([np.zeros(0), *exact]), ids[row])
+    def _offer(self, asked: np.ndarray, which: np.ndarray | slice, ids: np.ndarray, rows: np.ndarray) -> None:
+        queries, known = self.queries[which], self.bound[which]
+        rough, slack = _distances(queries, self.squares[which], rows, self.metric)
+        within = rough <= (known + slack)[:, None]
+        if np.count_nonzero(within) > 2 * self.k * len(asked):
+            last = min(self.k, len(ids)) - 1
+            within = rough <= (np.minimum(np.partition(rough, last, axis=1)[:, last], known) + slack)[:, None]
+        query, row = np.nonzero(within)
+        if len(query):
+            step = max(1, TABLE_NUMBERS // rows.shape[1])
+            exact = [_pair_distances(queries[query[i:i + step]], rows[row[i:i + step]], self.metric) for i in range(0, len(query), step)]
+            self._merge(asked[query], np.concatenate(exact), ids[row])
 
     def _merge(self, position: np.ndarray, distance: np.ndarray, ids: np.ndarray) -> None:
         if self.ids is not None:
@@ -324,7 +414,7 @@ class _Best:
         order, rank = order[rank < self.k], rank[rank < self.k]
         self.position, self.distance, self.ids = position[order], distance[order], ids[order]
         full = rank == self.k - 1
-        self.bound[self.position[full]] = self.distance[full]
+        self.bound[self.position[full]] = np.minimum(self.bound[self.position[full]], self.distance[full])
 
     def as_batch(self, schema: pa.Schema) -> pa.RecordBatch:
         found = [] if self.ids is None else self.ids.tolist()

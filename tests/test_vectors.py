@@ -1,6 +1,7 @@
 """Nearest neighbours against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from millrace.operators import vectors
 from millrace.operators.pivots import Cells, choose_pivots
 from millrace.operators.vectors import add_documents, collection, get_documents, nearest
 from millrace.plans import vector_search
+from millrace.session import stored
 
 
 def brute_force(queries, corpus, k, metric):
@@ -145,3 +147,27 @@ def test_bounds_never_exceed_a_distance():
         for q in range(50):
             assert allowed[q][cell[exact[q] <= bounds[q]]].all()
         assert ((cells.first(pivots.distances(asked)[0], 7) * counts).sum(axis=1) >= 7).all()
+
+
+def test_vectors_without_clusters_are_not_sent_to_each_cell(spark, monkeypatch):
+    """Where every cell may hold a neighbour, a query is still written once, not once per cell, and batches stay small."""
+    dice = np.random.default_rng(5)
+    found = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(dice.normal(size=(600, 24)))], "id bigint, embedding array<double>")
+    written = {}
+
+    def counted(df, label):
+        out = stored(df, label)
+        written[label] = written.get(label, 0) + out.count()
+        return out
+    monkeypatch.setattr(vectors, "stored", counted)
+    by_cells = nearest(found, found, 1, max_broadcast_numbers=0, block_numbers=24 * 250)
+    assert sorted(map(tuple, by_cells.collect())) == [(i, i, 0.0, 1) for i in range(600)]
+    assert written["routes"] <= 600
+    many = pa.array([[0.0] * 1000] * 5)
+    assert max(x.stop - x.start for x in vectors._few_numbers(np.zeros(10_000, np.int64), many)) * 1000 <= vectors.TABLE_NUMBERS
+
+
+def test_blocks_hold_whole_cells_or_parts_of_one():
+    pivots = choose_pivots(np.arange(10.0)[:, None], 5, "l2")
+    cells = Cells(pivots, np.array([3, 0, 4, 25, 2, 2]), np.zeros(6), np.zeros(6))
+    assert [(list(map(int, cell)), parts) for cell, parts in vectors.blocks_of_cells(cells, 10)] == [([0, 2], 1), ([3], 3), ([4, 5], 1)]
