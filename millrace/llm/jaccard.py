@@ -8,7 +8,11 @@ always decided on the two whole sets.
 Only components are wanted, so pairs inside a component that is already known are never made. Rounds pair the members
 of a list with one random member of it, and the last round compares what is still apart, all of it. Lists with the same
 members are searched once. A pair is left out if the parity bits of its two sets differ in more places than the sets of
-a link can: each shingle that only one set holds changes at most one bit, so no link is lost.
+a link can: each shingle that only one set holds changes at most one bit, so no link is lost. Few bits travel with the
+lists; a pair is looked at once more with bits in proportion to its sets before the sets themselves are brought together.
+
+Sets that share many lists would meet in each of them. A list leaves out a pair that meets in one of the few lists before
+it, which each of its members knows; the first list of a pair never does.
 """
 
 from __future__ import annotations
@@ -34,6 +38,8 @@ STILL_EASY = 64         # the same after the first round, which has joined most
 HOT = 13                # level, 1 + log2 of a sketch counter, from which a shingle's entries are salted
 SALTS = 64
 PARITY_BITS = 512       # of each set; those of a link differ in at most as many places as its sets do
+LISTS_BEFORE = 4        # of an entry's own lists, in the order of their keys, that it knows of
+BITS_PER_SHINGLE = 4    # least, of the parity bits that a pair is looked at with before its whole sets
 SET_BYTES = 6           # of each hash in the sets that pairs are decided on
 
 
@@ -124,6 +130,39 @@ def parities(found: np.ndarray) -> np.ndarray:
     return np.packbits(held.astype(np.uint8) & 1).view(np.int64)
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """Parities by the upper bits of the hashes, with ``BITS_PER_SHINGLE`` or up to twice as many for each shingle, 2^18 at most."""
+    wide = min(18, max(9, (BITS_PER_SHINGLE * len(found) - 1).bit_length()))
+    held = np.bincount((found >> np.uint64(64 - wide)).astype(np.int64), minlength=1 << wide)
+    return np.packbits(held.astype(np.uint8) & 1).tobytes()
+
+
+def places_apart(x: bytes, y: bytes) -> int:
+    """In how many places two sketches differ; the longer one is folded to the length of the other."""
+    left, right = (np.unpackbits(np.frombuffer(data, np.uint8)) for data in (x, y))
+    n = min(len(left), len(right))
+    left, right = (np.bitwise_xor.reduce(bits.reshape(n, -1), axis=1) for bits in (left, right))
+    return int(np.count_nonzero(left != right))
+
+
+def _sketches(n_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = shingle_sets(*utf8(batch.column("text")), n_words)
+            yield pa.record_batch({"id": batch.column("id"), "size": pa.array([len(x) for x in sets], pa.int32()),
+                                   "sketch": pa.array([sketch(x) for x in sets], pa.binary())})
+    return run
+
+
+def _perhaps_linked(num: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = (np.asarray(batch.column("size_a"), np.int64) + np.asarray(batch.column("size_b"), np.int64)) * (100 - num)
+            differ = np.array([places_apart(x.as_py(), y.as_py()) for x, y in zip(batch.column("of_a"), batch.column("of_b"), strict=True)], np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(differ * (100 + num) <= most))
+    return run
+
+
 def packed(found: np.ndarray) -> bytes:
     """The upper ``SET_BYTES`` bytes of each hash; two of one pair of sets are equal by chance once in about 10**9 pairs."""
     return found.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
@@ -225,21 +264,37 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     lists = lists.join(span, "key").filter(possible).groupBy(F.xxhash64("total", "parity").alias("key"), "id", "n").agg(
         F.max("rest").alias("rest"), F.max("lists").alias("lists"))
     bits = first.filter("id IS NOT NULL AND n > 0").select("id", "n", "bits").distinct()   # an id with several texts meets with the bits of each
-    lists = stored(lists.join(bits, ["id", "n"]), "lists")
+    earlier = F.collect_list(F.struct("key", "rest", "lists")).over(Window.partitionBy("id", "n").orderBy("key").rowsBetween(-LISTS_BEFORE, -1))
+    lists = stored(lists.withColumn("earlier", earlier).join(bits, ["id", "n"]), "lists")
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "candidates")
+        return rows_perhaps_among(texts, ids, "id")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
-        ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "candidates")
-        sets = stored(rows_perhaps_among(texts, ids, "id").mapInArrow(_whole_sets(n_words), "id long, shingles binary"), "sets")
+        seen = stored(texts_of(pairs).mapInArrow(_sketches(n_words), "id long, size int, sketch binary"), "sketches")
+        left, right = (seen.select(F.col("id").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"of_{x}")) for x in ("a", "b"))
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "of_a", "of_b")
+        pairs = stored(both.mapInArrow(_perhaps_linked(num), "a long, b long").distinct(), "perhaps")
+        sets = stored(texts_of(pairs).mapInArrow(_whole_sets(n_words), "id long, shingles binary"), "sets")
         left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
         right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
         return stored(both.mapInArrow(_linked(num), "a long, b long"), "links")
 
+    def meets(rest, in_lists, h_n, h_rest, h_lists):
+        return (F.least(rest, h_rest) * (100 + num) >= num * (n + h_n)) & (in_lists & (n <= h_n) | h_lists & (h_n <= n))
+
     def fits(h_n, h_rest, h_lists, h_bits):
         differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(h_bits[k])) for k in range(PARITY_BITS // 64)), F.lit(0))
-        return ((F.least("rest", h_rest) * (100 + num) >= num * (n + h_n)) & (100 * F.least("n", h_n) >= num * F.greatest("n", h_n))
-                & (F.col("lists") & (n <= h_n) | h_lists & (h_n <= n)) & (differ * (100 + num) <= (n + h_n) * (100 - num)))
+        return (meets(F.col("rest"), F.col("lists"), h_n, h_rest, h_lists) & (100 * F.least("n", h_n) >= num * F.greatest("n", h_n))
+                & (differ * (100 + num) <= (n + h_n) * (100 - num)))
+
+    def met_before():
+        """Whether a pair also meets in a list before this one; what else decides about a pair is the same in all lists."""
+        return F.exists("earlier", lambda x: F.exists("h_earlier", lambda y: (x["key"] == y["key"]) & meets(
+            x["rest"], x["lists"], F.col("h_n"), y["rest"], y["lists"])))
 
     components, links, placed = None, None if shared_ids.isEmpty() else shared_ids, lists.withColumn("component", F.col("id"))
     for turn in range(rounds + 1):
@@ -256,11 +311,13 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         placed = placed.join(apart.select("key", "largest"), "key")
         if last:  # all that are apart: members outside a list's largest component against the whole list
             placed = stored(placed, "placed")
-            hub = placed.filter("component <> largest").select("key", *[F.col(x).alias(f"h_{x}") for x in ("id", "n", "rest", "lists", "bits", "component")])
-            met = placed.join(hub, "key").filter((F.col("component") != F.col("h_component")) & fits(*[F.col(f"h_{x}") for x in ("n", "rest", "lists", "bits")]))
+            hub = placed.filter("component <> largest").select("key", *[F.col(x).alias(f"h_{x}") for x in ("id", "n", "rest", "lists", "bits", "component", "earlier")])
+            once = (F.col("component") == F.col("largest")) | (F.col("id") < F.col("h_id"))   # of two hubs, the pair and not its mirror image
+            met = placed.join(hub, "key").filter((F.col("component") != F.col("h_component")) & once & fits(
+                *[F.col(f"h_{x}") for x in ("n", "rest", "lists", "bits")]) & ~met_before())
             pairs = met.select(F.least("id", "h_id").alias("a"), F.greatest("id", "h_id").alias("b")).distinct()
         else:  # every member with a few members of its lists, the same for lists with the same members
-            placed = stored(placed, "placed")
+            placed = stored(placed.drop("earlier"), "placed")
             tries = min(partners, 2 ** turn)   # most of a group is linked to its first one, and then left out
             luck = [F.xxhash64("id", F.lit(turn * partners + k)) for k in range(tries)]
             hubs = placed.groupBy("key").agg(*[F.min(F.struct(x.alias("luck"), "id", "n", "rest", "lists", "bits", "component")).alias(f"h{k}") for k, x in enumerate(luck)])

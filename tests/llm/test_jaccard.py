@@ -147,3 +147,53 @@ def test_parity_bits_differ_in_no_more_places_than_the_sets():
         both, one, other = (np.unique(dice.integers(0, 2 ** 63, k, dtype=np.uint64) * np.uint64(2)) for k in (n, n // 3, n // 5 + 1))
         left, right = parities(np.concatenate([both, one])), parities(np.concatenate([both, other]))
         assert sum(int(x).bit_count() for x in (left ^ right).view(np.uint64)) <= len(one) + len(other)
+
+
+def large_texts_apart():
+    """Large texts that share most shingles and not enough of them, so that no two are linked."""
+    base, rows = [f"w{k}" for k in range(3000)], []
+    for key in range(12):
+        own = list(base)
+        for at in random.Random(key).sample(range(0, 3000, 5), 110):
+            own[at] = f"x{key}-{at}"
+        rows.append((key, " ".join(own)))
+    return rows
+
+
+def test_pairs_that_share_many_lists_meet_in_few(spark, monkeypatch):
+    rows, made = large_texts_apart(), []
+    kind = type(spark.range(1))
+    distinct = kind.distinct
+
+    def counted(df):
+        if df.columns == ["a", "b"]:
+            made.append(df.count())
+        return distinct(df)
+    monkeypatch.setattr(kind, "distinct", counted)
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), rounds=0).collect()
+    assert sorted(map(tuple, got)) == plain_components(rows)
+    assert 0 < sum(made) <= 66     # pairs of texts
+
+
+def test_pairs_below_the_limit_bring_no_whole_sets_together(spark, monkeypatch):
+    """Of large sets, few parity bits say little; the sketches, which grow with the sets, leave the pairs out."""
+    rows = large_texts_apart()
+    made = {}
+
+    def counted(df, label):
+        out = stored(df, label)
+        made.setdefault(label, []).append(out.count())
+        return out
+    monkeypatch.setattr(jaccard, "stored", counted)
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == plain_components(rows)
+    assert sum(made["pairs"]) > 0 and sum(made["sets"]) == 0
+
+
+def test_sketches_differ_in_no_more_places_than_the_sets():
+    dice = np.random.default_rng(4)
+    for n in (1, 100, 127, 128, 3000, 90_000):
+        both, one, other = (np.unique(dice.integers(0, 2 ** 63, k, dtype=np.uint64) * np.uint64(2)) for k in (n, n // 3, n // 5 + 1))
+        left, right = jaccard.sketch(np.concatenate([both, one])), jaccard.sketch(np.concatenate([both, other]))
+        assert jaccard.places_apart(left, right) == jaccard.places_apart(right, left) <= len(one) + len(other)
+        assert jaccard.places_apart(left, left) == 0
