@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_registered_under_the_operators_numbers():
-    assert {f"op{k}" for k in range(1, 11)} == {x.split("_")[0] for x in QUERIES}
+    assert {f"op{k}" for k in range(1, 14)} == {x.split("_")[0] for x in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
